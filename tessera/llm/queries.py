@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, minhash, mixing, quality
+from tessera.llm import ann, licenses, minhash, mixing, packing, quality, rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +30,20 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_dedup, op2_graph_neighbours, op3_quality_classifier, op4_source_mixing)
+    f.__name__: f for f in (op1_minhash_dedup, op2_graph_neighbours, op3_quality_classifier, op4_source_mixing, op5_slack_packing, op7_license_scan, op10_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.SQL}
