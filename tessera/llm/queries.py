@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, licenses, minhash, mixing, packing, quality, rules
+from tessera.llm import ann, licenses, lm_score, materialise, minhash, mixing, packing, quality, rules, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,16 +34,41 @@ def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, lm_score.fit(docs, table(spark, sf_dir, "labels").filter("quality = 1")))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise.materialise(table(spark, sf_dir, "documents"), key=20)
+
+
+def op9_warc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_dedup, op2_graph_neighbours, op3_quality_classifier, op4_source_mixing, op5_slack_packing, op7_license_scan, op10_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_minhash_dedup,
+        op2_graph_neighbours,
+        op3_quality_classifier,
+        op4_source_mixing,
+        op5_slack_packing,
+        op6_lm_score,
+        op7_license_scan,
+        op8_token_shards,
+        op9_warc_convert,
+        op10_quality_rules,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.SQL}
