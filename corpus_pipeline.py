@@ -6,18 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import minhash
+from tessera.llm import minhash, mixing, packing, quality, rules
 from tessera.llm.common import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.accepted(docs, quality.train(docs, labels))
+
+
+def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return rules.passed(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five words, similarity 0.8."""
     return minhash.keep_one(docs, minhash.near_duplicates(docs, words=5, percent=80))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out until the sources have their target shares."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in training sequences."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", classify),
+    ("quality_rules", apply_rules),
+    ("near_dedup", near_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 #: Classifier, MinHash and packing are no SQL; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD
+from tessera.llm.common import WORD, cut
 
 #: Hash seeds that are tried for each source; the draw whose words come nearest the target is taken.
 SEEDS = 32
@@ -49,42 +49,51 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
     return per.withColumn("target", target).withColumn("rate", rate).select("source", "source_size", "weight", "target", "rate")
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
-    """Docs with size, source_size, target, rate and copies: floor(rate) plus one Bernoulli copy with the fraction.
+def choose(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
+    """The targets with a seed each. sized: doc_id, source, size of all documents.
 
-    The copy is drawn by a seeded hash of doc_id and size, so reruns agree. Of SEEDS seeds a source takes the one whose
-    words come nearest its target (the smallest among equals). A null text has size 0; null sources are one source; a
-    source without words has target 0 and takes nothing. Repeated rows are drawn alike. An empty table gives no rows.
-    The plan keeps all columns of docs; its own columns come as one struct named mix.
+    Of SEEDS seeds a source takes the one whose words come nearest its target (the smallest among equals).
     """
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"))
-    sized = plain.select("doc_id", "source", "size")
-    #: One row per source; what is broadcast is bounded by the number of sources, and left to Spark's size check.
-    per = source_targets(sized, weights, cap)
-    p = per.select(F.col("source").alias("src"), "source_size", "target", "rate")
-    drawn = sized.join(p, sized.source.eqNullSafe(p.src))
+    per = source_targets(sized, weights, cap).select(F.col("source").alias("src"), "source_size", "target", "rate")
+    #: One row per source, left to Spark's size check for a broadcast.
+    drawn = sized.join(per, sized.source.eqNullSafe(per.src))
     fraction = F.col("rate") - F.floor("rate")
     sums = [F.sum(F.when(_draw(F.lit(k)) < fraction, F.col("size")).otherwise(F.lit(0))).alias(f"s{k}") for k in range(SEEDS)]
     totals = drawn.groupBy("src", "source_size", "target", "rate").agg(F.sum(F.col("size") * F.floor("rate")).alias("base"), *sums)
     off = [F.struct(F.abs(F.col("base") + F.col(f"s{k}") - F.col("target")).alias("off"), F.lit(k).alias("seed")) for k in range(SEEDS)]
-    best = totals.select("src", "source_size", "target", "rate", F.array_min(F.array(*off))["seed"].alias("seed"))
-    joined = plain.join(best, plain.source.eqNullSafe(best.src))
-    copies = (F.floor("rate") + F.when(_draw(F.col("seed")) < fraction, 1).otherwise(0)).cast("int")
-    return joined.select("row", F.struct("size", "source_size", "target", "rate", copies.alias("copies")).alias("mix"))
+    return totals.select("src", "source_size", "target", "rate", F.array_min(F.array(*off))["seed"].alias("seed"))
+
+
+def with_copies(sized: DataFrame, chosen: DataFrame) -> DataFrame:
+    """sized with source_size, target and copies: floor(rate), and one more where the seeded hash of doc_id and size
+    draws below the fraction. Reruns agree; repeated rows are drawn alike."""
+    joined = sized.join(chosen, sized.source.eqNullSafe(chosen.src))
+    more = F.when(_draw(F.col("seed")) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
+    return joined.withColumn("copies", (F.floor("rate") + more).cast("int")).drop("src", "rate", "seed")
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
+    return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size")))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
-    """The mixed rows: every row of docs as often as its plan says, with the columns of docs."""
-    planned = plan(docs, weights, cap).filter("mix.copies > 0")
-    again = planned.select("row", F.explode(F.sequence(F.lit(1), F.col("mix.copies"))).alias("copy"))
+    """The mixed rows: every row of docs as often as its copies say, with the columns of docs.
+
+    A null text has size 0; null sources are one source, the last; a source without words has target 0 and takes
+    nothing. An empty table gives no rows. Texts are read twice: for the sizes, and to be copied.
+    """
+    chosen = cut(choose(_sizes(docs), weights, cap))
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size"))
+    planned = with_copies(plain, chosen).filter("copies > 0")
+    again = planned.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return again.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
     """doc_id, size, source_size, target and taken: the words of a row that the mix takes, repeats counted."""
-    slim = docs.select("doc_id", "text", "source")
-    p = plan(slim, weights, cap)
-    return p.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("mix.size").alias("size"), F.col("mix.source_size").alias("source_size"), F.col("mix.target").cast("double").alias("target"), (F.col("mix.size") * F.col("mix.copies")).cast("long").alias("taken"))
+    sized = _sizes(docs)
+    planned = with_copies(sized, choose(sized, weights, cap))
+    return planned.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
 def _sql() -> str:

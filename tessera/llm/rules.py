@@ -88,42 +88,48 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)))
 
 
-def assess(docs: DataFrame, carried: list[str] | None = None, min_words: int = 50, ref_words: int = 20, max_char: float = 0.32, max_common: float = 0.45) -> DataFrame:
-    """One row per row of docs: row (a struct of the columns carried, all if None), the base counts, char_distance, common_distance,
-    base_failed and kept.
+def _measured(docs: DataFrame, carried: list[str]) -> DataFrame:
+    made = histograms(base_counts(docs.withColumn("lang", F.col("lang").cast("string")), carried))
+    #: seq is not deterministic, so no filter that needs it moves below and evaluates the counts again.
+    return made.select("row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common", F.monotonically_increasing_id().alias("seq"))
+
+
+def references(measured: DataFrame, ref_words: int = 20) -> DataFrame:
+    """One row per language: the summed histograms, as shares, of its documents of at least ref_words words."""
+    chars, common = range(len(CLASSES) + 1), range(len(COMMON) + 1)
+    counts = lambda c, k: F.sum(F.when(F.col("n_words") >= ref_words, F.col(c)[k]).otherwise(F.lit(0)))
+    ref = measured.groupBy("lang").agg(*[counts("chars", k).alias(f"a{k}") for k in chars], *[counts("common", k).alias(f"b{k}") for k in common])
+    return ref.select(
+        F.col("lang").alias("ref_lang"),
+        _shares(F.array(*[F.col(f"a{k}") for k in chars])).alias("ref_chars"),
+        _shares(F.array(*[F.col(f"b{k}") for k in common])).alias("ref_common"),
+    )
 
-    base_failed: n_words < 10 or 100 * n_repeat_words > 20 * n_words. A document of at least min_words words must lie
-    within max_char and max_common of the references of its language; shorter ones are not judged by distance.
-    The references are the summed histograms of all documents of a language with at least ref_words words; a null
-    language is a language of its own, and one without reference judges nothing. Null, empty and blank texts fail the
-    base rules. Repeated rows are judged alike; an empty table gives no rows.
-    """
-    made = histograms(base_counts(docs.withColumn("lang", F.col("lang").cast("string")), carried or docs.columns)).select("row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common")
-    return _judge(cut(made), min_words, ref_words, max_char, max_common)
 
+def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: float = 0.32, max_common: float = 0.45) -> DataFrame:
+    """row, the base counts, char_distance, common_distance, base_failed and kept of every measured document.
 
-def _judge(made: DataFrame, min_words: int, ref_words: int, max_char: float, max_common: float) -> DataFrame:
-    sums = [F.sum(F.col("chars")[k]).alias(f"a{k}") for k in range(len(CLASSES) + 1)] + [F.sum(F.col("common")[k]).alias(f"b{k}") for k in range(len(COMMON) + 1)]
-    ref = made.filter(F.col("n_words") >= ref_words).groupBy("lang").agg(*sums)
-    ref = ref.select(
-        F.col("lang").alias("ref_lang"),
-        _shares(F.array(*[F.col(f"a{k}") for k in range(len(CLASSES) + 1)])).alias("ref_chars"),
-        _shares(F.array(*[F.col(f"b{k}") for k in range(len(COMMON) + 1)])).alias("ref_common"),
-    )
-    joined = made.join(ref, made.lang.eqNullSafe(ref.ref_lang), "left")
+    base_failed: n_words < 10 or 100 * n_repeat_words > 20 * n_words. A document of at least min_words words must lie
+    within max_char and max_common of the references of its language; shorter ones are not judged by distance, and a
+    language without reference judges nothing. A null language is a language of its own. Null, empty and blank texts fail
+    the base rules. Repeated rows are judged alike; an empty table gives no rows.
+    """
+    joined = measured.join(ref, measured.lang.eqNullSafe(ref.ref_lang), "left")
     far = joined.withColumn("char_distance", js_distance(_shares(F.col("chars")), F.col("ref_chars"))).withColumn("common_distance", js_distance(_shares(F.col("common")), F.col("ref_common")))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     near = (F.col("n_words") < min_words) | ((F.coalesce("char_distance", F.lit(0.0)) <= max_char) & (F.coalesce("common_distance", F.lit(0.0)) <= max_common))
-    return far.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "common_distance", base.alias("base_failed"), (~base & near).alias("kept"))
+    return far.select("row", "seq", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "common_distance", base.alias("base_failed"), (~base & near).alias("kept"))
 
 
 def report(docs: DataFrame, **limits: float) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept and the two distances of every row, as assess gives them."""
-    found = assess(docs, ["doc_id"], **limits)
-    return found.select(F.col("row.doc_id").cast("long").alias("doc_id"), *[c for c in found.columns if c != "row"])
+    """doc_id, the base counts, the two distances, base_failed and kept of every row; each text is read once."""
+    measured = cut(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"]))
+    found = judge(measured, references(measured), **limits)
+    return found.select(F.col("row.doc_id").cast("long").alias("doc_id"), *[c for c in found.columns if c not in ("row", "seq")])
 
 
 def passed(docs: DataFrame, **limits: float) -> DataFrame:
-    """The rows of docs that assess keeps, with all their columns."""
-    found = assess(docs, None, **limits).filter("kept")
+    """The rows of docs that judge keeps, with all their columns. Texts are read twice, so that none is checkpointed."""
+    ref = cut(references(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"])))
+    found = judge(_measured(docs, docs.columns), ref, **limits).filter("kept AND seq >= 0")
     return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
