@@ -7,12 +7,13 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Look-alike letters and the Latin letters they pass for.
 LOOKALIKES = ("авекмнорстухіοеαεικμνορτυχАВЕКМНОРСТУХІΟΑΕΙΚΜΝΡΤΥΧ", "abekmhopctyxioeaeikmvoptuxABEKMHOPCTYXIOAEIKMNPTYX")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decomposed(text: pd.Series) -> pd.Series:
     import unicodedata
 
@@ -73,7 +74,7 @@ def query_language(text: Column, country: Column | None = None, noise: Sequence[
     for name, rx in scripts:
         out = out.when(F.array_join(left, " ").rlike(rx), name)
     for name, known in words:
-        out = out.when(F.exists(left, lambda w, known=known: w.isin(list(known))), name)
+        out = out.when(F.arrays_overlap(left, F.array(*[F.lit(w) for w in known])), name)
     for where, name in (ties or {}).items():
         if country is not None:
             out = out.when(country == where, name)
@@ -134,7 +135,7 @@ def cut_at_first(text: Column, markers: Sequence[str]) -> Column:
 
 
 def _match_udf(pattern: str):
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def positions(text: pd.Series) -> pd.Series:
         import re
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.config import DEFAULT, Config
 
@@ -93,7 +94,7 @@ def has_tracker_params(url: Column, config: Config = DEFAULT) -> Column:
     return query(url).rlike(config.tracker_params)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     """UR9: a reference resolved against its page; null where either cannot be read."""
     from urllib.parse import urljoin
@@ -139,7 +140,7 @@ def unwrap(url: Column, wrapper: str = r"(?i)(^|\.)(redirect|away)\.") -> Column
     return F.when(url_host(url).rlike(wrapper) & (inner != ""), inner).otherwise(url)
 
 
-@F.pandas_udf("struct<host string, status string>")
+@F.pandas_udf(T.StructType().add("host", T.StringType()).add("status", T.StringType()))
 def idna_host(name: pd.Series) -> pd.DataFrame:
     """UR16: ASCII form of a domain, lower-cased, no www.; status ok, empty or error."""
 
