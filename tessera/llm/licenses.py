@@ -80,7 +80,7 @@ def read_words(docs: DataFrame) -> DataFrame:
 
 def template_matches(read: DataFrame, rare_words: int = 8, least_share: float = 0.5) -> DataFrame:
     """row_id, label, share: the largest weight of a template's indexed words that stand at one relative position, as a
-    share of the template's weight, where it is least_share or more and the key phrases stand in the text."""
+    share of the weight of its rarest ones, where it is least_share or more and the key phrases stand in the text."""
     spark = read.sparkSession
     #: Tables of the templates, of fixed size.
     postings = [(w, t, i) for t, (_, text, _) in enumerate(TEMPLATES) for i, w in enumerate(text.split()) if w not in STOP]
@@ -93,7 +93,9 @@ def template_matches(read: DataFrame, rare_words: int = 8, least_share: float =
     idf = frequency.select("word", F.log(1.0 + F.lit(read.count()) / F.col("df")).alias("idf"))
     #: A word that no document holds weighs as one that a single document holds.
     weighed = index.join(F.broadcast(idf), "word", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(1.0 + read.count()))))
-    whole = weighed.groupBy("template").agg(F.sum("idf").alias("whole"))
+    #: A document offers rare_words words, so a template weighs what its own rarest ones weigh.
+    place = F.row_number().over(Window.partitionBy("template").orderBy(F.desc("idf"), "word", "place"))
+    whole = weighed.withColumn("rank", place).filter(F.col("rank") <= rare_words).groupBy("template").agg(F.sum("idf").alias("whole"))
     rank = F.dense_rank().over(Window.partitionBy("row_id").orderBy(F.desc("idf"), "word"))
     rare = hits.join(F.broadcast(idf), "word").withColumn("rank", rank).filter(F.col("rank") <= rare_words)
     met = rare.join(F.broadcast(index), "word").groupBy("row_id", "template", (F.col("at") - F.col("place")).alias("shift")).agg(F.sum("idf").alias("weight"), F.first("phrases").alias("phrases"))
