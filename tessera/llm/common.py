@@ -7,6 +7,7 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Word classes of the operator contracts, as Java and RE2 patterns.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,6 +42,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """df marked for a broadcast if it has at most so many rows, which are counted; else Spark joins by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of one Arrow batch, so that a batch of long texts fits a Python worker.
 

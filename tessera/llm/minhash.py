@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import U64, WordHashes, constants, cut, mix, small_batches, words_of
+from tessera.llm.common import U64, WordHashes, broadcast_if_small, constants, cut, mix, small_batches, words_of
 from tessera.llm.components import connected_components
 
 #: Shingles hashed in one go; the arrays stay in the CPU's cache.
@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ends = pairs.select("kind", "group", F.explode(F.array_distinct(F.array("block", "to"))).alias("block"), F.struct(F.col("block").alias("a"), F.col("to").alias("b")).alias("pair"))
 
     nodes = members.select("node").distinct()
-    nodes = F.broadcast(nodes) if nodes.count() <= broadcast_rows else nodes
+    nodes = broadcast_if_small(nodes, broadcast_rows)
     sets = texts.join(nodes, texts.doc_id == nodes.node, "left_semi").mapInArrow(shingle_sets(words), "doc_id long, shingles binary")
     placed = members.join(ends, ["kind", "group", "block"]).select("kind", "group", "pair", F.col("node").alias("doc_id"))
     links = placed.join(sets, "doc_id").groupBy("kind", "group", "pair").applyInPandas(verifier(percent), "u long, v long")

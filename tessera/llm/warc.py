@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, small_batches
+from tessera.llm.common import broadcast_if_small, cut, scratch, small_batches
 
 #: The header fields of both ARC versions, in order.
 ARC_FIELDS = {
@@ -182,8 +182,7 @@ def archive_pages(pages: DataFrame, path: str, version: int = 1, least: int = 10
     """Write pages as WARC files into the folder path, one record per row, each file starting with a warcinfo record
     where a task starts. Null html is an empty payload, a null url is written as "-"."""
     small_batches(pages.sparkSession)
-    again = revisits(pages, least)
-    again = F.broadcast(again) if again.limit(broadcast_rows + 1).count() <= broadcast_rows else again
+    again = broadcast_if_small(cut(revisits(pages, least)), broadcast_rows)
     again = again.withColumnsRenamed({"page_id": "_page", "digest": "_digest"})
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("html"))
     same = own.page_id.eqNullSafe(F.col("_page")) & (F.sha2("html", 256) == F.col("_digest"))
