@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, small_batches
-from tessera.llm.tokens import WordTokenizer, in_groups
+from tessera.llm.tokens import in_groups, shared_tokenizer
 
 Pattern = list[tuple[int, int]]
 
@@ -94,7 +94,7 @@ class Places:
 
 def _cutter(path: str | None, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = shared_tokenizer(path)
         for b in batches:
             for ids, texts in in_groups(b.column(0).to_pylist(), [t.as_py() for t in b.column(1)]):
                 rows: list[tuple] = []

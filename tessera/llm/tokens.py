@@ -6,10 +6,27 @@ The tokenizer drops white space and never joins what it parts, so a text's ids a
 from __future__ import annotations
 
 import os
+import re
+import sys
+import types
+from itertools import chain
 
 import numpy as np
 
 
+#: UTF-8 words of ASCII letters and the letters of the Latin-1 block (no signs, no combining marks).
+LATIN = re.compile(rb"(?:[a-zA-Z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def shared_tokenizer(path: str | None = None) -> WordTokenizer:
+    """The tokenizer of this Python process: a worker that is used again keeps its words from task to task."""
+    kept = sys.modules.setdefault("_tessera_kept", types.ModuleType("_tessera_kept"))
+    found = kept.__dict__.setdefault("tokenizers", {})
+    if path not in found:
+        found[path] = WordTokenizer(path)
+    return found[path]
+
+
 def default_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -22,11 +39,18 @@ class WordTokenizer:
     #: A word that is one token by itself; it parts the words that are encoded in one call.
     MARK = "@"
 
-    def __init__(self, path: str | None = None, limit: int = 400_000, step: int = 1000):
+    def __init__(self, path: str | None = None, limit: int = 300_000, step: int = 2000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
+        #: For words of lower-case ASCII letters, which the normaliser and the parting by classes leave as they are.
+        self.plain = Tokenizer.from_file(path or default_path())
+        self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        #: The tokens that end a word; every piece has one, as its last.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         self.limit, self.step = limit, step
         mark = self._one(self.MARK)
         if mark.size != 1:
@@ -36,58 +60,112 @@ class WordTokenizer:
 
     def _clear(self) -> None:
         self.codes: dict[bytes, int] = {}
-        self.start, self.size, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
+        self.start, self.size, self.flat, self.used = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, np.uint32), 0
 
     def _one(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _many(self, words: list[str]) -> list[np.ndarray]:
-        ids = self._one(f" {self.MARK} ".join(words))
-        at = np.flatnonzero(ids == self.mark)
-        if at.size != len(words) - 1:
-            return [self._one(w) for w in words]
-        return [p[k > 0 :] for k, p in enumerate(np.split(ids, at))]
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain, odd = [], []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            (odd if self.MARK in text or "<|" in text else plain).append((w, text))
-        found = [(w, self._one(t)) for w, t in odd]
-        for low in range(0, len(plain), self.step):
-            part = plain[low : low + self.step]
-            found += zip([w for w, _ in part], self._many([t for _, t in part]), strict=True)
-        n, total = len(self.codes), sum(x.size for _, x in found)
-        while n + len(found) > self.start.size:
+        return self._ids(self.tokenizer, text)
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after another, and how many each has."""
+        ids = self._one(f" {self.MARK} ".encode().join(words).decode("utf-8", "replace"))
+        own = ids != self.mark
+        ends = np.append(np.flatnonzero(~own), ids.size)
+        if ends.size == len(words):
+            return ids[own], np.diff(ends, prepend=-1) - 1
+        return self._alone(words)  # a word gave the mark's token
+
+    def _letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As _many, for words of lower-case ASCII letters: each is one piece."""
+        ids = self._ids(self.plain, b" ".join(words).decode())
+        at = np.flatnonzero(self.ends[ids])
+        return (ids, np.diff(at, prepend=-1)) if at.size == len(words) else self._alone(words)
+
+    def _latin(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As _letters, for words of letters of the Latin-1 block as well."""
+        ids = self._one(b" ".join(words).decode())
+        at = np.flatnonzero(self.ends[ids])
+        return (ids, np.diff(at, prepend=-1)) if at.size == len(words) else self._alone(words)
+
+    def _alone(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        alone = [self._one(w.decode("utf-8", "replace")) for w in words]
+        return np.concatenate(alone), np.array([x.size for x in alone])
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, used = len(self.codes), self.used + ids.size
+        while n + sizes.size > self.start.size:
             self.start, self.size = np.concatenate([self.start, self.start]), np.concatenate([self.size, self.size])
-        while self.used + total > self.flat.size:
+        while used > self.flat.size:
             self.flat = np.concatenate([self.flat, self.flat])
-        for k, (w, x) in enumerate(found, n):
-            self.codes[w] = k
-            self.start[k], self.size[k] = self.used, x.size
-            self.flat[self.used : self.used + x.size] = x
-            self.used += x.size
+        self.codes.update(zip(words, range(n, n + sizes.size), strict=True))
+        self.start[n : n + sizes.size] = self.used + np.cumsum(sizes) - sizes
+        self.size[n : n + sizes.size] = sizes
+        self.flat[self.used : used] = ids
+        self.used = used
+
+    def _learn(self, words: set[bytes]) -> None:
+        #: A run of these marks after an ASCII letter is a piece of its own, so such a word is its two parts.
+        marks, mark = b".,!?;:#*$%&", self.MARK.encode()
+        letters, rest, parted = [], [], []
+        for w in words:
+            if w.isalpha():
+                (letters if w.islower() else rest).append(w)
+                continue
+            b = w.rstrip(marks)
+            if b and len(b) < len(w) and 97 <= b[-1] <= 122:
+                parted.append((w, b))
+            else:
+                rest.append(w)
+        parts = {b for _, b in parted}
+        parts.update([w[len(b) :] for w, b in parted])
+        parts.difference_update(self.codes.keys(), letters, rest)
+        for w in parts:
+            (letters if w.isalpha() and w.islower() else rest).append(w)
+        latin, many, odd = [], [], []
+        for w in rest:
+            if LATIN.fullmatch(w):
+                latin.append(w)
+            else:
+                (odd if mark in w or b"<|" in w else many).append(w)
+        for own, run in ((letters, self._letters), (latin, self._latin), (many, self._many), (odd, self._alone)):
+            for low in range(0, len(own), self.step):
+                self._keep(own[low : low + self.step], *run(own[low : low + self.step]))
+        if parted:
+            codes = self.codes
+            pairs = np.array([c for w, b in parted for c in (codes[b], codes[w[len(b) :]])], np.int64)
+            sizes = self.size[pairs]
+            self._keep([w for w, _ in parted], self._gather(pairs, sizes), sizes.reshape(-1, 2).sum(axis=1))
+
+    def _gather(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(sizes, dtype=np.int32 if sizes.sum() < 1 << 31 else np.int64)
+        at = np.repeat(self.start[codes] - (ends - sizes), sizes)
+        at += np.arange(at.size, dtype=at.dtype)
+        return self.flat[at]
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each UTF-8 text; a null or blank text has none."""
         if len(self.codes) > self.limit:
             self._clear()
-        split = [t.split() if t else [] for t in texts]
-        codes = self.codes
-        new = dict.fromkeys(w for words in split for w in words if w not in codes)
-        if new:
-            self._learn(list(new))
-        out = []
+        #: The tokenizer lower-cases; only its special tokens, which hold "<|", are told apart by case.
+        split = [(t.split() if b"<|" in t else t.lower().split()) if t else [] for t in texts]
+        new: set[bytes] = set()
         for words in split:
-            c = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-            size = self.size[c]
-            ends = np.cumsum(size)
-            total = int(ends[-1]) if size.size else 0
-            out.append(self.flat[np.repeat(self.start[c] - (ends - size), size) + np.arange(total)])
-        return out
+            new.update(words)
+        new -= self.codes.keys()
+        if new:
+            self._learn(new)
+        counts = np.array([len(words) for words in split], np.int64)
+        c = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        sizes = self.size[c]
+        ids = self._gather(c, sizes)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        return [ids[low:high] for low, high in zip(np.concatenate([[0], stops[:-1]]), stops, strict=True)]
 
 
-def in_groups(ids: list, texts: list[bytes | None], most: int = 2_000_000):
+def in_groups(ids: list, texts: list[bytes | None], most: int = 1_000_000):
     """Rows in groups of so many bytes of text, or of one text that is longer."""
     low = size = 0
     for k, t in enumerate(texts):
