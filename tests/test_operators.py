@@ -248,3 +248,44 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows(stream.read_latest(spark, out)) == rows(batch)
     counted = stream.windowed_counts(spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 5), "x"), (dt.datetime(2024, 1, 1, 0, 50), "x")], "ts timestamp, e string"), "ts", "e")
     assert [r.n for r in counted.collect()] == [2]
+
+
+def test_scan_report(spark):
+    from tessera.operators import scan
+
+    schema = f"ordinal long, {readers.SCAN_RECORD}"
+    dest = lambda kind, brand: ("http://t.example/?aff=1", "link", "http://x.example/", kind, brand, "assets", "1", True, "", [(200, "http://t.example/?aff=1", None, None)])
+    home = ("http://a.example/", 200, "A", 900, 3, 9, None, None)
+    recs = [(1, "a.example", "1", "n", "http", home, [dest("target", "Acme")], None), (2, "a.example", "2", "n", "http", home, [dest("other", "Globex")], None), (3, "b.example", "1", "n", "http", home, [], None), (4, "c.example", "1", "n", "http", (None, 200, "", 9, 0, 0, None, None), [], None)]
+    got = {r.domain: r for r in scan.scan_report(spark.createDataFrame(recs, schema)).collect()}
+    assert got["a.example"].group == "4_mixed" and got["a.example"].group_now == "3_other_only" and got["a.example"].ever_brands == ["Globex"] and got["a.example"].n_records == 2
+    assert got["b.example"].group == "2_no_ads" and got["c.example"].group == "8_no_mention"
+    df = spark.createDataFrame([("a.example", "http://q.example/p", "unknown", "", None), ("b.example", "http://q.example/p", "needs_browser", "", None), ("a.example", "http://r.example/", "other", "G", "f")], "domain string, url string, kind string, brand string, final_url string")
+    filled = scan.fill_from_cache(df, spark.createDataFrame([("http://q.example/p", "other", "Hooli", "http://h.example/")], "key string, kind string, brand string, final_url string"))
+    assert {(r.domain, r.kind, r.brand) for r in filled.collect()} == {("a.example", "other", "Hooli"), ("b.example", "other", "Hooli"), ("a.example", "other", "G")}
+
+
+def test_inner_and_deep_pages(spark):
+    from tessera.operators import scan
+
+    links = [("a.example", f"http://a.example/post-number-{k}-of-many/", k) for k in range(5)] + [("a.example", "http://a.example/about", 9), ("a.example", "http://b.example/x", 1), ("a.example", "http://a.example/s.css", 2), ("a.example", "http://a.example/contact", 10)]
+    got = scan.inner_pages(spark.createDataFrame(links, "domain string, url string, ordinal int")).orderBy("rank").collect()
+    assert [r.post for r in got] == [True, True, True, False] and got[3].url == "http://a.example/about"
+    home = spark.createDataFrame([("a", "http://a/x/", 2), ("a", "http://a/y", 1)], "domain string, url string, ordinal int")
+    site = spark.createDataFrame([("a", "http://a/x", 1), ("a", "http://a/z", 2)], "domain string, url string, ordinal int")
+    assert [r.url for r in scan.deep_pages(home, site).orderBy("rank").collect()] == ["http://a/y", "http://a/x/", "http://a/z"]
+
+
+def test_corpus_pieces(spark):
+    from tessera.operators import corpus
+
+    answers = spark.createDataFrame([("KZ", " Best Site ", True), ("KZ", "x", True), ("KZ", "y", False)], "cc string, query string, present boolean")
+    classes = spark.createDataFrame([("KZ", "best site", True, "negative"), ("KZ", "X", True, "positive")], "cc string, query string, mentioned boolean, sentiment string")
+    assert [r.query for r in corpus.problem_answers(answers, classes).collect()] == [" Best Site "]
+    reqs = spark.createDataFrame([("KZ", "A", "d", 2), ("KZ", " a", "d", 1), ("UZ", "a", "d", 3)], "cc string, query string, device string, ordinal int")
+    assert rows(corpus.request_keys(reqs).select("cc", "ordinal")) == [("KZ", 1), ("UZ", 3)]
+    pages = spark.createDataFrame([("u", "globex first, then acme is bad")], "url string, text string")
+    got = corpus.page_analysis(pages, [("acme", "acme"), ("globex", "globex")], "acme", "bad").first()
+    assert got.brands_order == ["globex", "acme"] and got.target_rank == 2 and got.neg_near == 1 and got.words == 6
+    keys = spark.createDataFrame([("acme вход", 20), ("acme", 5), ("вход цена", 50)], "keyword string, volume int")
+    assert rows(corpus.selected(keys, "[а-я]", "^$", [("price", "цена")], "вход").select("keyword", "theme")) == [("вход цена", "price")]
