@@ -136,7 +136,8 @@ def shared(sets: list[np.ndarray]) -> np.ndarray:
         if not left.size:
             break
         np.add.at(inter, (r[left], r[left + d]), 1) if left.size < 256 else np.add(inter, np.bincount(r[left] * n + r[left + d], minlength=n * n).reshape(n, n), out=inter)
-    upper = np.triu(inter, 1) + np.triu(inter.T, 1)
+    #: Rows of a column are in order, so the rarer columns filled the upper half alone; of the products it is taken.
+    upper = np.triu(inter, 1)
     return upper + upper.T
 
 

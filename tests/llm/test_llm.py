@@ -74,6 +74,19 @@ def test_minhash_equals_brute_force(spark, w, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_minhash_large_group_of_near_copies(spark):
+    r, vocab = random.Random(5), ["w%d" % k for k in range(300)]
+    base = [r.choice(vocab) for _ in range(80)]
+    docs = []
+    for k in range(400):
+        own = list(base)
+        for _ in range(r.randrange(0, 5)):
+            own[r.randrange(80)] = r.choice(vocab)
+        docs.append((k, " ".join(own)))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=85).collect()
+    assert {x.doc_id: x.component_id for x in got} == brute_classes(docs, 3, 85)[0]
+
+
 def test_minhash_splits_large_clusters(spark):
     docs = rng_docs(120, 9)
     df = spark.createDataFrame(docs, "doc_id long, text string")
@@ -97,9 +110,11 @@ def test_miss_rate_bounds():
         assert minhash.miss_rate(p, minhash.choose_width(p, 16), 16) <= 0.003
 
 
-def test_shared_counts():
+@pytest.mark.parametrize("spread", [90, 5000])
+def test_shared_counts(spread):
     r = np.random.default_rng(1)
-    sets = [np.unique(r.integers(0, 90, r.integers(1, 80))).astype(np.uint64) for _ in range(90)]
+    #: Values below 20 are in most of the sets, others in few.
+    sets = [np.unique(np.concatenate([r.integers(0, 20, 40), r.integers(0, spread, r.integers(1, 80))])).astype(np.uint64) for _ in range(150)]
     expected = np.array([[0 if i == j else len(np.intersect1d(a, b)) for j, b in enumerate(sets)] for i, a in enumerate(sets)])
     assert (minhash.shared(sets) == expected).all()
 
@@ -416,3 +431,20 @@ def test_mixing_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
     expected = sorted(con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.SQL})").fetchall())
     assert sorted(map(tuple, queries.op4_source_mixing(spark, SMALL).collect())) == expected
+
+
+def test_histograms_equal_brute_force(spark):
+    r = random.Random(12)
+    pool = [*rules.COMMON[:12], "The", "DE", "la", "la", "x1", "ÉTÉ", "a,b", "#%", "(y)"]
+    rows = [(k, " ".join(r.choice(pool) for _ in range(r.randrange(0, 60)))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = {x["row"].doc_id: x for x in rules.histograms(rules.base_counts(df, ["doc_id"])).select("row", "chars", "common").collect()}
+    for i, t in rows:
+        low = [w.lower() for w in words(t)]
+        assert got[i].common == [low.count(w) for w in rules.COMMON] + [sum(w not in rules.COMMON for w in low)]
+        left, chars = "".join(words(t)), []
+        for pattern in rules.CLASSES:
+            rest = re.sub(pattern, "", left)
+            chars.append(len(left) - len(rest))
+            left = rest
+        assert got[i].chars == [*chars, len(left)]
