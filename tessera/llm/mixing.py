@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, cut
+from tessera.llm.common import WORD, broadcast_if_small, cut
 
 #: Hash seeds that are tried for each source; the draw whose words come nearest the target is taken.
 SEEDS = 32
+#: Targets of so many sources are broadcast, so that a source with a third of all rows stays spread over all tasks.
+BROADCAST_SOURCES = 100_000
 #: A fair hash of 32 bits that SQL engines agree on: the first eight hex digits of an MD5.
 SCALE = 4294967296.0
 
@@ -55,7 +57,7 @@ def choose(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float =
     Of SEEDS seeds a source takes the one whose words come nearest its target (the smallest among equals).
     """
     per = source_targets(sized, weights, cap).select(F.col("source").alias("src"), "source_size", "target", "rate")
-    #: One row per source, left to Spark's size check for a broadcast.
+    per = broadcast_if_small(cut(per), BROADCAST_SOURCES)
     drawn = sized.join(per, sized.source.eqNullSafe(per.src))
     fraction = F.col("rate") - F.floor("rate")
     sums = [F.sum(F.when(_draw(F.lit(k)) < fraction, F.col("size")).otherwise(F.lit(0))).alias(f"s{k}") for k in range(SEEDS)]
@@ -82,7 +84,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0)
     A null text has size 0; null sources are one source, the last; a source without words has target 0 and takes
     nothing. An empty table gives no rows. Texts are read twice: for the sizes, and to be copied.
     """
-    chosen = cut(choose(_sizes(docs), weights, cap))
+    chosen = broadcast_if_small(cut(choose(_sizes(docs), weights, cap)), BROADCAST_SOURCES)
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size"))
     planned = with_copies(plain, chosen).filter("copies > 0")
     again = planned.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
@@ -92,7 +94,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0)
 def report(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
     """doc_id, size, source_size, target and taken: the words of a row that the mix takes, repeats counted."""
     sized = _sizes(docs)
-    planned = with_copies(sized, choose(sized, weights, cap))
+    chosen = broadcast_if_small(cut(choose(sized, weights, cap)), BROADCAST_SOURCES)
+    planned = with_copies(sized, chosen)
     return planned.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
