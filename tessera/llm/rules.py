@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE, cut
+from tessera.llm.common import SPACE, broadcast_if_small, cut
 
 #: Frequent function words of English, German, French and Spanish.
 COMMON = (
@@ -68,9 +68,12 @@ def histograms(counted: DataFrame) -> DataFrame:
         rest = F.col(f"_r{k}")
     chars = F.array(*names, F.length(rest).cast("long"))
     left = left.withColumn("chars", chars)
-    left = left.withColumn("found", F.transform(F.filter("words", lambda w: F.lower(w).isin(*COMMON)), lambda w: F.lower(w)))
-    each = [(F.size("found") - F.size(F.array_remove("found", w))).cast("long") for w in COMMON]
-    return left.withColumn("common", F.array(*each, F.col("n_words") - F.size("found")))
+    #: The common words of a text stand in one string, each between blanks of its own, so that their number shows in
+    #: what is left without them.
+    found = F.transform(F.filter("words", lambda w: F.lower(w).isin(*COMMON)), lambda w: F.lower(w))
+    left = left.withColumn("n_found", F.size(found)).withColumn("found", F.concat(F.lit(" "), F.array_join(found, "  "), F.lit(" ")))
+    each = [((F.octet_length("found") - F.octet_length(F.replace("found", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long") for w in COMMON]
+    return left.withColumn("common", F.array(*each, F.col("n_words") - F.col("n_found")))
 
 
 def _shares(counts: Column) -> Column:
@@ -124,12 +127,13 @@ def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: fl
 def report(docs: DataFrame, **limits: float) -> DataFrame:
     """doc_id, the base counts, the two distances, base_failed and kept of every row; each text is read once."""
     measured = cut(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"]))
-    found = judge(measured, references(measured), **limits)
+    found = judge(measured, broadcast_if_small(cut(references(measured)), 10_000), **limits)
     return found.select(F.col("row.doc_id").cast("long").alias("doc_id"), *[c for c in found.columns if c not in ("row", "seq")])
 
 
 def passed(docs: DataFrame, **limits: float) -> DataFrame:
     """The rows of docs that judge keeps, with all their columns. Texts are read twice, so that none is checkpointed."""
-    ref = cut(references(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"])))
+    slim = cut(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"]).select("lang", "n_words", "chars", "common"))
+    ref = broadcast_if_small(cut(references(slim)), 10_000)
     found = judge(_measured(docs, docs.columns), ref, **limits).filter("kept AND seq >= 0")
     return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
