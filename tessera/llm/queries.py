@@ -71,4 +71,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.SQL, "op9_warc_convert": warc.SQL, "op10_quality_rules": rules.SQL}

@@ -101,7 +101,8 @@ def references(measured: DataFrame, ref_words: int = 20) -> DataFrame:
     """One row per language: the summed histograms, as shares, of its documents of at least ref_words words."""
     chars, common = range(len(CLASSES) + 1), range(len(COMMON) + 1)
     counts = lambda c, k: F.sum(F.when(F.col("n_words") >= ref_words, F.col(c)[k]).otherwise(F.lit(0)))
-    ref = measured.groupBy("lang").agg(*[counts("chars", k).alias(f"a{k}") for k in chars], *[counts("common", k).alias(f"b{k}") for k in common])
+    known = F.count_if(F.col("n_words") >= ref_words).alias("docs")
+    ref = measured.groupBy("lang").agg(known, *[counts("chars", k).alias(f"a{k}") for k in chars], *[counts("common", k).alias(f"b{k}") for k in common]).filter("docs > 0")
     return ref.select(
         F.col("lang").alias("ref_lang"),
         _shares(F.array(*[F.col(f"a{k}") for k in chars])).alias("ref_chars"),
@@ -125,9 +126,10 @@ def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: fl
 
 
 def report(docs: DataFrame, **limits: float) -> DataFrame:
-    """doc_id, the base counts, the two distances, base_failed and kept of every row; each text is read once."""
+    """doc_id, the base counts, the two distances (six digits), base_failed and kept of every row; each text is read once."""
     measured = cut(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"]))
     found = judge(measured, broadcast_if_small(cut(references(measured)), 10_000), **limits)
+    found = found.withColumns({c: F.round(c, 6) for c in ("char_distance", "common_distance")})
     return found.select(F.col("row.doc_id").cast("long").alias("doc_id"), *[c for c in found.columns if c not in ("row", "seq")])
 
 
@@ -137,3 +139,48 @@ def passed(docs: DataFrame, **limits: float) -> DataFrame:
     ref = broadcast_if_small(cut(references(slim)), 10_000)
     found = judge(_measured(docs, docs.columns), ref, **limits).filter("kept AND seq >= 0")
     return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def _sql(min_words: int = 50, ref_words: int = 20, max_char: float = 0.32, max_common: float = 0.45) -> str:
+    rest, chars, steps = "j", [], []
+    for k, pattern in enumerate(CLASSES):
+        quoted = pattern.replace("'", "''")
+        steps.append(f"c{k} AS (SELECT *, regexp_replace({rest}, '{quoted}', '', 'g') AS r{k} FROM {'w' if not k else f'c{k - 1}'})")
+        chars.append(f"length({rest}) - length(r{k})")
+        rest = f"r{k}"
+    chars.append(f"length({rest})")
+    common = [f"len(list_filter(low, lambda x: x = '{w}'))" for w in COMMON]
+    others = f"len(list_filter(low, lambda x: x NOT IN ({', '.join(repr(w) for w in COMMON)})))"
+    part = lambda a, b: f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), w AS (
+  SELECT *, len(words) AS n_words, array_to_string(words, '') AS j, list_transform(words, lambda x: lower(x)) AS low,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d
+), g AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i + 1:i + 5]) AS n FROM (SELECT rid, words, unnest(range(0, len(words) - 4)) AS i FROM d WHERE len(words) > 5)
+), r AS (
+  SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM g WHERE n > 1) GROUP BY rid
+), {", ".join(steps)}, h AS (
+  SELECT rid, lang, n_words, [{", ".join(chars)}] AS chars, [{", ".join(common)}, {others}] AS common FROM c{len(CLASSES) - 1}
+), v AS (
+  SELECT rid, lang, n_words, 'chars' AS kind, unnest(chars) AS x, generate_subscripts(chars, 1) AS k FROM h
+  UNION ALL SELECT rid, lang, n_words, 'common', unnest(common), generate_subscripts(common, 1) FROM h
+), f AS (
+  SELECT lang, kind, k, x / nullif(sum(x) OVER (PARTITION BY lang, kind), 0)::DOUBLE AS q FROM (SELECT lang, kind, k, sum(x) AS x FROM v WHERE n_words >= {ref_words} GROUP BY ALL)
+), p AS (
+  SELECT *, coalesce(x / nullif(sum(x) OVER (PARTITION BY rid, kind), 0)::DOUBLE, 0) AS p FROM v
+), s AS (
+  SELECT rid, p.kind, sqrt(greatest(0, sum(({part("p", "q")} + {part("q", "p")}) / 2))) AS js FROM p JOIN f ON p.lang IS NOT DISTINCT FROM f.lang AND p.kind = f.kind AND p.k = f.k GROUP BY ALL
+), b AS (
+  SELECT w.doc_id, n_words::BIGINT AS n_words, length(j)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, sc.js AS jc, sm.js AS jm, n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS base_failed
+  FROM w LEFT JOIN r ON w.rid = r.rid LEFT JOIN s sc ON w.rid = sc.rid AND sc.kind = 'chars' LEFT JOIN s sm ON w.rid = sm.rid AND sm.kind = 'common'
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(jc, 6) AS char_distance, round(jm, 6) AS common_distance, base_failed,
+  NOT base_failed AND (n_words < {min_words} OR (coalesce(jc, 0) <= {max_char} AND coalesce(jm, 0) <= {max_common})) AS kept FROM b
+"""
+
+
+SQL = _sql()

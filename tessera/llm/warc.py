@@ -228,3 +228,10 @@ def round_trip(pages: DataFrame, version: int = 1) -> DataFrame:
     path = scratch(pages.sparkSession, "warc")
     archive_pages(pages, path, version)
     return read_archives(pages.sparkSession, path)
+
+
+#: What round_trip gives for pages.
+SQL = """
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first < page_id THEN first END AS refers_to
+FROM (SELECT page_id, h, CASE WHEN strlen(h) >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
+"""

@@ -425,12 +425,15 @@ def test_queries_and_pipeline_run(spark):
     assert docs.count() > 0
 
 
-def test_mixing_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql_gives_the_same_rows(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
-    expected = sorted(con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.SQL})").fetchall())
-    assert sorted(map(tuple, queries.op4_source_mixing(spark, SMALL).collect())) == expected
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, SMALL)
+    expected = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, expected))
 
 
 def test_histograms_equal_brute_force(spark):
