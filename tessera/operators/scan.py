@@ -46,6 +46,19 @@ def scan_report(records: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return j.select("domain", "ts", decisions.with_history(F.col("group"), F.col("_t"), F.col("_p")).alias("group"), F.col("group").alias("group_now"), "other_brands", "ever_brands", "n_records")
 
 
+def pick_candidates(links: DataFrame, most: int = 25, config: Config = DEFAULT) -> DataFrame:
+    """DC9, TK9: which links of a site to follow: referral links, tracker shapes, gates, then at most three plain links
+    that carry the brand. links: domain, url, ordinal. Other links and links inside the site, but for gates, are none."""
+    u, site = F.col("url"), F.col("domain")
+    inside, gate = U.same_site(U.url_host(u), site), U.path_shapes(u)["gate"]
+    kind = U.classify_ref(u, site, config=config)
+    rank = F.when(~inside & kind.isin("ref", "known_ref_host"), 0).when(~inside & U.looks_tracker(u, config), 1).when(gate, 2).when(~inside & ((kind == "brand_host") | u.rlike(config.brand)), 3)
+    found = links.withColumn("rank", rank).filter("rank IS NOT NULL").groupBy("domain", "url", "rank").agg(F.min("ordinal").alias("ordinal"))
+    within = F.row_number().over(Window.partitionBy("domain", "rank").orderBy("ordinal", "url"))
+    capped = found.withColumn("_w", within).filter((F.col("rank") != 3) | (F.col("_w") <= config.thresholds.branded_plain_links))
+    return tables.top_per_group(capped.withColumnRenamed("rank", "kind"), ["domain"], [F.col("kind"), F.col("ordinal"), F.col("url")], most).drop("_w")
+
+
 def inner_pages(links: DataFrame, posts: int = 3, total: int = 4, config: Config = DEFAULT) -> DataFrame:
     """HT12, DC9, TK9: at most three posts and other useful pages up to four per site, in order of appearance.
 

@@ -129,3 +129,9 @@ def test_captured_markup(spark):
     assert [tuple(x) for x in got[0]] == [("en", "http://a.example/")] and got[1] == "https://b.example/x"
     maps = col(spark, ["<loc> http://a.example/m.xml </loc><loc>http://a.example/p%20q</loc>"], html.sitemap_locations)
     assert [tuple(x) for x in maps[0]] == [("http://a.example/m.xml", True), ("http://a.example/p q", False)]
+
+
+def test_scripted_links():
+    hidden = base64.b64encode(b"https://h.example/p").decode().rstrip("=")
+    page = f"""<a onclick="window.open('/o')">x</a><i data-x="https://d.example/" data-y="{hidden}" data-z="plain"></i><script>location.href = "/s"; var q = "{hidden}";</script>"""
+    assert [(x["url"], x["source"]) for x in html.parse_one(page)["links"]] == [("/o", "onclick"), ("https://d.example/", "data"), ("https://h.example/p", "base64"), ("/s", "script"), ("https://h.example/p", "base64")]

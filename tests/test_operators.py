@@ -289,3 +289,50 @@ def test_corpus_pieces(spark):
     assert got.brands_order == ["globex", "acme"] and got.target_rank == 2 and got.neg_near == 1 and got.words == 6
     keys = spark.createDataFrame([("acme вход", 20), ("acme", 5), ("вход цена", 50)], "keyword string, volume int")
     assert rows(corpus.selected(keys, "[а-я]", "^$", [("price", "цена")], "вход").select("keyword", "theme")) == [("вход цена", "price")]
+
+
+def test_classify(spark):
+    from tessera.operators import classify
+
+    base = SITE | {"other_mentions": 0, "cloaked": False, "final_url": "", "redirect": None, "opened_before": False, "dead": False, "empty": False, "http_status": 200, "has_page": True, "not_shown": False, "placeholder": False, "wall": False, "wall_title": False, "has_features": True, "parked": False, "shell": False}
+    for name in ("ad", "other_ads", "plain", "other"):
+        base.pop(name)
+    made = [("m.example", {"in_domain": True, "mentions": 9, "density": 2.0, "topic_head": True}, ["http://new.example/"]), ("d.example", {"dead": True, "has_page": False}, []), ("r.example", {"mentions": 3, "topic_density": 9.0, "in_domain": True}, None), ("p.example", {"mentions": 1, "date_links": 9}, [])]
+    df = None
+    for domain, change, chain in made:
+        one = spark.range(1).select(F.lit(domain).alias("domain"), F.lit(chain).cast("array<string>").alias("chain") if chain is None else F.array(*[F.lit(c) for c in chain]).cast("array<string>").alias("chain"), *[F.lit(v).cast("string").alias(k) if k == "redirect" else F.lit(v).alias(k) for k, v in (base | change).items()])
+        df = one if df is None else df.unionByName(one)
+    dests = spark.createDataFrame([("m.example", 1, "http://g.example/?aff=1", "http://globex.example/", "link", "other", "Globex", "fields", "", True, [])], "domain string, ordinal int, url string, final_url string, via string, kind string, brand string, evidence string, pid string, ad_route boolean, hops array<string>")
+    verdicts = spark.createDataFrame([("d.example", "dead", "wrong", "stub"), ("m.example", "bait", "wrong", "x")], "domain string, given string, verdict string, should_be string")
+    got = classify.classify(df, dests, verdicts, spark.createDataFrame([("p.example", ["Hooli"])], "domain string, brands array<string>"))
+    sites = {r.domain: r for r in got.sites.collect()}
+    assert sites["m.example"].category == "mono_other" and sites["m.example"].other == ["Globex"] and sites["m.example"].check is None
+    assert sites["d.example"].rule_category == "dead" and sites["d.example"].category == "stub" and sites["d.example"].check == "fixed"
+    assert sites["p.example"].category == "page_other" and sites["p.example"].other == ["Hooli"]
+    assert rows(got.moves) == [("new.example", "mono_other")]
+
+
+def test_scores(spark):
+    from tessera.operators import scores
+
+    cols = {"category": "mono_other", "other": ["Globex", "Hooli"], "coded": True, "target": False, "density": 2.0, "tags": ["cloaked"], "shared_tracker": False, "single_template": False, "block_title": False, "has_html": True, "in_head": True, "in_domain": True, "unverified": 0}
+    make = lambda **c: spark.range(1).select(*[(F.array(*map(F.lit, v)).cast("array<string>") if isinstance(v, list) else F.lit(v)).alias(k) for k, v in (cols | c).items()])
+    r = scores.raw_score(make()).first()
+    assert r.raw == pytest.approx(0.91) and r.minus == ["cloaked"]
+    r = scores.raw_score(make(category="unclear", tags=[], block_title=True)).first()
+    assert r.raw == 0.05 and r.minus == ["block page"]
+    now = spark.createDataFrame([("a", "mono_other"), ("b", "dead"), ("c", "dead")], "domain string, category string")
+    verdicts = spark.createDataFrame([("a", "mono_other", "correct", None, 1, 1), ("a", None, "unsure", None, 2, 1), ("b", "dead", "wrong", "stub", 1, 1), ("z", "dead", "correct", None, 1, 1)], "domain string, given string, verdict string, should_be string, round int, ordinal int")
+    lab = scores.labels(verdicts, now)
+    assert rows(lab) == [("a", "mono_other", "mono_other", True), ("b", "dead", "stub", False)]
+    out = {r.domain: r.confidence for r in scores.calibrated(now.withColumn("raw", F.lit(0.8)), lab).collect()}
+    assert out["a"] > 0.8 > out["b"] == out["c"]
+
+
+def test_candidates(spark):
+    from tessera.operators import scan
+
+    urls = ["http://s.example/about", "http://acme.example/1", "http://acme.example/2", "http://acme.example/3", "http://acme.example/4", "http://o.example/?aff=1", "http://s.example/go/x", "http://plain.example/"]
+    df = spark.createDataFrame([("s.example", u, k) for k, u in enumerate(urls)], "domain string, url string, ordinal int")
+    got = [r.url for r in scan.pick_candidates(df).orderBy("rank").collect()]
+    assert got[0] == urls[5] and urls[6] in got and urls[0] not in got and urls[7] not in got and sum("acme" in u for u in got) == 3
