@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import U64, constants, cut, mix, scratch, small_batches
-from tessera.llm.tokens import WordTokenizer, in_groups
+from tessera.llm.tokens import in_groups, shared_tokenizer
 
 
 class Permutation:
@@ -59,8 +59,10 @@ def stride(seq_len: int) -> int:
 
 def _sequencer(path: str | None, seq_len: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer = WordTokenizer(path), zstandard.ZstdCompressor(level=3)
+        tokenizer, packer = shared_tokenizer(path), zstandard.ZstdCompressor(level=3)
         held, n, place = [], 0, 0
+        if tokenizer.ends.size > 1 << 16:
+            raise ValueError("the tokenizer's ids do not fit 16 bits")
 
         def record(ids: np.ndarray) -> bytes:
             full = np.zeros(seq_len, "<u2")
@@ -71,8 +73,6 @@ def _sequencer(path: str | None, seq_len: int, end_id: int):
             texts = [t.as_py() for t in b.column(0)]
             for _, part in in_groups(texts, texts):
                 for ids in tokenizer.encode(part):
-                    if ids.size and int(ids.max()) > 0xFFFF:
-                        raise ValueError("an id does not fit 16 bits")
                     held += [ids, np.array([end_id], np.uint32)]
                     n += ids.size + 1
                 if n >= seq_len:
@@ -130,7 +130,10 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, seq_len: int = 2048,
     return total
 
 
-def _records(seq_len: int, per_shard: int, low: int, high: int | None):
+def _records(seq_len: int, per_shard: int, low: int, high: int | None, order: tuple[int, int] | None = None):
+    """path, content -> slot, n_tokens and ids; with order (size, key) the sequence's number before slot and a CRC-32 in
+    place of ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = stride(seq_len)
         for b in batches:
@@ -145,7 +148,11 @@ def _records(seq_len: int, per_shard: int, low: int, high: int | None):
                     part = records[at : min(at + 512, keep.stop)]
                     n = part[:, :4].copy().view("<u4").ravel().astype(np.int64)
                     ids = part[:, 4:-1].copy().view("<u2")
-                    yield pa.RecordBatch.from_arrays([pa.array(first + at + np.arange(len(part))), pa.array(n), pa.array([ids[k, : n[k]].tobytes() for k in range(len(part))], pa.binary())], ["slot", "n_tokens", "ids"])
+                    slot, texts = first + at + np.arange(len(part)), [ids[k, : n[k]].tobytes() for k in range(len(part))]
+                    if order is None:
+                        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n), pa.array(texts, pa.binary())], ["slot", "n_tokens", "ids"])
+                    else:
+                        yield pa.RecordBatch.from_arrays([pa.array(Permutation(*order).sequences(slot)), pa.array(slot), pa.array(n), pa.array([zlib.crc32(t) for t in texts], pa.int64())], ["sequence_id", "slot", "n_tokens", "ids_crc32"])
 
     return run
 
@@ -167,23 +174,12 @@ def read_shards(spark: SparkSession, path: str, seq_len: int = 2048, per_shard:
     return files.select("path", "content").mapInArrow(_records(seq_len, per_shard, start, stop), "slot long, n_tokens long, ids binary")
 
 
-def _digest(size: int, key: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = Permutation(size, key)
-        for b in batches:
-            slot = b.column(0).to_numpy()
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in b.column(2)], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(order.sequences(slot)), b.column(0), b.column(1), crc], ["sequence_id", "slot", "n_tokens", "ids_crc32"])
-
-    return run
-
-
 def materialise(docs: DataFrame, key: int = 1, seq_len: int = 2048, per_shard: int = 4096) -> DataFrame:
     """Write docs as shards in the shared folder and read them back: sequence_id, slot, n_tokens, ids_crc32, shard."""
     path = scratch(docs.sparkSession, "shards")
     total = write_shards(docs, path, key, seq_len, per_shard)
     if not total:
         return docs.sparkSession.createDataFrame([], "sequence_id long, slot long, n_tokens long, ids_crc32 long, shard long")
-    read = read_shards(docs.sparkSession, path, seq_len, per_shard)
-    found = read.mapInArrow(_digest(total, key), "sequence_id long, slot long, n_tokens long, ids_crc32 long")
+    files = docs.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    found = files.mapInArrow(_records(seq_len, per_shard, 0, None, (total, key)), "sequence_id long, slot long, n_tokens long, ids_crc32 long")
     return found.withColumn("shard", F.floor(F.col("slot") / per_shard))

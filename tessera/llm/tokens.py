@@ -33,6 +33,19 @@ def default_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Codes(dict):
+    """Numbers of words; a word that is not known yet gets the next one and is noted in new."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = len(self)
+        self.new.append(word)
+        return k
+
+
 class WordTokenizer:
     """Ids of texts; the ids of words seen lately are kept, in bounded memory."""
 
@@ -59,7 +72,7 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
+        self.codes = Codes()
         self.start, self.size, self.flat, self.used = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, np.uint32), 0
 
     def _one(self, text: str) -> np.ndarray:
@@ -94,50 +107,42 @@ class WordTokenizer:
         alone = [self._one(w.decode("utf-8", "replace")) for w in words]
         return np.concatenate(alone), np.array([x.size for x in alone])
 
-    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n, used = len(self.codes), self.used + ids.size
-        while n + sizes.size > self.start.size:
-            self.start, self.size = np.concatenate([self.start, self.start]), np.concatenate([self.size, self.size])
+    def _keep(self, codes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        used = self.used + ids.size
         while used > self.flat.size:
             self.flat = np.concatenate([self.flat, self.flat])
-        self.codes.update(zip(words, range(n, n + sizes.size), strict=True))
-        self.start[n : n + sizes.size] = self.used + np.cumsum(sizes) - sizes
-        self.size[n : n + sizes.size] = sizes
+        self.start[codes] = self.used + np.cumsum(sizes) - sizes
+        self.size[codes] = sizes
         self.flat[self.used : used] = ids
         self.used = used
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self) -> None:
         #: A run of these marks after an ASCII letter is a piece of its own, so such a word is its two parts.
-        marks, mark = b".,!?;:#*$%&", self.MARK.encode()
-        letters, rest, parted = [], [], []
-        for w in words:
+        marks, mark, codes = b".,!?;:#*$%&", self.MARK.encode(), self.codes
+        letters, latin, many, odd, parted = [], [], [], [], []
+        words = codes.new
+        for w in words:  # the list grows by the parts that are new themselves
             if w.isalpha():
-                (letters if w.islower() else rest).append(w)
+                (letters if w.islower() else latin).append(w)
                 continue
             b = w.rstrip(marks)
             if b and len(b) < len(w) and 97 <= b[-1] <= 122:
-                parted.append((w, b))
-            else:
-                rest.append(w)
-        parts = {b for _, b in parted}
-        parts.update([w[len(b) :] for w, b in parted])
-        parts.difference_update(self.codes.keys(), letters, rest)
-        for w in parts:
-            (letters if w.isalpha() and w.islower() else rest).append(w)
-        latin, many, odd = [], [], []
-        for w in rest:
-            if LATIN.fullmatch(w):
+                parted += [codes[w], codes[b], codes[w[len(b) :]]]
+            elif LATIN.fullmatch(w):
                 latin.append(w)
             else:
                 (odd if mark in w or b"<|" in w else many).append(w)
+        codes.new = []
+        while len(codes) > self.start.size:
+            self.start, self.size = np.concatenate([self.start, self.start]), np.concatenate([self.size, self.size])
         for own, run in ((letters, self._letters), (latin, self._latin), (many, self._many), (odd, self._alone)):
             for low in range(0, len(own), self.step):
-                self._keep(own[low : low + self.step], *run(own[low : low + self.step]))
+                part = own[low : low + self.step]
+                self._keep(np.fromiter(map(codes.__getitem__, part), np.int64, len(part)), *run(part))
         if parted:
-            codes = self.codes
-            pairs = np.array([c for w, b in parted for c in (codes[b], codes[w[len(b) :]])], np.int64)
-            sizes = self.size[pairs]
-            self._keep([w for w, _ in parted], self._gather(pairs, sizes), sizes.reshape(-1, 2).sum(axis=1))
+            whole, pairs = np.split(np.array(parted, np.int64).reshape(-1, 3), [1], axis=1)
+            sizes = self.size[pairs.ravel()]
+            self._keep(whole.ravel(), self._gather(pairs.ravel(), sizes), sizes.reshape(-1, 2).sum(axis=1))
 
     def _gather(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         ends = np.cumsum(sizes, dtype=np.int32 if sizes.sum() < 1 << 31 else np.int64)
@@ -151,14 +156,10 @@ class WordTokenizer:
             self._clear()
         #: The tokenizer lower-cases; only its special tokens, which hold "<|", are told apart by case.
         split = [(t.split() if b"<|" in t else t.lower().split()) if t else [] for t in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(words)
-        new -= self.codes.keys()
-        if new:
-            self._learn(new)
         counts = np.array([len(words) for words in split], np.int64)
         c = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if self.codes.new:
+            self._learn()
         sizes = self.size[c]
         ids = self._gather(c, sizes)
         stops = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
