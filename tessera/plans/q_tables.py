@@ -284,3 +284,37 @@ def queue_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tolerant_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX20."""
     return events(spark, sf_dir).select("event_id", T.number(F.rtrim(F.element_at(F.split("props", ":"), 2), F.lit("}"))).alias("v"))
+
+
+@query("SELECT c_mktsegment, count(*) AS n, count(*) FILTER (WHERE coalesce(k, 0) = 0) AS n_zero FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS k FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) o ON c_custkey = o_custkey GROUP BY c_mktsegment")
+def group_zero_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT4: members of each group, and those without traffic."""
+    traffic = orders(spark, sf_dir).filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("k"))
+    j = customer(spark, sf_dir).select("c_custkey", "c_mktsegment").join(traffic, "c_custkey", "left")
+    return j.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.count_if(F.coalesce("k", F.lit(0)) == 0).alias("n_zero"))
+
+
+@query("""
+SELECT count(*) AS n, sum(p_size)::BIGINT AS volume, avg((p_type = 'PROMO')::INT) AS promo_share FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')
+""")
+def keyword_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT5: what one list has and the other has not, its volume and the share of a kind."""
+    have = lineitem(spark, sf_dir).filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
+    gap = tables.without(part(spark, sf_dir), have, "p_partkey")
+    return gap.agg(F.count("*").alias("n"), F.sum(F.col("p_size").cast("long")).alias("volume"), F.avg((F.col("p_type") == "PROMO").cast("int")).alias("promo_share"))
+
+
+@query("SELECT coalesce(r_name, 'open') AS market, count(*) AS suppliers, sum(s_acctbal::DECIMAL(18, 2))::DOUBLE AS balance FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') ON n_regionkey = r_regionkey GROUP BY 1")
+def market_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT6: a metric by country joined to the state of its market, open where none is known."""
+    region = table("region")(spark, sf_dir).filter("r_name <> 'ASIA'")
+    j = supplier(spark, sf_dir).join(nation(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return j.groupBy(F.coalesce("r_name", F.lit("open")).alias("market")).agg(F.count("*").alias("suppliers"), F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"))
+
+
+@query("SELECT event_type, k % 3 AS size_class, count(*) AS n, count(DISTINCT user_id) AS exits, count(*) FILTER (WHERE (k % 2 = 0) <> (user_id % 2 = 0)) AS differ FROM (SELECT *, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY ALL")
+def response_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MT8: one address seen from many exits: answers by state, and where two sources differ."""
+    own = events(spark, sf_dir).withColumn("k", F.from_json("props", "k bigint")["k"])
+    differ = F.count_if((F.pmod("k", F.lit(2)) == 0) != (F.pmod("user_id", F.lit(2)) == 0))
+    return own.groupBy("event_type", F.pmod("k", F.lit(3)).alias("size_class")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("exits"), differ.alias("differ"))
