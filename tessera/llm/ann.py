@@ -23,15 +23,18 @@ def _far(x: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, at: np.ndarray, beam: int, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
-    """The beam (ids, squared distances, nearest first, -1 where there are fewer) of every row of at."""
+def beam_search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, at: np.ndarray, beam: int, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """The beam (ids, squared distances, nearest first, -1 where there are fewer) of every row of at, from all entries."""
     b, n = len(at), len(x)
     rows = np.arange(b)[:, None]
     seen = np.zeros((b, n + 1), bool)
     ids = np.full((b, beam), -1)
-    ids[:, 0] = entry
-    seen[:, entry] = seen[:, n] = True
+    entries = entries[:beam]
+    ids[:, : entries.size] = entries
+    seen[:, entries] = seen[:, n] = True
     dist = _far(x, at, ids)
+    order = np.argsort(dist, axis=1, kind="stable")
+    ids, dist = ids[rows, order], dist[rows, order]
     done = ids < 0
     while True:
         open_ = np.where(done, np.inf, dist)
@@ -79,24 +82,48 @@ def robust_prune(x: np.ndarray, at: np.ndarray, cand: np.ndarray, degree: int, a
     return out
 
 
-def build_graph(x: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, step: int = 512, seed: int = 7) -> tuple[np.ndarray, int]:
-    """The out-edges (n, degree; -1: none) of a robust-pruned graph and its entry point, the vector nearest the mean."""
+def build_graph(x: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, step: int = 512, seed: int = 7, starts: int = 48) -> tuple[np.ndarray, np.ndarray]:
+    """The out-edges (n, degree + 1; -1: none) of a robust-pruned graph and its entry points: the vector nearest the mean
+    and random ones, so that a search is not caught outside a far group. The last edge is for nodes that no path reached."""
     n = len(x)
     rng = np.random.default_rng(seed)
     entry = int(_far(x, x.mean(axis=0, keepdims=True), np.arange(n)[None, :])[0].argmin())
     graph = np.full((n, degree), -1)
     order = rng.permutation(n)
     order = np.concatenate([[entry], order[order != entry]])
+    entries = order[: min(starts, beam)].copy()
     for relax in (1.0, alpha):
         size, low = (1, 1) if relax == 1.0 else (step, 0)
         while low < n:
             part = order[low : low + size]
-            cand, _ = beam_search(x, graph, entry, x[part], beam)
+            cand, _ = beam_search(x, graph, entries, x[part], beam)
             graph[part] = robust_prune(x, part, np.concatenate([cand, graph[part]], axis=1), degree, relax)
             _add_back(x, graph, part, degree, relax)
             low += size
             size = min(step, 2 * size)
-    return graph, entry
+    return _connected(x, graph, entries, beam), entries
+
+
+def _connected(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, beam: int) -> np.ndarray:
+    """The graph with one more edge a node; it leads to nodes that no path from the entries reaches, from near ones."""
+    graph = np.concatenate([graph, np.full((len(x), 1), -1)], axis=1)
+    reached = np.zeros(len(x) + 1, bool)
+    reached[-1] = True
+
+    def walk(front: np.ndarray) -> None:
+        while front.size:
+            reached[front] = True
+            front = np.unique(graph[front])
+            front = front[~reached[front]]
+
+    walk(entries)
+    while not reached.all():
+        lost = int(np.flatnonzero(~reached)[0])
+        near, _ = beam_search(x, graph, entries, x[[lost]], beam)
+        free = [k for k in near[0] if k >= 0 and graph[k, -1] < 0] or np.flatnonzero(reached[:-1] & (graph[:, -1] < 0)).tolist()
+        graph[free[0], -1] = lost
+        walk(np.array([lost]))
+    return graph
 
 
 def _add_back(x: np.ndarray, graph: np.ndarray, part: np.ndarray, degree: int, relax: float) -> None:
@@ -134,9 +161,9 @@ def _index_shard(degree: int, beam: int, alpha: float):
         #: Equal vectors are one node, with all their ids.
         unique, inverse = np.unique(x, axis=0, return_inverse=True)
         inverse = inverse.ravel()
-        graph, entry = build_graph(_augmented(unique), degree, beam, alpha)
+        graph, entries = build_graph(_augmented(unique), degree, beam, alpha)
         order = np.argsort(inverse, kind="stable")
-        return pd.DataFrame({"dim": [x.shape[1]], "shard": [rows["shard"].iloc[0]], "entry": [entry], "vectors": [unique.tobytes()], "graph": [graph.astype(np.int32).tobytes()], "ids": [ids[order].astype(np.int64).tobytes()], "copies": [np.bincount(inverse).astype(np.int64).tobytes()]})
+        return pd.DataFrame({"dim": [x.shape[1]], "shard": [rows["shard"].iloc[0]], "entries": [entries.astype(np.int64).tobytes()], "vectors": [unique.tobytes()], "graph": [graph.astype(np.int32).tobytes()], "ids": [ids[order].astype(np.int64).tobytes()], "copies": [np.bincount(inverse).astype(np.int64).tobytes()]})
 
     return run
 
@@ -149,7 +176,7 @@ def _search_shard(k: int, beam: int, step: int = 256):
         row, dim = index.iloc[0], int(index["dim"].iloc[0])
         vectors = np.frombuffer(row["vectors"], np.float32).reshape(-1, dim)
         ids, copies = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64)
-        graph = np.frombuffer(row["graph"], np.int32).reshape(len(vectors), -1)
+        graph, entries = np.frombuffer(row["graph"], np.int32).reshape(len(vectors), -1), np.frombuffer(row["entries"], np.int64)
         start, x, exact = np.cumsum(copies) - copies, _augmented(vectors), vectors.astype(np.float64)
         for low in range(0, len(queries), step):
             part = queries.iloc[low : low + step]
@@ -157,7 +184,7 @@ def _search_shard(k: int, beam: int, step: int = 256):
             if len(x) <= beam:
                 found = np.broadcast_to(np.arange(len(x)), (len(q), len(x)))
             else:
-                found, _ = beam_search(x, graph, int(row["entry"]), np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1), beam)
+                found, _ = beam_search(x, graph, entries, np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1), beam)
             score = (exact[found] * q.astype(np.float64)[:, None, :]).sum(axis=-1)
             score[found < 0] = -np.inf
             best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
@@ -178,7 +205,7 @@ def _search_shard(k: int, beam: int, step: int = 256):
     return run
 
 
-def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", degree: int = 32, build_beam: int = 64, beam: int = 128, alpha: float = 1.2, shard_rows: int = 8192, query_block: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", degree: int = 32, build_beam: int = 64, beam: int = 192, alpha: float = 1.2, shard_rows: int = 8192, query_block: int = 4096) -> DataFrame:
     """The k nearest found for each query, by largest inner product; ties go to the smaller id.
 
     queries: an SQL condition on the id that picks the query rows; candidates are all rows but the query's own.
@@ -194,7 +221,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
     total = rows.count()
     shards = max(1, -(-total // shard_rows))
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int"))
-    index = cut(sharded.groupBy("dim", "shard").applyInPandas(_index_shard(degree, build_beam, alpha), "dim int, shard int, entry int, vectors binary, graph binary, ids binary, copies binary"))
+    index = cut(sharded.groupBy("dim", "shard").applyInPandas(_index_shard(degree, build_beam, alpha), "dim int, shard int, entries binary, vectors binary, graph binary, ids binary, copies binary"))
     asked = rows.filter(queries)
     blocks = max(1, -(-asked.count() // query_block))
     asked = asked.withColumn("query_hash", F.xxhash64("embedding")).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
