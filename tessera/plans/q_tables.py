@@ -37,11 +37,11 @@ def redo_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("user_id", F.col("first.event_id").alias("first_event"), F.col("last.event_id").alias("last_event"))
 
 
-@query("SELECT user_id, list_sort(list(DISTINCT event_type)) AS ever_types, count(DISTINCT event_type) > 1 AS changed FROM events GROUP BY user_id")
+@query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ' ') AS ever_types, count(DISTINCT event_type) > 1 AS changed FROM events GROUP BY user_id")
 def event_history_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG14, DC11: the union of what was ever seen."""
     own = events(spark, sf_dir).select("user_id", F.array("event_type").alias("types"), F.col("event_type").alias("signature"))
-    return keyed.history(own, "user_id", ["types"], "signature")
+    return keyed.history(own, "user_id", ["types"], "signature").withColumn("ever_types", F.array_join("ever_types", " "))
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER w AS b, row_number() OVER w AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE r = 1 OR event_type IS DISTINCT FROM b")
@@ -108,13 +108,13 @@ def tracker_set_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_suppkey, CASE WHEN t AND o THEN '4_mixed' WHEN t THEN '1_target_only' WHEN o THEN '3_other_only' ELSE '2_no_ads' END AS "group", brands AS other_brands FROM (
+SELECT l_suppkey, CASE WHEN t AND o THEN '4_mixed' WHEN t THEN '1_target_only' WHEN o THEN '3_other_only' ELSE '2_no_ads' END AS "group", array_to_string(brands, ' ') AS other_brands FROM (
   SELECT l_suppkey, bool_or(l_returnflag = 'A' AND l_quantity > 40) AS t, bool_or(l_returnflag = 'R' AND l_quantity > 40) AS o, coalesce(list_sort(list(DISTINCT l_linestatus) FILTER (WHERE l_returnflag = 'R' AND l_quantity > 40)), []) AS brands FROM lineitem GROUP BY l_suppkey)
 """)
 def group_from_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG15."""
     kind = F.when((F.col("l_returnflag") == "A") & (F.col("l_quantity") > 40), "target").when((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40), "other").otherwise("none")
-    return tables.site_group(lineitem(spark, sf_dir).withColumn("kind", kind), "l_suppkey", "kind", "l_linestatus")
+    return tables.site_group(lineitem(spark, sf_dir).withColumn("kind", kind), "l_suppkey", "kind", "l_linestatus").withColumn("other_brands", F.array_join("other_brands", " "))
 
 
 @query("""
