@@ -9,9 +9,13 @@ from tessera.llm.common import cut
 
 
 def _stars(edges: DataFrame) -> DataFrame:
-    """Each row (u, v) with m, the smallest of u and all its v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-    return edges.join(least, edges.u == least.x).select("u", "v", "m")
+    """Each row (u, v) with m, the smallest of u and all its v.
+
+    The join's key is not the aggregate's, so both sides are dealt anew and Spark can split the rows of a node with very
+    many edges.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("k"), F.least("u", "m").alias("m"))
+    return edges.withColumn("k", F.bitwise_not("u")).join(least, "k").select("u", "v", "m")
 
 
 def _large(edges: DataFrame) -> DataFrame:
