@@ -7,6 +7,8 @@ in the template), and a template counts once its mandatory key phrases stand in
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,24 +84,22 @@ def template_matches(read: DataFrame, rare_words: int = 8, least_share: float =
     """row_id, label, share: the largest weight of a template's indexed words that stand at one relative position, as a
     share of the weight of its rarest ones, where it is least_share or more and the key phrases stand in the text."""
     spark = read.sparkSession
-    #: Tables of the templates, of fixed size.
-    postings = [(w, t, i) for t, (_, text, _) in enumerate(TEMPLATES) for i, w in enumerate(text.split()) if w not in STOP]
-    index = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, postings))} AS (word, template, place)")
-    rows = [f"({t}, '{label}', array({', '.join(map(repr, keys))}))" for t, (label, _, keys) in enumerate(TEMPLATES)]
-    known = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS (template, label, keys)")
     hits = read.filter(F.size("hits") > 0).select("row_id", "phrases", F.explode("hits").alias("hit")).select("row_id", "phrases", "hit.word", "hit.at")
-    frequency = hits.select("row_id", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
-    #: At most one row per indexed word.
-    idf = frequency.select("word", F.log(1.0 + F.lit(read.count()) / F.col("df")).alias("idf"))
-    #: A word that no document holds weighs as one that a single document holds.
-    weighed = index.join(F.broadcast(idf), "word", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(1.0 + read.count()))))
+    #: At most one row per indexed word comes to the driver. A word that no document holds weighs as one that one holds.
+    docs = read.count()
+    df = {r["word"]: r["df"] for r in hits.groupBy("word").agg(F.count_distinct("row_id").alias("df")).collect()}
+    idf = {w: math.log(1.0 + docs / df.get(w, 1)) for w in indexed_words()}
     #: A document offers rare_words words, so a template weighs what its own rarest ones weigh.
-    place = F.row_number().over(Window.partitionBy("template").orderBy(F.desc("idf"), "word", "place"))
-    whole = weighed.withColumn("rank", place).filter(F.col("rank") <= rare_words).groupBy("template").agg(F.sum("idf").alias("whole"))
+    places = [[(w, i) for i, w in enumerate(text.split()) if w not in STOP] for _, text, _ in TEMPLATES]
+    whole = [sum(sorted((idf[w] for w, _ in own), reverse=True)[:rare_words]) for own in places]
+    index = spark.sql(f"SELECT * FROM VALUES {', '.join(str((w, t, i)) for t, own in enumerate(places) for w, i in own)} AS (word, template, place)")
+    weights = spark.sql(f"SELECT * FROM VALUES {', '.join(f'({w!r}, {x!r}D)' for w, x in idf.items())} AS (word, idf)")
+    rows = [f"({t}, '{label}', array({', '.join(map(repr, keys))}), {whole[t]!r}D)" for t, (label, _, keys) in enumerate(TEMPLATES)]
+    known = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS (template, label, keys, whole)")
     rank = F.dense_rank().over(Window.partitionBy("row_id").orderBy(F.desc("idf"), "word"))
-    rare = hits.join(F.broadcast(idf), "word").withColumn("rank", rank).filter(F.col("rank") <= rare_words)
+    rare = hits.join(F.broadcast(weights), "word").withColumn("rank", rank).filter(F.col("rank") <= rare_words)
     met = rare.join(F.broadcast(index), "word").groupBy("row_id", "template", (F.col("at") - F.col("place")).alias("shift")).agg(F.sum("idf").alias("weight"), F.first("phrases").alias("phrases"))
-    scored = met.join(F.broadcast(whole), "template").join(F.broadcast(known), "template").withColumn("share", F.least(F.lit(1.0), F.col("weight") / F.col("whole")))
+    scored = met.join(F.broadcast(known), "template").withColumn("share", F.least(F.lit(1.0), F.col("weight") / F.col("whole")))
     good = scored.filter((F.col("share") >= least_share) & (F.size(F.array_except("keys", "phrases")) == 0))
     return good.groupBy("row_id", "label").agg(F.max("share").alias("share"))
 
