@@ -36,7 +36,7 @@ def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm_score.score(docs, lm_score.fit(docs, table(spark, sf_dir, "labels").filter("quality = 1")))
+    return lm_score.differences(docs, table(spark, sf_dir, "labels").filter("quality = 1"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

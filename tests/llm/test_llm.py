@@ -307,6 +307,44 @@ def test_lm_score_equals_brute_force(spark):
         assert row.score == pytest.approx(loss[0] - loss[1], rel=1e-4, abs=1e-6)
 
 
+def test_lm_query_counts_every_word_and_pair(spark, tmp_path):
+    r = random.Random(7)
+    docs = [(k, " ".join(r.choice("abcd") if r.random() < 0.3 else "w%d" % r.randrange(90_000) for _ in range(600))) for k in range(300)] + [(None, "a b"), (400, None), (5, "a b a"), (401, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    brute_uni, brute_bi = [Counter(), Counter()], [Counter(), Counter()]
+    for i, t in docs:
+        s = (t or "").split()
+        for m in (0, 1) if i is not None and i < 300 and i % 3 == 0 else (1,):
+            brute_uni[m].update(s)
+            brute_bi[m].update(zip(s, s[1:], strict=False))
+    size = len(brute_uni[1])
+    assert size > 60_000
+    expected = {}
+    for i, t in docs:
+        s, loss = (t or "").split(), []
+        for uni, bi in zip(brute_uni, brute_bi, strict=True):
+            one = {w: (uni[w] + 0.5) / (uni.total() + 0.5 * (size + 1)) for w in s}
+            p = [one[w] for w in s[:1]] + [0.4 * one[b] + 0.6 * bi[a, b] / uni[a] if uni[a] else one[b] for a, b in zip(s, s[1:], strict=False)]
+            loss.append(-np.log(p).mean() if s else None)
+        expected[i, len(s)] = loss
+    many = lm_score.differences(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet").filter("quality = 1"), block_words=5000, part_bytes=100_000)
+    for found in (queries.op6_lm_score(spark, str(tmp_path)).collect(), many.collect()):
+        assert sorted((str(x.doc_id), x.n_words) for x in found) == sorted((str(i), len((t or "").split())) for i, t in docs)
+        for x in found:
+            target, background = expected[x.doc_id, x.n_words]
+            if not x.n_words:
+                assert x.target_loss is x.background_loss is x.score is None
+                continue
+            assert x.target_loss == pytest.approx(target, rel=1e-9) and x.background_loss == pytest.approx(background, rel=1e-9)
+            assert x.score == pytest.approx(target - background, rel=1e-9, abs=1e-12)
+
+
+def test_lm_vocabulary_is_filled(spark):
+    df = spark.createDataFrame([(1, " ".join("w%d" % k for k in range(50)) + " w0 w0 w1")], "doc_id long, text string")
+    assert [lm_score.fit(df, df, vocabulary_size=n, buckets=8).vocabulary.size for n in (1, 2, 20, 50, 60)] == [1, 2, 20, 50, 50]
+
+
 def test_licenses_equal_brute_force(spark):
     texts = ["Released under the MIT License. under THE mit-license", "Licensed under the Apache License, Version 2.0.\ncc by-nc cc BY nc", "This work is licensed under the GNU General Public License, version 3.", "gnu license mit", "under the mit license" * 2, "under the mit Kicense", "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction", "x " * 5000 + "cc by nc"]
     rows = ODD + [(100 + k, t) for k, t in enumerate(texts)]
