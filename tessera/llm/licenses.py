@@ -1,15 +1,15 @@
 """Licence scans by a positional rare-token index, in DataFrame functions alone.
 
-The words of the licence templates are indexed with their positions. A document's licence words of the highest inverse
-document frequency are looked up, their postings are intersected by relative position (place in the document less place
-in the template), and a template counts once its mandatory key phrases stand in the document.
+The words of the licence templates are indexed with their positions. All licence words of a document are looked up for
+the templates whose mandatory key phrases stand in it, and their postings are intersected by relative position (place in
+the document less place in the template), each word weighing its inverse document frequency.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import UPPER, cut
@@ -82,26 +82,24 @@ def read_words(docs: DataFrame) -> DataFrame:
 
 def template_matches(read: DataFrame, rare_words: int = 8, least_share: float = 0.5) -> DataFrame:
     """row_id, label, share: the largest weight of a template's indexed words that stand at one relative position, as a
-    share of the weight of its rarest ones, where it is least_share or more and the key phrases stand in the text."""
+    share (1 at most) of the weight of its rare_words rarest ones, where it is least_share or more and the key phrases
+    stand in the text. All indexed words of the text are looked up."""
     spark = read.sparkSession
-    hits = read.filter(F.size("hits") > 0).select("row_id", "phrases", F.explode("hits").alias("hit")).select("row_id", "phrases", "hit.word", "hit.at")
     #: At most one row per indexed word comes to the driver. A word that no document holds weighs as one that one holds.
     docs = read.count()
-    df = {r["word"]: r["df"] for r in hits.groupBy("word").agg(F.count_distinct("row_id").alias("df")).collect()}
+    words = read.filter(F.size("hits") > 0).select(F.explode(F.array_distinct(F.col("hits.word"))).alias("word"))
+    df = {r["word"]: r["df"] for r in words.groupBy("word").agg(F.count("*").alias("df")).collect()}
     idf = {w: math.log(1.0 + docs / df.get(w, 1)) for w in indexed_words()}
-    #: A document offers rare_words words, so a template weighs what its own rarest ones weigh.
     places = [[(w, i) for i, w in enumerate(text.split()) if w not in STOP] for _, text, _ in TEMPLATES]
     whole = [sum(sorted((idf[w] for w, _ in own), reverse=True)[:rare_words]) for own in places]
-    index = spark.sql(f"SELECT * FROM VALUES {', '.join(str((w, t, i)) for t, own in enumerate(places) for w, i in own)} AS (word, template, place)")
-    weights = spark.sql(f"SELECT * FROM VALUES {', '.join(f'({w!r}, {x!r}D)' for w, x in idf.items())} AS (word, idf)")
+    index = spark.sql(f"SELECT * FROM VALUES {', '.join(f'({w!r}, {t}, {i}, {idf[w]!r}D)' for t, own in enumerate(places) for w, i in own)} AS (word, template, place, idf)")
     rows = [f"({t}, '{label}', array({', '.join(map(repr, keys))}), {whole[t]!r}D)" for t, (label, _, keys) in enumerate(TEMPLATES)]
     known = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS (template, label, keys, whole)")
-    rank = F.dense_rank().over(Window.partitionBy("row_id").orderBy(F.desc("idf"), "word"))
-    rare = hits.join(F.broadcast(weights), "word").withColumn("rank", rank).filter(F.col("rank") <= rare_words)
-    met = rare.join(F.broadcast(index), "word").groupBy("row_id", "template", (F.col("at") - F.col("place")).alias("shift")).agg(F.sum("idf").alias("weight"), F.first("phrases").alias("phrases"))
-    scored = met.join(F.broadcast(known), "template").withColumn("share", F.least(F.lit(1.0), F.col("weight") / F.col("whole")))
-    good = scored.filter((F.col("share") >= least_share) & (F.size(F.array_except("keys", "phrases")) == 0))
-    return good.groupBy("row_id", "label").agg(F.max("share").alias("share"))
+    candidates = read.filter(F.size("phrases") > 0).select("row_id", "phrases", "hits").join(F.broadcast(known), F.size(F.array_except("keys", "phrases")) == 0)
+    hits = candidates.select("row_id", "template", "label", "whole", F.explode("hits").alias("hit")).select("row_id", "template", "label", "whole", "hit.word", "hit.at")
+    met = hits.join(F.broadcast(index), ["word", "template"]).groupBy("row_id", "template", "label", "whole", (F.col("at") - F.col("place")).alias("shift")).agg(F.sum("idf").alias("weight"))
+    scored = met.withColumn("share", F.least(F.lit(1.0), F.col("weight") / F.col("whole")))
+    return scored.filter(F.col("share") >= least_share).groupBy("row_id", "label").agg(F.max("share").alias("share"))
 
 
 def scan(docs: DataFrame, rare_words: int = 8, least_share: float = 0.5) -> DataFrame:
