@@ -19,8 +19,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return rules.passed(docs)
+    """Documents that the quality rules reject go, also those that nearly lack the common words of their language."""
+    return rules.passed(docs, common_share=0.8)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ COMMON = (
 #: Character classes of words, taken off in turn; what is left over is the last class.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[.,;:!?'\"()\-]+", r"[^\x00-\x7F]+")
 WINDOW = 5
+#: Share of common words below which a reference says nothing about a text without them.
+LEAST_COMMON = 0.05
 
 
 def _windows(words: Column, n: Column) -> Column:
@@ -110,18 +112,25 @@ def references(measured: DataFrame, ref_words: int = 20) -> DataFrame:
     )
 
 
-def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: float = 0.32, max_common: float = 0.45) -> DataFrame:
+def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: float = 0.32, max_common: float = 0.45, common_share: float | None = None, short_share: float = 0.9, short_words: int = 100) -> DataFrame:
     """row, the base counts, char_distance, common_distance, base_failed and kept of every measured document.
 
     base_failed: n_words < 10 or 100 * n_repeat_words > 20 * n_words. A document of at least min_words words must lie
     within max_char and max_common of the references of its language; shorter ones are not judged by distance, and a
-    language without reference judges nothing. A null language is a language of its own. Null, empty and blank texts fail
+    language without reference judges nothing. With common_share, common_distance must also lie within that share
+    (short_share for documents below short_words words) of the distance of a text without any common word, in languages
+    whose reference holds at least LEAST_COMMON of them. A null language is a language of its own. Null, empty and blank texts fail
     the base rules. Repeated rows are judged alike; an empty table gives no rows.
     """
     joined = measured.join(ref, measured.lang.eqNullSafe(ref.ref_lang), "left")
     far = joined.withColumn("char_distance", js_distance(_shares(F.col("chars")), F.col("ref_chars"))).withColumn("common_distance", js_distance(_shares(F.col("common")), F.col("ref_common")))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    near = (F.col("n_words") < min_words) | ((F.coalesce("char_distance", F.lit(0.0)) <= max_char) & (F.coalesce("common_distance", F.lit(0.0)) <= max_common))
+    close = (F.coalesce("char_distance", F.lit(0.0)) <= max_char) & (F.coalesce("common_distance", F.lit(0.0)) <= max_common)
+    if common_share is not None:
+        share = F.when(F.col("n_words") < short_words, short_share).otherwise(common_share)
+        known = F.element_at("ref_common", -1) <= 1 - LEAST_COMMON
+        close &= ~F.coalesce(known & (F.col("common_distance") > share * js_distance(F.array(*[F.lit(0.0)] * len(COMMON), F.lit(1.0)), F.col("ref_common"))), F.lit(False))
+    near = (F.col("n_words") < min_words) | close
     return far.select("row", "seq", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "common_distance", base.alias("base_failed"), (~base & near).alias("kept"))
 
 

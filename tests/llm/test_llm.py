@@ -473,6 +473,22 @@ def test_rules_equal_brute_force(spark):
     assert rules.report(df.limit(0)).count() == 0
 
 
+def test_common_words_alone_decide(spark):
+    import corpus_pipeline
+
+    r = random.Random(13)
+    plain = ["w" + "".join(r.choice("abcdefgh") for _ in range(3)) for _ in range(3000)]
+    text = lambda n, share: " ".join(r.choice(rules.COMMON[:10]) if r.random() < share else r.choice(plain) for _ in range(n))
+    rows = [(k, text(r.randrange(100, 300), 0.18), "en") for k in range(200)]
+    rows += [(1000 + k, text(n, 0), "en") for k, n in enumerate((49, 50, 99, 100, 300))]
+    rows += [(2000 + k, text(150, 0), "xx") for k in range(50)] + [(2100, text(150, 0.1), "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    report = {x.doc_id: x for x in rules.report(df).collect()}
+    assert all(x.kept and x.common_distance < 0.45 for x in report.values())
+    kept = {x.doc_id for x in corpus_pipeline.apply_rules(spark, df, "").collect()}
+    assert set(report) - kept == {1001, 1002, 1003, 1004}
+
+
 def test_js_distance(spark):
     p, q = [0.5, 0.5, 0.0], [0.25, 0.25, 0.5]
     got = spark.range(1).select(rules.js_distance(F.array(*map(F.lit, p)), F.array(*map(F.lit, q)))).first()[0]
