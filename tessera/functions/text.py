@@ -10,19 +10,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Look-alike letters and the Latin letters they pass for.
-LOOKALIKES = ("авекмнорстухіοеαεικμνορτυχАВЕКМНОРСТУХІΟΑΕΙΚΜΝΡΤΥΧ", "abekmhopctyxioeaeikmvoptuxABEKMHOPCTYXIOAEIKMNPTYX")
+LOOKALIKES = ("авекмнорстухіοеαεικμνορτυχАВЕКМНОРСТУХІΟΑΕΙΚΜΝΡΤΥΧЅѕıΒ", "abekmhopctyxioeaeikmvoptuxABEKMHOPCTYXIOAEIKMNPTYXSsiB")
+_LATIN = str.maketrans(*LOOKALIKES)
 
 
-@F.pandas_udf(T.StringType())
-def _decomposed(text: pd.Series) -> pd.Series:
+def folded(text: str) -> str:
+    """TX1 for one text."""
     import unicodedata
 
-    return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+    if text.isascii():
+        return text
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).translate(_LATIN)
+
+
+@F.pandas_udf(T.StringType())
+def _folded(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else folded(t))
 
 
 def fold(text: Column) -> Column:
     """TX1: compatibility decomposition, no combining marks, look-alike letters as Latin ones."""
-    return F.translate(_decomposed(text), *LOOKALIKES)
+    return _folded(text)
 
 
 def count_matches(text: Column, pattern: str) -> Column:
@@ -81,6 +89,49 @@ def query_language(text: Column, country: Column | None = None, noise: Sequence[
     return out.otherwise("other")
 
 
+#: TX8, fixed values: words that say nothing about a query's language, letters of scripts, and words of languages.
+QUERY_NOISE = r"(?i)^(kz|uz|az|com|net|org|ru|apk|ios|android|app|aviator|casino|bet|online|www|official|2024|2025|2026|\d+|[.\-_/]+)$"
+KAZAKH_LETTERS = "[әғқңөұүһіӘҒҚҢӨҰҮҺІ]"
+UZBEK_LETTERS = "[ўғқҳЎҒҚҲ]"
+CYRILLIC_LETTERS = "[а-яёА-ЯЁ]"
+AZERI_LETTERS = "[əƏ]"
+QUERY_WORDS = {
+    "az": r"yukle|yükle|yüklə|yukl[eə]|giri[sş]|qeydiyyat|r[eə]smi|proqram|idman|m[eə]rc|oyun|pulsuz|endir|azerbaycan|az[eə]rbaycan|c[iı]xar\w*|ç[iı]xar\w*|hesab|d[eə]st[eə]k|qazan\w*|saytı",
+    "tr": r"indir|giriş|güncel|kayıt|canlı|adresi|bahis|mobil|uygulama|üyelik|para|çekme|yatırma|tv|türkiye",
+    "uz": r"yuklab|yuklash|skachat|kirish|olish|o.?ynash|ro.?yxat\w*|bepul|uchun|rasmiy|sayti|ilova|onlayn|yechish|to.?ldirish|bukmeker|tikish|stavka|uzbekcha|o.?zbek\w*",
+    "shared": r"bonus|sayt|pul|mobil|tv",
+    "ru": r"skachat|zerkalo|vhod|vkhod|oficialn\w*|otzyvy|kazino|registraciya|prilozhenie|besplatno|segodnya|rabochee|sayt|stavki|bukmeker\w*",
+    "pt": r"baixar|aplicativo|entrar|apostas|cadastro|login|bônus|bonus|oficial|site|jogo|jogos|brasil|cassino|saque|depósito",
+    "es": r"descargar|aplicaci[oó]n|entrar|apuestas|registro|bono|oficial|casino|juego|iniciar|sesi[oó]n|retiro|dep[oó]sito|m[eé]xico|per[uú]|chile",
+    "en": r"download|login|log in|sign ?up|register|registration|app|review|reviews|official|site|website|promo ?code|withdraw|withdrawal|deposit|sports|betting|mobile|version|free|play|games|slots|live|support|india|bangladesh|pakistan|nepal|english|kazakhstan|uzbekistan|azerbaijan|partners?|affiliate|agent|cash|demo|promo|code|bookmaker",
+}
+
+
+def brand_query_language(text: Column, country: Column, brand: str) -> Column:
+    """TX8 with the published lists: brand_only, kk, uz_cyrillic, ru, az, tr, uz_latin, az_or_tr, ru_translit, pt, es, en or
+    latin_unknown. Where words of several local languages stand in a query, the country's own wins."""
+    said = lambda k: rest.rlike(rf"(?iU)\b({QUERY_WORDS[k]})\b")
+    words = F.filter(F.split(F.trim(F.regexp_replace(text, brand, " ")), r"\s+"), lambda w: (w != "") & ~w.rlike(QUERY_NOISE))
+    rest = F.array_join(words, " ")
+    local = F.array_compact(F.array(F.when(rest.rlike(AZERI_LETTERS) | said("az"), F.lit("az")), F.when(said("tr"), F.lit("tr")), F.when(said("uz"), F.lit("uz_latin"))))
+    local = F.when((F.size(local) == 0) & said("shared"), F.array(F.lit("az"), F.lit("uz_latin"))).otherwise(local)
+    own = F.when(country == "AZ", "az").when(country == "UZ", "uz_latin")
+    return (
+        F.when(F.size(words) == 0, "brand_only")
+        .when(rest.rlike(CYRILLIC_LETTERS) & rest.rlike(KAZAKH_LETTERS), "kk")
+        .when(rest.rlike(CYRILLIC_LETTERS) & rest.rlike(UZBEK_LETTERS), "uz_cyrillic")
+        .when(rest.rlike(CYRILLIC_LETTERS), "ru")
+        .when(F.coalesce(F.array_contains(local, own), F.lit(False)), own)
+        .when(F.array_contains(local, "az") & F.array_contains(local, "tr"), "az_or_tr")
+        .when(F.size(local) > 0, F.try_element_at(local, F.lit(1)))
+        .when(said("ru"), "ru_translit")
+        .when(said("pt") & ~said("en"), "pt")
+        .when(said("es") & ~said("en"), "es")
+        .when(said("en"), "en")
+        .otherwise("latin_unknown")
+    )
+
+
 def geo_code(text: Column, own: Column, countries: Sequence[tuple[str, str]]) -> Column:
     """TX9: own, own+X, none or the sorted foreign countries a text names, joined by +."""
     named = F.array_sort(F.array_compact(F.array(*[F.when(text.rlike(rx), F.lit(name)) for name, rx in countries])))
@@ -118,6 +169,12 @@ def without_comments(script: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(script, r"(?s)/\*.*?\*/", " "), r"(?m)(?<![:\\\"'=])//[^\n]*", " ")
 
 
+def script_url_live(url: Column, script: Column) -> Column:
+    """TX13: whether a URL found in a page counts: it stands in the page's scripts outside comments, or not there at all."""
+    key = F.regexp_replace(F.regexp_replace(url, r"^.*?://", ""), r"/+$", "")
+    return ~script.contains(key) | without_comments(script).contains(key)
+
+
 def short_hash(text: Column, digits: int = 12) -> Column:
     """TX14: the first hex digits of SHA-1."""
     return F.substring(F.sha1(text.cast("binary")), 1, digits)
@@ -134,6 +191,18 @@ def cut_at_first(text: Column, markers: Sequence[str]) -> Column:
     return F.when(at.isNull(), text).otherwise(F.substring(text, F.lit(1), at - 1))
 
 
+def clean_answer(text: Column, placeholders: Sequence[str], header: str, ends: Sequence[str]) -> Column:
+    """TX16: an answer without placeholder sentences (patterns, removed in order), from the end of its header pattern to
+    the first of the end patterns, trimmed."""
+    t = text
+    for rx in placeholders:
+        t = F.trim(F.regexp_replace(t, rx, ""))
+    start = F.instr(t, F.nullif(F.regexp_extract(t, header, 0), F.lit("")))
+    t = F.when(F.coalesce(start, F.lit(0)) > 0, F.substring(t, start + F.length(F.regexp_extract(t, header, 0)), F.length(t))).otherwise(t)
+    at = F.array_min(F.array_compact(F.array(*[F.nullif(F.instr(t, F.nullif(F.regexp_extract(t, rx, 0), F.lit(""))), F.lit(0)) for rx in ends])))
+    return F.trim(F.when(at.isNotNull(), F.substring(t, F.lit(1), at - 1)).otherwise(t))
+
+
 def _match_udf(pattern: str):
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def positions(text: pd.Series) -> pd.Series:
@@ -170,6 +239,24 @@ def grouped_number(value: Column) -> Column:
     return F.regexp_replace(value.cast("bigint").cast("string"), r"(?<=\d)(?=(\d{3})+$)", " ")
 
 
+def grouped_decimal(value: Column, digits: int = 1) -> Column:
+    """TX18: a number with a decimal comma."""
+    return F.translate(F.format_string(f"%.{digits}f", value.cast("double")), ".", ",")
+
+
+def escaped(text: Column) -> Column:
+    """TX18: markup characters as entities; null is ""."""
+    out = F.coalesce(text, F.lit(""))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = F.replace(out, F.lit(char), F.lit(entity))
+    return out
+
+
+def linked(text: Column) -> Column:
+    """TX18: escaped text whose URLs are links."""
+    return F.regexp_replace(escaped(text), r"(https?://[^\s,()]+)", '<a href="$1">$1</a>')
+
+
 def explain(code: Column, sentences: Sequence[tuple[str, str]]) -> Column:
     """TX19: the sentence of the first pattern that matches a reason code; $1 stands for its first group."""
     out = None
@@ -179,6 +266,31 @@ def explain(code: Column, sentences: Sequence[tuple[str, str]]) -> Column:
     return code if out is None else out.otherwise(code)
 
 
+#: TX19: reason codes of the rules and what they mean, in order. $1 stands for the first group of the pattern.
+REASONS = (
+    (r"^redirect: (.*)$", "the home page sends visitors to $1"),
+    (r"^script redirect: (.*)$", "a script of the home page sends visitors to $1"),
+    (r"^hidden links(?:=(\d+))?.*$", "the brand stands in hidden links only"),
+    (r"^links without topic.*$", "the site is about something else, the brand stands in links only"),
+    (r"^head only.*$", "the brand stands in the title of a page about something else"),
+    (r"^meta only.*$", "the domain names the brand, the page is an application's store page without a referral link"),
+    (r"^moves to (\S+).*$", "a domain with the brand's name moves to $1"),
+    (r"^never names.*$", "the domain names the brand, the page does not"),
+    (r"^content=([^:]*):(\d+).*$", "another brand is named more often: $1, $2 times"),
+    (r"^dominant density=(\S+).*$", "the brand dominates the page, $1 mentions per 1,000 characters"),
+    (r"^name_in_(\w+).*$", "the brand stands in the $1 and dominates the page"),
+    (r"^dated feed.*$", "a feed of dated articles"),
+    (r"^posts.*$", "a feed of articles, the brand stands in single posts"),
+    (r"^text_len=(\d+)$", "hardly any text, $1 characters"),
+    (r"^placeholder.*$", "a placeholder text"),
+    (r"^parking.*$", "a parking page"),
+    (r"^(?:http|edge)_(\d+)$", "the server answers $1"),
+    (r"^answered earlier: (.*)$", "answered in earlier scans, not in the last one"),
+    (r"^timeout$", "no answer in time"),
+    (r"^dns_fail$", "the domain does not resolve"),
+)
+
+
 #: TX21, fixed values: delimiters of flattened arrays.
 DELIMITERS = {"tags": " ", "brands": " | ", "hops": " → ", "history": " > "}
 
@@ -198,19 +310,36 @@ def chain_text(chain: Column) -> Column:
     return F.array_join(F.transform(chain, lambda h: F.concat_ws(" ", F.coalesce(h["status"].cast("string"), h["error"]), h["url"])), " → ")
 
 
-#: HP11, fixed values: error texts and their codes, in order.
+#: HP11, fixed values: parts of a browser's error text and their codes, in order.
 ERROR_CODES = (
-    ("(?i)certificate|ssl|tls", "ssl"),
-    ("(?i)name or service not known|nxdomain|getaddrinfo|name_not_resolved", "dns"),
-    ("(?i)refused", "refused"),
-    ("(?i)reset", "reset"),
-    ("(?i)timed? ?out|timeout", "timeout"),
-    ("(?i)unreachable", "unreachable"),
-    ("(?i)too many redirects", "redirect_loop"),
-    ("(?i)proxy|tunnel", "proxy"),
-    ("(?i)empty.?response|disconnected|closed", "empty"),
+    ("NS_ERROR_UNKNOWN_HOST", "dns_fail"),
+    ("NS_ERROR_CONNECTION_REFUSED", "connection_refused"),
+    ("NS_ERROR_NET_TIMEOUT", "timeout"),
+    ("Timeout", "timeout"),
+    ("NS_ERROR_NET_RESET", "connection_reset"),
+    ("NS_ERROR_NET_INTERRUPT", "connection_reset"),
+    ("NS_ERROR_NET_EMPTY_RESPONSE", "empty_response"),
+    ("NS_ERROR_REDIRECT_LOOP", "redirect_loop"),
+    ("SSL_ERROR", "tls_error"),
+    ("SEC_ERROR", "tls_error"),
+    ("NS_ERROR_OFFLINE", "offline"),
+    ("Download is starting", "download"),
+    ("NS_BINDING_ABORTED", "aborted"),
+    ("NS_ERROR_ABORT", "aborted"),
+    ("Target page, context or browser has been closed", "closed"),
 )
+#: HP11, fixed values: names of exceptions of a plain client and their codes; other names stay.
+EXCEPTION_CODES = ((r"^(asyncio\.)?TimeoutError$", "timeout"), (r"SSL|Certificate", "tls_error"), (r"^ClientConnectorError$", "connect_error"))
+
+
+def error_code(error: Column, default: str = "nav_error") -> Column:
+    """HP11: the code of a recorded error text; "" without an error."""
+    out = F.when(error.isNull() | (error == ""), "")
+    for part, code in ERROR_CODES:
+        out = out.when(F.contains(error, F.lit(part)), code)
+    return out.otherwise(default)
 
 
-def error_code(error: Column) -> Column:
-    return F.when(error.isNull() | (error == ""), "").otherwise(first_rule(error, [(code, rx) for rx, code in ERROR_CODES], "other"))
+def exception_code(name: Column) -> Column:
+    """HP11: the code of an exception's name, or the name."""
+    return F.coalesce(F.nullif(first_rule(name, [(code, rx) for rx, code in EXCEPTION_CODES], ""), F.lit("")), name)

@@ -41,10 +41,15 @@ def base_host(host: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(host), r"\.+$", ""), r"^www\.", "")
 
 
-def url_host(url: Column) -> Column:
-    """UR2: host name without user, port and www., lower-cased; "" where there is none."""
+def hostname(url: Column) -> Column:
+    """The host name without user and port, lower-cased; "" where there is none."""
     bare = F.regexp_replace(F.regexp_replace(netloc(url), r"^.*@", ""), r":\d*$", "")
-    return F.regexp_replace(F.lower(bare), r"^www\.", "")
+    return F.lower(bare)
+
+
+def url_host(url: Column) -> Column:
+    """UR2: hostname without www."""
+    return F.regexp_replace(hostname(url), r"^www\.", "")
 
 
 def loc_host(url: Column) -> Column:
@@ -59,8 +64,8 @@ def same_site(a: Column, b: Column, empty_matches: bool = False) -> Column:
 
 
 def ref_key(url: Column) -> Column:
-    """UR5: host and path, no slash at the end, no query."""
-    return F.concat(url_host(url), F.regexp_replace(path(url), r"/+$", ""))
+    """UR5, HP3: host and path without slashes at the end ("/" for the root), no query."""
+    return F.concat(hostname(url), F.coalesce(F.nullif(F.regexp_replace(path(url), r"/+$", ""), F.lit("")), F.lit("/")))
 
 
 def tracker_shaped(url: Column) -> Column:
@@ -69,10 +74,15 @@ def tracker_shaped(url: Column) -> Column:
     return token.rlike(r"[a-z]") & token.rlike(r"[A-Z]") & ~token.rlike(r"^[A-Z][a-z]+$")
 
 
-def cache_key(url: Column, site: Column) -> Column:
+def cache_key(url: Column, site: Column, config: Config = DEFAULT) -> Column:
     """UR6: "" for links inside the site; host and path for referral or tracker shapes; else the URL without fragment."""
-    bare = F.regexp_replace(url, r"#.*$", "")
-    return F.when(same_site(url_host(url), site), F.lit("")).when(tracker_shaped(url) | has_affiliate_params(url), ref_key(url)).otherwise(bare)
+    shaped = tracker_shaped(url) | classify_ref(url, site, config).isNotNull()
+    return F.when(same_site(base_host(hostname(url)), base_host(site), True), F.lit("")).when(shaped, ref_key(url)).otherwise(F.regexp_replace(url, r"#.*$", ""))
+
+
+def dest_key(url: Column, site: Column, config: Config = DEFAULT) -> Column:
+    """UR6: cache_key, or the URL without fragment inside the site."""
+    return F.coalesce(F.nullif(cache_key(url, site, config), F.lit("")), F.regexp_replace(url, r"#.*$", ""))
 
 
 def query_value(url: Column, name: str) -> Column:
@@ -108,32 +118,58 @@ def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([one(b, h) for b, h in zip(base, href, strict=True)], dtype=object)
 
 
-def random_host(host: Column) -> Column:
-    """UR12: a digit in the second-level label, or vowels make less than 0.3 of its letters."""
-    labels = F.split(host, r"\.")
-    second = F.coalesce(F.try_element_at(labels, F.lit(-2)), F.lit(""))
-    letters = F.regexp_count(second, F.lit("[a-z]"))
-    vowels = F.regexp_count(second, F.lit("[aeiouy]"))
-    return second.rlike(r"\d") | ((letters > 0) & (vowels / F.when(letters > 0, letters) < 0.3))
+def ref_host(host: Column, config: Config = DEFAULT) -> Column:
+    """UR14: a host of the target's referral links, by its ending or by the registry."""
+    known = host.isin(list(config.ref_hosts)) if config.ref_hosts else F.lit(False)
+    return (host != "") & (host.rlike(config.ref_suffix) | known)
 
 
-def looks_tracker(url: Column, config: Config = DEFAULT) -> Column:
-    """UR11: a random host that is not asked for its root, a code of 4 to 12 with a capital or digit, or tracker parameters."""
-    code = F.regexp_extract(path(url), r"^/([A-Za-z0-9]{4,12})/?$", 1)
-    return (random_host(url_host(url)) & ~path(url).isin("", "/")) | code.rlike(r"[A-Z0-9]") | has_affiliate_params(url, config) | has_tracker_params(url, config)
+def random_host(host: Column, config: Config = DEFAULT) -> Column:
+    """UR12: the marker or a referral ending; else a digit in the second-level label (the only label of a host without a
+    dot), or vowels make less than 0.3 of its letters."""
+    labels = F.split(host, r"\.")
+    label = F.coalesce(F.try_element_at(labels, F.lit(-2)), host)
+    letters, vowels = F.regexp_count(label, F.lit(r"\p{L}")), F.regexp_count(label, F.lit("[aeiouy]"))
+    few = (letters > 0) & (vowels / F.when(letters > 0, letters) < 0.3)
+    return host.contains(config.ref_marker) | host.rlike(config.ref_suffix) | label.rlike(r"\d") | F.coalesce(few, F.lit(False))
 
 
-def classify_ref(url: Column, site: Column, known_hosts: Sequence[str] = (), config: Config = DEFAULT) -> Column:
-    """UR13, UR14: brand_host, known_ref_host, ref or null, in that order of guards; links inside the site are none."""
-    host = url_host(url)
+def looks_tracker(url: Column, config: Config = DEFAULT) -> Column:
+    """UR11: a random host asked for more than its root, a short code with a capital or digit, or tracker parameters."""
+    p, q = path(url), query(url)
+    rooted = p.isin("", "/") & (q == "")
+    code = p.rlike(r"^/[A-Za-z0-9_-]{4,12}/?$") & p.rlike(r"[A-Z0-9]")
+    return (random_host(hostname(url), config) & ~rooted) | code | has_affiliate_params(url, config) | has_tracker_params(url, config)
+
+
+def classify_ref(url: Column, site: Column, config: Config = DEFAULT) -> Column:
+    """UR13, HP3: known_ref_host, ref, brand_host or null, in the order of the guards.
+
+    A URL that is not http(s), has no host or lies inside the site is none; a registered host is one whatever its path;
+    platforms, shorteners and hosts that look like words are none; then short codes with a capital (title-case words and
+    longer paths only on referral hosts), then the target's own hosts with a partner parameter.
+    """
+    host, p = hostname(url), path(url)
+    code, long_code, capital = p.rlike(r"^/[A-Za-z0-9]{4}/?$"), p.rlike(r"^/[A-Za-z0-9]{4}/"), F.substring(p, 2, 4).rlike("[A-Z]")
+    word, on_ref = F.substring(p, 2, 4).rlike("^[A-Z][a-z]{3}$"), host.rlike(config.ref_suffix)
+    known = host.isin(list(config.ref_hosts)) if config.ref_hosts else F.lit(False)
+    none = F.lit(None).cast("string")
     return (
-        F.when((host == "") | same_site(host, site) | host.rlike(config.platform_hosts), F.lit(None).cast("string"))
-        .when(host.rlike(config.brand), F.lit("brand_host"))
-        .when(host.isin(list(known_hosts)) if known_hosts else F.lit(False), F.lit("known_ref_host"))
-        .when(has_affiliate_params(url, config) | tracker_shaped(url), F.lit("ref"))
+        F.when(~F.coalesce(url.rlike(r"(?i)^https?://"), F.lit(False)) | (host == "") | same_site(base_host(host), base_host(site), True), none)
+        .when(known, F.lit("known_ref_host"))
+        .when(host.rlike(config.platform_hosts) | host.rlike(config.not_ref_hosts) | ~random_host(host, config), none)
+        .when(code & capital & (~word | on_ref), F.lit("ref"))
+        .when(long_code & capital & on_ref, F.lit("ref"))
+        .when(host.contains(config.ref_marker) & query(url).rlike(config.brand_params), F.lit("brand_host"))
     )
 
 
+def brand_ref(url: Column, site: Column, config: Config = DEFAULT) -> Column:
+    """UR14: a referral link of the target: on its hosts, or of the shape and on a referral host."""
+    kind = classify_ref(url, site, config)
+    return F.coalesce(kind.isin("known_ref_host", "brand_host") | ((kind == "ref") & ref_host(url_host(url), config)), F.lit(False))
+
+
 def unwrap(url: Column, wrapper: str = r"(?i)(^|\.)(redirect|away)\.") -> Column:
     """UR15: the url parameter of a redirect wrapper, else the URL itself."""
     inner = query_value(url, "url")
@@ -156,20 +192,34 @@ def idna_host(name: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(d) for d in name], columns=["host", "status"])
 
 
-#: UR17, fixed values: shapes of paths.
+#: UR17, fixed values: words that begin the path of a gate, and words of a path that redirects.
+GATE_WORDS = ("go", "goto", "out", "visit", "click", "redirect", "redir", "recommends", "refer", "link", "reg", "register", "play", "bonus", "promo", "step-un", "get", "join", "signup")
+REDIRECT_WORDS = (
+    "go", "goto", "out", "link", "links", "visit", "click", "redirect", "redir", "r", "ref", "refer", "aff", "affiliate", "partner", "promo", "promocode", "bonus",
+    "reg", "register", "registration", "signup", "sign-up", "join", "play", "bet", "download", "apk", "app", "apps", "get", "official", "site", "casino", "login", "enter",
+    "vhod", "kirish", "giris", "qeydiyyat", "registro", "rejestracja", "registrace",
+)
+#: UR17, fixed values: endings of static files, parameters that hold a URL, shapes of dated and worded paths, bare gates.
+STATIC_ENDINGS = ("css", "js", "mjs", "png", "jpe?g", "gif", "svg", "webp", "avif", "ico", "pdf", "xml", "json", "woff2?", "ttf", "eot", "mp4", "webm", "mp3", "zip", "rar")
+URL_NAMES = ("url", "u", "to", "goto", "target", "dest", "link", "redirect", "out")
+DATED = r"/20[012]\d/(0?[1-9]|1[0-2])/|/20[012]\d-\d\d-\d\d|/\d{4}/\d{2}/\d{2}/"
+WORDED = r"(?i)/[a-z0-9Ѐ-ӿ%]+(?:-[a-z0-9Ѐ-ӿ%]+){3,}/?$"
+BARE_GATES = ("/go/", "/goto/", "/out/", "/link/", "/visit/", "/redirect/", "/click/", "/go", "/goto", "/out")
 SHAPES = {
-    "gate": r"(?i)^/(go|out|away|redirect|visit|link|click|r)(/|$|\.php)",
-    "dated": r"/(19|20)\d{2}/\d{1,2}(/|$)",
-    "slug": r"/[^/]*[a-z0-9]+(?:-[a-z0-9]+){3,}[^/]*/?$",
-    "static": r"(?i)\.(css|js|png|jpe?g|gif|svg|ico|webp|woff2?|ttf|mp4|pdf|xml|json)$",
+    "gate": rf"(?i)^/({'|'.join(GATE_WORDS)})(/[^/]{{0,24}})?/?$",
+    "dated": DATED,
+    "slug": WORDED,
+    "static": rf"(?i)\.({'|'.join(STATIC_ENDINGS)})(\?|$)",
+    "redirect": rf"(?i)(^|/)({'|'.join(REDIRECT_WORDS)})([/?#._-]|$)",
 }
+URL_PARAM = rf"(?i)(^|&)({'|'.join(URL_NAMES)})="
 
 
 def path_shapes(url: Column) -> Column:
-    """A struct of booleans: gate, dated, slug, static and url_param."""
+    """UR17: a struct of booleans: gate, dated, slug, static, redirect, url_param and bare_gate."""
     p = path(url)
     flags = [p.rlike(rx).alias(name) for name, rx in SHAPES.items()]
-    return F.struct(*flags, query(url).rlike(r"(?i)(^|&)(url|u|to|target|dest)=https?").alias("url_param"))
+    return F.struct(*flags, query(url).rlike(URL_PARAM).alias("url_param"), F.lower(p).isin(*BARE_GATES).alias("bare_gate"))
 
 
 def in_hosts(host: Column, patterns: Sequence[str]) -> Column:
@@ -194,13 +244,14 @@ def tld_country(host: Column) -> Column:
 
 
 def is_coded(urls: Column, config: Config = DEFAULT) -> Column:
-    """HP1: any URL of an array carries a partner parameter."""
-    return F.coalesce(F.exists(urls, lambda u: has_affiliate_params(u, config)), F.lit(False))
+    """HP1: any URL of an array carries a partner, tracker or invitation parameter."""
+    return F.coalesce(F.exists(urls, lambda u: has_affiliate_params(u, config) | has_tracker_params(u, config) | query(u).rlike(config.code_params)), F.lit(False))
 
 
 def via_tracker(url: Column, final: Column, hops: Column) -> Column:
     """HP2: some hop's host is neither the linked nor the final one."""
-    return F.coalesce(F.exists(hops, lambda h: (url_host(h) != url_host(url)) & (url_host(h) != url_host(final))), F.lit(False))
+    ends = F.array(F.coalesce(url_host(url), F.lit("")), F.coalesce(url_host(final), F.lit("")))
+    return F.coalesce(F.exists(hops, lambda h: (url_host(h) != "") & ~F.array_contains(ends, url_host(h))), F.lit(False))
 
 
 def tracked(url: Column, final: Column, hops: Column, config: Config = DEFAULT) -> Column:
