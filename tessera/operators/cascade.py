@@ -62,11 +62,11 @@ class Weight:
 
 
 def weighted_score(base: Column, weights: Sequence[Weight], low: float, high: float) -> tuple[Column, Column]:
-    """DC23: base plus the weights that apply, clipped, and the reasons of those that lower it, in order."""
+    """DC23: base plus the weights that apply, clipped, and the reasons of those that have one, in order."""
     total, reasons = base, []
     for w in weights:
         held = F.coalesce(w.condition, F.lit(False))
         total = total + F.when(held, F.lit(w.delta)).otherwise(F.lit(0.0))
-        if w.delta < 0 and w.why:
+        if w.why:
             reasons.append(F.when(held, F.lit(w.why)))
     return F.greatest(F.lit(low), F.least(F.lit(high), total)), F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.config import DEFAULT, Config
@@ -10,45 +10,71 @@ from tessera.functions import url as U
 
 
 def follow(starts: DataFrame, hops: DataFrame, max_hops: int = 8, config: Config = DEFAULT) -> DataFrame:
-    """PT1, PT2: start -> chain (array of URLs), final_url and stop: found, platform_host, error, no_redirect or max_hops.
+    """PT1: start, site, chain (array of URLs), final_url and stop: found, platform_host, error, no_redirect or max_hops.
 
-    starts: url. hops: url, status, location, one row per captured URL (the smallest location of several). Chains that have
-    stopped take no further part in the joins.
+    starts: url and site. hops: url, status, location, one row per captured URL (the smallest location of several). A
+    referral is not asked, nor is a platform. Rows that have stopped stay in the table under keys that meet nothing, so a
+    step is one join and no step is computed twice.
     """
     table = hops.groupBy(F.col("url").alias("_u")).agg(F.min(F.struct("location", "status")).alias("_s"))
-    now = starts.select(F.col("url").alias("start"), F.col("url").alias("at"), F.array("url").alias("chain"))
-    done = None
+    site = F.col("site") if "site" in starts.columns else F.lit("")
+    now = starts.select(F.col("url").alias("start"), site.alias("site"), F.col("url").alias("at"), F.array("url").alias("chain"), F.lit(None).cast("string").alias("stop"))
     for _ in range(max_hops):
-        j = now.join(table, F.col("at") == F.col("_u"), "left")
-        stop = (
-            F.when(U.url_host(F.col("at")).rlike(config.brand), "found")
-            .when(U.url_host(F.col("at")).rlike(config.platform_hosts), "platform_host")
-            .when(F.col("_u").isNull() | F.coalesce(F.col("_s.status") >= 400, F.lit(False)), "error")
-            .when(F.col("_s.location").isNull() | F.array_contains("chain", F.col("_s.location")), "no_redirect")
-        )
+        stop = F.coalesce("stop", F.when(U.classify_ref(F.col("at"), F.col("site"), config).isNotNull(), "found").when(U.hostname(F.col("at")).rlike(config.platform_hosts), "platform_host"))
+        now = now.withColumn("stop", stop)
+        #: A stopped row's key is its start behind a character that no URL holds.
+        j = now.join(table, F.when(F.col("stop").isNull(), F.col("at")).otherwise(F.concat(F.lit("\x00"), F.col("start"))) == F.col("_u"), "left")
+        to = F.col("_s.location")
+        stop = F.coalesce("stop", F.when(F.col("_u").isNull() | F.coalesce(F.col("_s.status") >= 400, F.lit(False)), "error").when(to.isNull() | F.array_contains("chain", to), "no_redirect"))
         j = j.withColumn("stop", stop)
-        ended = j.filter("stop IS NOT NULL").select("start", "chain", F.col("at").alias("final_url"), "stop")
-        done = ended if done is None else done.union(ended)
-        now = j.filter("stop IS NULL").select("start", F.col("_s.location").alias("at"), F.concat("chain", F.array(F.col("_s.location"))).alias("chain"))
-    rest = now.select("start", "chain", F.col("at").alias("final_url"), F.lit("max_hops").alias("stop"))
-    return rest if done is None else done.union(rest)
+        going = F.col("stop").isNull()
+        now = j.select("start", "site", F.when(going, to).otherwise(F.col("at")).alias("at"), F.when(going, F.concat("chain", F.array(to))).otherwise(F.col("chain")).alias("chain"), "stop")
+    last = F.coalesce("stop", F.when(U.classify_ref(F.col("at"), F.col("site"), config).isNotNull(), "found").otherwise("max_hops"))
+    return now.select("start", "site", "chain", F.col("at").alias("final_url"), last.alias("stop"))
+
+
+#: PT2, fixed values: answers that a browser may pass, and types of downloads.
+PASSABLE = (401, 403, 429, 503)
+DOWNLOADS = r"(?i)android|octet-stream|x-msdownload|zip"
+
+
+def landing(status: Column, error: Column, content_type: Column, protected: Column, inside: Column, kind: Column, evidence: Column, text_len: Column, final: Column, looped: Column, config: Config = DEFAULT) -> Column:
+    """PT2: what a followed chain ends on, as a struct of kind and evidence: the kind of its page, or needs_browser where a
+    plain client cannot tell (a timeout, a check, or little text without decisive marks), dead, download, unknown or
+    internal."""
+    ct = F.coalesce(content_type, F.lit(""))
+    made = lambda k, e: F.struct((F.lit(k) if isinstance(k, str) else k).alias("kind"), e.cast("string").alias("evidence"))
+    decisive = (evidence == "assets") | evidence.startswith("fields:")
+    return (
+        F.when(F.coalesce(looped, F.lit(False)), made("dead", F.lit("too_many_redirects")))
+        .when(error == "timeout", made("needs_browser", F.lit("undecided")))
+        .when(error.isNotNull(), made("dead", error))
+        .when(F.coalesce(protected, F.lit(False)) | status.isin(*PASSABLE), made("needs_browser", F.lit("undecided")))
+        .when(status >= 400, made("dead", F.concat(F.lit("http_"), status)))
+        .when(~F.lower(ct).contains("html") & ct.rlike(DOWNLOADS), made(F.when(final.rlike(config.brand), "target").otherwise("download"), F.concat(F.lit("download:"), ct)))
+        .when(~F.lower(ct).contains("html"), made("unknown", F.concat(F.lit("not_html:"), F.substring(ct, 1, 40))))
+        .when(F.coalesce(inside, F.lit(False)), made("internal", F.lit("stayed_on_site")))
+        .when(~F.coalesce(decisive, F.lit(False)) & (text_len < 500), made("needs_browser", F.lit("undecided")))
+        .otherwise(made(kind, evidence))
+    )
 
 
 def expand_once(queue: DataFrame, links: DataFrame, budget: int = 12, per_page: int = 4) -> DataFrame:
     """PT3: a site's queue (site, url, ordinal) and, one level deep, at most per_page links of its gate pages
-    (links: url, link, place), within a budget per site."""
-    from pyspark.sql import Window
-
+    (links: url, link, place), right behind the gate and the last of them first, within a budget per site; a link that is
+    queued already stays where it is."""
     inner = links.withColumn("_r", F.row_number().over(Window.partitionBy("url").orderBy("place", "link"))).filter(F.col("_r") <= per_page)
-    more = queue.join(inner, "url").select("site", F.col("link").alias("url"), "ordinal", F.col("_r").alias("place"))
+    more = queue.join(inner, "url").select("site", F.col("link").alias("url"), "ordinal", (F.lit(per_page + 1) - F.col("_r")).alias("place"))
+    known = queue.select(F.col("site").alias("_site"), F.col("url").alias("_url")).distinct()
+    more = more.join(known, (F.col("site") == F.col("_site")) & (F.col("url") == F.col("_url")), "left_anti")
     both = queue.select("site", "url", "ordinal", F.lit(0).alias("place")).union(more)
-    first = both.groupBy("site", "url").agg(F.min(F.struct("place", "ordinal")).alias("o"))
-    rank = F.row_number().over(Window.partitionBy("site").orderBy(F.col("o.place") > 0, "o.ordinal", "o.place", "url"))
+    first = both.groupBy("site", "url").agg(F.min(F.struct("ordinal", "place")).alias("o"))
+    rank = F.row_number().over(Window.partitionBy("site").orderBy("o", "url"))
     return first.withColumn("rank", rank).filter(F.col("rank") <= budget).select("site", "url", "rank")
 
 
 def home_chain(chains: Column) -> Column:
-    """PT4: all URLs of several chains but each one's last, once each."""
+    """PT4, ST5: all URLs of several chains but each one's last, once each, in order."""
     return F.array_distinct(F.flatten(F.transform(chains, lambda c: F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))))))
 
 

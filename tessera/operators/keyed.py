@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.space import cut
+
 
 def _row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
@@ -97,11 +99,13 @@ def best_variant(df: DataFrame, key: str, rank: Sequence[str]) -> DataFrame:
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "n") -> DataFrame:
     """WN7: numbers from 1 over the whole table in order, without bringing all rows into one task.
 
-    Rows are dealt into ranges and sorted, numbered within a range and shifted by the sizes of the ranges before.
+    Rows are dealt into ranges and sorted, numbered within a range and shifted by the sizes of the ranges before. The
+    checkpoint fixes the ranges, so that a task that is run again gives the same numbers.
     """
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    parted = dealt.withColumn("_part", F.shiftright("_at", 33)).withColumn("_in", F.col("_at").bitwiseAND((1 << 33) - 1)).persist()
+    parted = cut(dealt.withColumn("_part", F.shiftright("_at", 33)).withColumn("_in", F.col("_at").bitwiseAND((1 << 33) - 1)))
     sizes = parted.groupBy("_part").agg(F.count("*").alias("_n"))
+    #: A row for each range.
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select(F.col("_part").alias("_p"), before.alias("_start"))
     joined = parted.join(F.broadcast(starts), F.col("_part") == F.col("_p"))

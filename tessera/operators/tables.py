@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.keyed import numbered
+from tessera.space import broadcast_if_small, cut
+
 
 # Joins -------------------------------------------------------------------------------------------------------------
 
@@ -50,6 +53,11 @@ def by_normal_key(a: DataFrame, b: DataFrame, exact: str, text: str, how: str =
     return a.join(right, met, how).drop("_exact", "_text")
 
 
+def by_keyword(a: Column) -> Column:
+    """TK1: a sort key in which null is the empty text, so that it comes first and meets other empty ones."""
+    return F.coalesce(a.cast("string"), F.lit(""))
+
+
 def overlay(df: DataFrame, verdicts: DataFrame, key: str, given: str, value: str, out: str = "final") -> DataFrame:
     """JN9, DC20: a verdict replaces a class only where it was given for that class; check says what happened."""
     v = verdicts.select(F.col(key).alias("_k"), F.col("given").alias("_given"), F.col("verdict").alias("_verdict"), F.col("should_be").alias("_to"))
@@ -146,12 +154,21 @@ def slice_of(rank: Column, n: Column, k: int) -> Column:
 
 
 def stratified_sample(df: DataFrame, strata: Sequence[str], order: Sequence[str], key: str, k: int, seed: int = 1) -> DataFrame:
-    """TK6: each stratum is sorted and cut into k slices, and one row of each is drawn by a seeded hash of its key."""
-    w = Window.partitionBy(*strata)
-    ranked = df.withColumn("_r", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
-    parted = ranked.withColumn("slice", F.when(F.col("_n") <= k, F.col("_r")).otherwise(slice_of(F.col("_r"), F.col("_n"), k)).cast("int"))
-    draw = F.row_number().over(Window.partitionBy(*strata, "slice").orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), key))
-    return parted.withColumn("_d", draw).filter("_d = 1").drop("_r", "_n", "_d")
+    """TK6: each stratum is sorted and cut into k slices, and one row of each is drawn by a seeded hash of its key.
+
+    Places within a stratum are places in the whole sorted table less the stratum's first one, so that no task ranks a whole
+    stratum; the draw is an aggregate.
+    """
+    parts = [F.col(f"`{c}`") for c in strata]
+    ranked = cut(numbered(df, [*strata, *order], "_n"))
+    whole = ranked.groupBy(*[c.alias(f"_k{i}") for i, c in enumerate(parts)]).agg(F.min("_n").alias("_first"), F.count("*").alias("_size"))
+    same = [c.eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(parts)]
+    j = ranked.join(broadcast_if_small(whole, 100_000), same).withColumn("_r", F.col("_n") - F.col("_first"))
+    part = F.when(F.col("_size") <= k, F.col("_r")).otherwise(slice_of(F.col("_r"), F.col("_size"), k)).cast("int")
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(f"`{key}`").cast("string")).cast("binary"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns], part.alias("slice"))
+    drawn = j.groupBy(*[F.col(f"_k{i}") for i in range(len(parts))], part.alias("_slice")).agg(F.min_by(row, F.struct(draw, key)).alias("_row"))
+    return drawn.select("_row.*")
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
@@ -159,6 +176,13 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
     return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
+def control_sample(df: DataFrame, key: str, refuted: Column, n: int, seed: int = 1) -> DataFrame:
+    """TK7: a control set of n rows: a third (or all, if there are fewer) refuted ones, the rest of the others."""
+    no = seeded_sample(df.filter(refuted), key, n // 3, seed)
+    have = no.count()
+    return no.unionByName(seeded_sample(df.filter(~refuted), key, n - have, seed))
+
+
 def in_batches(df: DataFrame, rank: str, size: int) -> DataFrame:
     """TK11, SNK4: batch_id of rows numbered from 1."""
     return df.withColumn("batch_id", F.floor((F.col(rank) - 1) / size))
@@ -182,6 +206,19 @@ def column_identity(df: DataFrame, a: str, b: str, c: str) -> DataFrame:
     return df.filter((F.col(a) - F.col(b)) != F.col(c))
 
 
+def share_at_last(df: DataFrame, month: str, part: str, whole: str) -> DataFrame:
+    """MT2: part as a share of whole in the last month; null where whole is 0."""
+    last = df.agg(F.max_by(F.struct(month, part, whole), month).alias("l")).select("l.*")
+    return last.withColumn("share", F.try_divide(F.col(part), F.col(whole)))
+
+
+def shared_donors(links: DataFrame, donor: str, target: str, rating: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """MT7: donors that link to several targets (donor, targets), and the k best-rated donors of each target."""
+    pairs = links.groupBy(donor, target).agg(F.max(rating).alias(rating))
+    shared = pairs.groupBy(donor).agg(F.count("*").alias("targets")).filter("targets > 1")
+    return shared, top_per_group(pairs, [target], [F.desc_nulls_last(rating), F.col(donor)], k)
+
+
 def peak(df: DataFrame, month: str, value: str) -> DataFrame:
     """MT1: the peak month and value, the last value and its ratio to the peak; of equal peaks the earliest."""
     best = F.max_by(F.struct(month, value), F.struct(F.col(value), -F.unix_date(F.to_date(month))))
@@ -194,3 +231,50 @@ def hreflang_checks(pairs: DataFrame) -> DataFrame:
     j = pairs.join(back, (F.col("href") == F.col("_from")) & (F.col("page") == F.col("_to")), "left")
     valid = F.col("code").rlike(r"^([a-z]{2,3}(-[a-z]{2,4})?|x-default)$")
     return j.groupBy("page").agg(F.bool_or(F.col("href") == F.col("page")).alias("self_reference"), F.bool_or(F.col("code") == "x-default").alias("x_default"), F.count_if(~valid).alias("invalid_codes"), F.count_if(F.col("_from").isNull()).alias("not_returned"))
+
+
+def page_audit(before: DataFrame, after: DataFrame) -> DataFrame:
+    """MT10: two captures of pages (url, html) side by side: status (both, left or right), what each shows, and which fields
+    changed. Words, headings, tables and numbers like 1.85 are counted, head fields compared."""
+    from tessera.functions import html as H
+
+    counts = ("words", "n_h2", "n_tables", "n_odds")
+    heads = ("h1", "title", "description", "canonical")
+
+    def read(df: DataFrame, tag: str) -> DataFrame:
+        h = F.col("html")
+        meta = F.regexp_extract(F.regexp_extract(h, r'(?i)(<meta[^>]*\bname="description"[^>]*>)', 1), r'(?i)content="([^"]*)"', 1)
+        bare = F.regexp_replace(F.regexp_replace(h, r"(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>", " "), r"<[^>]*>", " ")
+        fields = df.select("url", *H.head_fields(h), F.regexp_count(h, F.lit(r"(?i)<table[\s>]")).alias("n_tables"), F.regexp_count(bare, F.lit(r"\b\d\.\d\d\b")).alias("n_odds"), meta.alias("description"))
+        return fields.select(F.col("url").alias(f"_url_{tag}"), *[F.col(c).alias(f"{c}_{tag}") for c in (*counts, *heads)])
+
+    a, b = read(before, "before"), read(after, "after")
+    j = a.join(b, F.col("_url_before") == F.col("_url_after"), "full_outer")
+    status = F.when(F.col("_url_before").isNull(), "right").when(F.col("_url_after").isNull(), "left").otherwise("both")
+    changed = F.array_compact(F.array(*[F.when(~F.col(f"{c}_before").eqNullSafe(F.col(f"{c}_after")), F.lit(c)) for c in (*counts, *heads)]))
+    kept = [f"{c}_{tag}" for c in counts for tag in ("before", "after")]
+    return j.select(F.coalesce("_url_before", "_url_after").alias("url"), status.alias("status"), *kept, F.when(status == "both", F.array_join(changed, " ")).otherwise("").alias("changed"))
+
+
+def audit_flags(pages: DataFrame, least_words: int = 300) -> DataFrame:
+    """MT11: page_id, missing_h1, missing_title, shared_title, few_words, images, missing_alt, technical_alt of pages (page_id,
+    html). An alt text is technical if it is a file name, a bare number or an identifier with underscores. Titles are
+    counted before the join: a window would bring all pages of one title into one task."""
+    from tessera.functions import html as H
+
+    images = F.regexp_extract_all(F.col("html"), F.lit(r"(?i)(<img[^>]*>)"), F.lit(1))
+    alt = lambda t: F.regexp_extract(t, r'(?i)\balt="([^"]*)"', 1)
+    own = pages.select("page_id", *H.head_fields(F.col("html")), images.alias("_i"))
+    again = own.filter("title <> ''").groupBy("title").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("title").alias("_t"))
+    met = own.join(again, F.col("title") == F.col("_t"), "left")
+    bad = r"(?i)\.(png|jpe?g|gif|webp|svg)$|^[0-9]+$|^[a-z0-9]+(_[a-z0-9]+)+$"
+    return met.select(
+        "page_id",
+        (~F.col("has_h1")).alias("missing_h1"),
+        (F.col("title") == "").alias("missing_title"),
+        F.col("_t").isNotNull().alias("shared_title"),
+        (F.col("words") < least_words).alias("few_words"),
+        F.size("_i").alias("images"),
+        F.size(F.filter("_i", lambda t: alt(t) == "")).alias("missing_alt"),
+        F.size(F.filter("_i", lambda t: alt(t).rlike(bad))).alias("technical_alt"),
+    )

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ HOP = "struct<status:int,url:string,location:string,error:string>"
 #: D4: a scan record; fields that a mode lacks are null.
 SCAN_RECORD = (
     "domain string, ts string, network string, mode string, "
-    "home struct<final_url:string,status:int,title:string,text_len:int,mentions:int,links:int,error:string,moved_to:string>, "
+    "home struct<final_url:string,status:int,title:string,text_len:int,mentions:int,links:int,js_buttons:int,error:string,moved_to:string>, "
     f"destinations array<struct<url:string,via:string,final_url:string,kind:string,brand:string,evidence:string,pid:string,ad_route:boolean,title:string,hops:array<{HOP}>>>, "
     "result struct<group:string,reason:string,other_brands:array<string>,pids:array<string>,unresolved:int>"
 )
@@ -32,20 +32,43 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(line.alias("value")).filter("value != '' AND NOT startswith(value, '#')").distinct()
 
 
+def _places() -> list[Column]:
+    """The file of a line, and its place in order of files: a struct of file, block of the file, and place in the block. A
+    block is read by one task from its first line to its last; numbers of the whole read follow how Spark packs files."""
+    return [F.col("_metadata.file_name").alias("file"), F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("ordinal")]
+
+
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    return lines.withColumn("r", F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
+
+
 def read_json_log(spark: SparkSession, path: str, schema: str = SCAN_RECORD) -> DataFrame:
     """SRC3, D3: JSON lines, plain or gzip, with file and ordinal; lines that are no record are left out.
 
-    The ordinal is the place of the line within the whole read and breaks ties of equal times.
+    The ordinal is the place of a line in the order of the files' names and of the lines in them, and breaks ties of equal
+    times: of two records of one key the later one in a file, or in a file of a later name, is the last.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("ordinal"))
-    parsed = lines.withColumn("r", F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
+    parsed = _parsed(spark.read.text(path).select("value", *_places()), schema)
     return parsed.filter("r IS NOT NULL AND r._corrupt IS NULL").select("r.*", "file", "ordinal").drop("_corrupt")
 
 
 def bad_lines(spark: SparkSession, path: str, schema: str = SCAN_RECORD) -> DataFrame:
     """SRC5: the lines that repair leaves out."""
-    lines = spark.read.text(path).withColumn("r", F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
-    return lines.filter("r IS NULL OR r._corrupt IS NOT NULL").select("value")
+    return _parsed(spark.read.text(path), schema).filter("r IS NULL OR r._corrupt IS NOT NULL").select("value")
+
+
+def repair_log(spark: SparkSession, path: str, out: str, schema: str = SCAN_RECORD) -> int:
+    """SRC5: write the whole lines of a log whose tail was cut off into the folder out and return their number; -1 if all
+    lines are whole, and nothing is written. Files may hold several gzip members. The order of lines in a file is kept; the
+    folder counts once its _SUCCESS is there."""
+    lines = read_gzip_members(spark, path).filter("value <> ''") if path.endswith(".gz") else spark.read.text(path).filter("value <> ''")
+    parsed = _parsed(lines, schema)
+    whole = (F.col("r").isNotNull() & F.col("r._corrupt").isNull()).alias("whole")
+    counts = parsed.agg(F.count("*").alias("n"), F.count_if(whole).alias("n_whole")).first()
+    if counts["n"] == counts["n_whole"]:
+        return -1
+    parsed.filter(whole).select("value").write.mode("overwrite").option("compression", "gzip").text(out)
+    return counts["n_whole"]
 
 
 def gunzip_members(data: bytes) -> bytes:
@@ -101,17 +124,88 @@ def read_saved_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """SRC8: files that hold one JSON array each, with the file's rank by name as ordinal."""
-    rows = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file", F.col("_metadata.file_name"))
-    files = rows.select("file").distinct()
-    from pyspark.sql import Window
+    """SRC8: files that hold one JSON array each, with the file's rank by name and the place in its array as file_no and
+    place. The window runs over a row for each file."""
+    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
+    files = raw.select("file").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("file")).cast("long"))
+    rows = raw.select("file", F.posexplode(F.from_json("value", T.ArrayType(T.StructType.fromDDL(schema)))).alias("place", "r"))
+    return rows.join(files, "file").select("r.*", "file", "file_no", "place")
+
+
+def _sheet(data: bytes) -> list[list[str]]:
+    """The rows of a workbook's first sheet as text: dates in ISO form, whole numbers without a point, empty cells ""."""
+    import datetime as dt
+    import io
+    import re
+    import zipfile
+    from xml.etree import ElementTree as ET
+
+    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    book = zipfile.ZipFile(io.BytesIO(data))
+    names = set(book.namelist())
+    shared = []
+    if "xl/sharedStrings.xml" in names:
+        shared = ["".join(t.text or "" for t in si.iter(main + "t")) for si in ET.fromstring(book.read("xl/sharedStrings.xml")).iter(main + "si")]
+    dated: list[bool] = []
+    if "xl/styles.xml" in names:
+        styles = ET.fromstring(book.read("xl/styles.xml"))
+        codes = {int(f.get("numFmtId")): f.get("formatCode", "") for f in styles.iter(main + "numFmt")}
+        own = {k for k, code in codes.items() if re.search("[ymdh]", re.sub(r'"[^"]*"|\\[[^]]*\\]', "", code.lower()))}
+        for xfs in styles.iter(main + "cellXfs"):
+            dated = [int(x.get("numFmtId", 0)) in own or 14 <= int(x.get("numFmtId", 0)) <= 22 for x in xfs.iter(main + "xf")]
+    first = sorted((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[0]))[0]
+    rows: list[list[str]] = []
+    for _, row in ET.iterparse(io.BytesIO(book.read(first))):
+        if row.tag != main + "row":
+            continue
+        cells: list[str] = []
+        for c in row.iter(main + "c"):
+            letters = re.match("[A-Z]+", c.get("r", "") or "")
+            at = len(cells)
+            if letters:
+                at = 0
+                for x in letters[0]:
+                    at = at * 26 + ord(x) - 64
+                at -= 1
+            cells += [""] * (at + 1 - len(cells))
+            value, kind = c.findtext(main + "v") or "", c.get("t", "n")
+            if kind == "s":
+                value = shared[int(value)]
+            elif kind == "inlineStr":
+                value = "".join(t.text or "" for t in c.iter(main + "t"))
+            elif kind == "n" and value:
+                style = int(c.get("s", 0))
+                if style < len(dated) and dated[style]:
+                    when = dt.datetime(1899, 12, 30) + dt.timedelta(seconds=round(float(value) * 86400))
+                    value = when.isoformat(sep=" ")
+                elif float(value).is_integer():
+                    value = str(int(float(value)))
+            cells[at] = value
+        rows.append(cells)
+        row.clear()
+    return rows
+
+
+def read_xlsx(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """SRC2: the named columns (text) of the first sheet of each workbook, found by its first row; with file and row_no. A
+    column that a sheet lacks is "". A workbook is read by one task."""
+    schema = ", ".join([*(f"`{c}` string" for c in columns), "file string", "row_no long"])
 
-    return rows.join(files.withColumn("ordinal", F.dense_rank().over(Window.orderBy("file"))), "file")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, content in zip(b["path"], b["content"], strict=True):
+                rows = _sheet(bytes(content))
+                head = rows[0] if rows else []
+                at = [head.index(c) if c in head else None for c in columns]
+                out = [[r[k] if k is not None and k < len(r) else "" for k in at] + [name.rsplit("/", 1)[-1], n] for n, r in enumerate(rows[1:], 1)]
+                yield pd.DataFrame(out, columns=[*columns, "file", "row_no"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
 
 
 def read_keyed_json(spark: SparkSession, path: str, value: str) -> DataFrame:
     """D13: a JSON object by key -> key, value; keys that start with "_" are notes."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     pairs = raw.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("key", "value"))
     return pairs.filter("NOT startswith(key, '_')")
 
@@ -132,20 +226,18 @@ def struct_hops(hops: str = "hops") -> Column:
 
 
 def sitemap_pages(maps: DataFrame, depth: int = 3, per_level: int = 6, most: int = 50_000) -> DataFrame:
-    """SRC11: pages of captured sitemaps (site, url, xml), nested maps followed at most depth levels, the first per_level of
-    each; site, url and level. The number of levels is fixed, so are the joins."""
-    from pyspark.sql import Window
-
+    """SRC11: pages of captured sitemaps (site, url, xml, root), nested maps followed at most depth levels, the first
+    per_level of each; site, url, level and rank. The number of levels is fixed, so are the joins."""
     from tessera.functions.html import sitemap_locations
 
     found = maps.select("site", F.col("url").alias("map"), F.posexplode(sitemap_locations(F.col("xml"))).alias("place", "l")).select("site", "map", "place", "l.url", "l.is_map")
-    level = maps.filter("root").select("site", F.col("url").alias("map"))
+    level = maps.filter("root").select("site", F.col("url").alias("map"), F.row_number().over(Window.partitionBy("site").orderBy("url")).alias("_r"))
     out = None
     for k in range(depth):
         here = found.join(level, ["site", "map"])
-        pages = here.filter("NOT is_map").select("site", "url", F.lit(k).alias("level"), "place")
+        pages = here.filter("NOT is_map").select("site", "url", F.lit(k).alias("level"), F.col("_r").alias("map_no"), "place")
         out = pages if out is None else out.union(pages)
-        rank = F.row_number().over(Window.partitionBy("site").orderBy("map", "place"))
-        level = here.filter("is_map").withColumn("_r", rank).filter(F.col("_r") <= per_level).select("site", F.col("url").alias("map"))
-    first = out.groupBy("site", "url").agg(F.min(F.struct("level", "place")).alias("o"))
+        rank = F.row_number().over(Window.partitionBy("site").orderBy("_r", "place"))
+        level = here.filter("is_map").withColumn("_n", rank).filter(F.col("_n") <= per_level).select("site", F.col("url").alias("map"), F.col("_n").alias("_r"))
+    first = out.groupBy("site", "url").agg(F.min(F.struct("level", "map_no", "place")).alias("o"))
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("site").orderBy("o", "url"))).filter(F.col("rank") <= most).select("site", "url", "o.level", "rank")

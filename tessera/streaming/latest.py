@@ -12,40 +12,58 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.keyed import latest
+from tessera.space import cut, drop, file_system
 
 
-def latest_stream(spark: SparkSession, path: str, schema: str, keys: Sequence[str], order: Sequence[str], out: str, checkpoint: str) -> StreamingQuery:
-    """IN2, WN1: every micro-batch is reduced to its latest records, merged with the table before it and written as the
-    next version out/v=<batch>; a batch that is run again writes the same version again.
+BUCKETS = 64
 
-    Use read_latest to read the newest version. Runs over what is there and stops (availableNow).
+
+def latest_stream(spark: SparkSession, path: str, schema: str, keys: Sequence[str], order: Sequence[str], out: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """IN2, WN1: every micro-batch is reduced to its latest records and merged into the table under out.
+
+    The table is dealt into buckets by key; a batch writes only the buckets that it touches, as v=<batch>/bucket=<k>, so its
+    cost follows the batch and not the table. A batch that is run again writes the same folders again; versions that two
+    later ones of a bucket replace are removed. Use read_latest to read the table. Runs over what is there and stops
+    (availableNow).
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        now = latest(batch, keys, order)
-        before = versions(spark, out, number)
-        if before:
-            now = latest(spark.read.schema(batch.schema).parquet(f"{out}/v={before[-1]}").unionByName(now), keys, order)
-        now.write.mode("overwrite").parquet(f"{out}/v={number}")
+        dealt = latest(batch, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        now = cut(dealt)
+        touched = {r["bucket"] for r in now.select("bucket").distinct().collect()}  # at most buckets rows
+        held = {k: v for k, v in parts(spark, out, number).items() if k in touched}
+        if held:
+            before = spark.read.schema(dealt.schema).option("basePath", out).parquet(*[f"{out}/v={v[-1]}/bucket={k}" for k, v in held.items()])
+            now = latest(before.select(*dealt.columns).unionByName(now), keys, order)
+        now.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/v={number}")
+        for k, versions in held.items():
+            for v in versions[:-1]:
+                drop(spark, f"{out}/v={v}/bucket={k}")
 
     stream = spark.readStream.schema(schema).json(path)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def versions(spark: SparkSession, out: str, below: int | None = None) -> list[int]:
-    """The whole versions under a path, oldest first, through Hadoop's file system."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(out)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+def parts(spark: SparkSession, out: str, below: int | None = None) -> dict[int, list[int]]:
+    """The whole versions of each bucket under a path, oldest first."""
+    fs, path = file_system(spark, out)
+    found: dict[int, list[int]] = {}
     if not fs.exists(path):
-        return []
-    names = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
-    whole = [int(p.getName()[2:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(v for v in whole if below is None or v < below)
-
-
-def read_latest(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/v={versions(spark, out)[-1]}")
+        return found
+    versions = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
+    for p in sorted(versions, key=lambda p: int(p.getName()[2:])):
+        v = int(p.getName()[2:])
+        if (below is None or v < below) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            for s in fs.listStatus(p):
+                if s.getPath().getName().startswith("bucket="):
+                    found.setdefault(int(s.getPath().getName()[7:]), []).append(v)
+    return found
+
+
+def read_latest(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    """The table: the newest version of each bucket."""
+    paths = [f"{out}/v={v[-1]}/bucket={k}" for k, v in sorted(parts(spark, out).items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def windowed_counts(events: DataFrame, ts: str, by: str, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
