@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import html, text, url
+from tessera.config import AFFILIATE_NAMES, parameters
+from tessera.functions import html, url
 from tessera.plans.registry import query
 
 #: The host of a URL in DuckDB SQL.
@@ -24,8 +25,8 @@ def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT page_id, regexp_extract(q, '(?:^|&)ref=([^&]*)', 1) AS ref_value, regexp_matches(q, '(?i)(^|&)(tag|btag|pid|p|promo|promocode|ref|aff|affid|aff_id|affiliate|sub1|subid|sub_id|click_id|clickid|clid|partner|cid|s1|lp|offer|bonus_code)=') AS affiliate,
-  regexp_matches(p, '(?i)^/(go|out|away|redirect|visit|link|click|r)(/|$|\\.php)') AS gate, regexp_matches(p, '(?i)\\.(css|js|png|jpe?g|gif|svg|ico|webp|woff2?|ttf|mp4|pdf|xml|json)$') AS static
+SELECT page_id, regexp_extract(q, '(?:^|&)ref=([^&]*)', 1) AS ref_value, regexp_matches(q, '{parameters(AFFILIATE_NAMES)}') AS affiliate,
+  regexp_matches(p, '(?i)^/({"|".join(url.GATE_WORDS)})(/[^/]{{0,24}})?/?$') AS gate, regexp_matches(p, '(?i)\\.({"|".join(url.STATIC_ENDINGS)})(\\?|$)') AS static
 FROM (SELECT page_id, regexp_extract(url, '^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)', 1) AS p, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages)
 """)
 def url_params_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,20 +35,7 @@ def url_params_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", url.query_value(u, "ref").alias("ref_value"), url.has_affiliate_params(u).alias("affiliate"), shapes["gate"].alias("gate"), shapes["static"].alias("static"))
 
 
-@query(f"""
-WITH hosts AS (SELECT DISTINCT {HOST} AS host FROM pages), keyed AS (SELECT host, regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1) AS k FROM hosts)
-SELECT a.host AS host_a, b.host AS host_b FROM keyed a JOIN keyed b ON a.k = b.k AND a.host < b.host AND (ends_with(a.host, '.' || b.host) OR ends_with(b.host, '.' || a.host))
-""")
-def same_site_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UR4: hosts of one site, met on their last three labels."""
-    hosts = pages(spark, sf_dir).select(url.url_host(F.col("url")).alias("host")).distinct()
-    keyed = hosts.withColumn("k", F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    met = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.host") < F.col("b.host")))
-    return met.filter(url.same_site(F.col("a.host"), F.col("b.host"))).select(F.col("a.host").alias("host_a"), F.col("b.host").alias("host_b"))
-
-
-@query(f"SELECT page_id, {HOST} || regexp_replace(regexp_extract(url, '^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)', 1), '/+$', '') AS ref_key FROM pages")
+@query(f"SELECT page_id, lower(regexp_replace(regexp_replace(regexp_extract(url, '^(?:([^:/?#]+):)?(?://([^/?#]*))?', 2), '^.*@', ''), ':[0-9]*$', '')) || coalesce(nullif(regexp_replace(regexp_extract(url, '^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)', 1), '/+$', ''), ''), '/') AS ref_key FROM pages")
 def url_ref_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UR5."""
     return pages(spark, sf_dir).select("page_id", url.ref_key(F.col("url")).alias("ref_key"))
@@ -67,15 +55,6 @@ def random_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.select("host", url.random_host(F.col("host")).alias("random"))
 
 
-@query()
-def page_visible_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HT1, HT7, TX3, AG1: visible words, links and term density per host, densest first."""
-    seen = html.parse_pages(pages(spark, sf_dir).select("page_id", "url", "html"))
-    seen = seen.withColumn("host", url.url_host(F.col("url"))).withColumn("terms", text.count_matches(F.col("text"), r"(?iU)\bthe\b"))
-    found = seen.groupBy("host").agg(F.count("*").alias("n_pages"), F.sum("n_links").alias("n_links"), F.sum(F.length("text")).alias("n_chars"), F.sum("terms").alias("n_terms"))
-    return found.withColumn("density", F.round(text.per_thousand(F.col("n_terms"), F.col("n_chars")), 2)).orderBy(F.desc("n_pages"), "host")
-
-
 @query("""
 SELECT page_id, unnest(generate_series(1, len(h)))::INT AS ordinal, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages)
 """)
@@ -90,24 +69,4 @@ SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1))
 """)
 def head_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HT14."""
-    return pages(spark, sf_dir).select("page_id", *html.head_fields(F.col("html")))
-
-
-@query("""
-WITH t AS (SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, html FROM pages)
-SELECT page_id, NOT regexp_matches(html, '(?i)<h1[\\s>]') AS missing_h1, title <> '' AND count(*) OVER (PARTITION BY title) > 1 AS shared_title, title = '' AS missing_title FROM t
-""")
-def audit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MT11: missing h1, a title shared by several pages, no title."""
-    own = pages(spark, sf_dir).select("page_id", *html.head_fields(F.col("html")))
-    #: Counted before the join: a window would bring all pages without a title into one task.
-    again = own.filter("title != ''").groupBy("title").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("title").alias("t"))
-    met = own.join(again, F.col("title") == F.col("t"), "left")
-    return met.select("page_id", (~F.col("has_h1")).alias("missing_h1"), F.col("t").isNotNull().alias("shared_title"), (F.col("title") == "").alias("missing_title"))
-
-
-@query("SELECT md5(html) AS content_hash, count(*) AS n, min(page_id) AS first_page FROM pages WHERE html IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
-def identical_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MT9: byte-identical captures."""
-    own = pages(spark, sf_dir).filter("html IS NOT NULL").select("page_id", F.md5(F.col("html").cast("binary")).alias("content_hash"))
-    return own.groupBy("content_hash").agg(F.count("*").alias("n"), F.min("page_id").alias("first_page")).filter("n > 1")
+    return pages(spark, sf_dir).select("page_id", *html.head_fields(F.col("html"))).select("page_id", "title", "lang", "n_h2", "has_h1")

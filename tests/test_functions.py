@@ -1,10 +1,12 @@
 import base64
+import dataclasses
 import unicodedata
 from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.config import DEFAULT
 from tessera.functions import html, text, url
 
 URLS = ["http://WWW.Example.com:8080/a/b/?x=1#f", "https://user:pw@shop.example/go/Ab3dE?pid=a%20b", "//cdn.example/x.css", "nonsense", "", "http://example.org?u=https://x.example", "https://пример.example/путь", "http://a b.example/?q=[1]", "http://[", "#top", "https://example.net./2024/05/a-b-c-d-e/"]
@@ -29,21 +31,23 @@ def test_same_site(spark):
 
 
 def test_keys_and_params(spark):
-    assert col(spark, URLS[:2], url.ref_key) == ["example.com/a/b", "shop.example/go/Ab3dE"]
+    assert col(spark, URLS[:2], url.ref_key) == ["www.example.com/a/b", "shop.example/go/Ab3dE"]
+    assert col(spark, ["http://a.example", "http://a.example//"], url.ref_key) == ["a.example/", "a.example/"]
     assert col(spark, URLS[:2], url.partner_id) == ["", "a b"]
     assert col(spark, URLS[:2], url.has_affiliate_params) == [False, True]
     assert col(spark, ["http://x.example/Ab3dE", "http://x.example/Title", "http://x.example/abcde", "http://x.example/aB"], url.tracker_shaped) == [True, False, False, False]
     assert col(spark, ["http://in.example/x", "http://o.example/Ab3dE?x=1", "http://o.example/p?x=1#f"], lambda u: url.cache_key(u, F.lit("in.example"))) == ["", "o.example/Ab3dE", "http://o.example/p?x=1"]
     assert col(spark, ["https://redirect.example/?url=http%3A%2F%2Fa.example%2F", "http://b.example/?url=x"], lambda u: url.unwrap(u, r"^redirect\.")) == ["http://a.example/", "http://b.example/?url=x"]
-    assert col(spark, ["x1y.example", "bcdfg.example", "banana.example", "example"], url.random_host) == [True, True, False, False]
+    assert col(spark, ["x1y.example", "bcdfg.example", "banana.example", "example", "localhost9", "bcdfg", "go.acme.com"], url.random_host) == [True, True, False, False, True, True, True]
     assert col(spark, ["a.kz", "b.example"], url.tld_country) == ["KZ", None]
 
 
 def test_shapes_and_refs(spark):
     got = [r[0].asDict() for r in spark.createDataFrame([(u,) for u in URLS], "v string").select(url.path_shapes(F.col("v"))).collect()]
     assert got[1]["gate"] and got[2]["static"] and got[5]["url_param"] and got[10]["dated"] and got[10]["slug"] and not got[0]["gate"]
-    refs = ["http://acme.example/x", "http://known.example/", "http://o.example/?aff=1", "http://site.example/?aff=1", "http://o.example/page"]
-    assert col(spark, refs, lambda u: url.classify_ref(u, F.lit("site.example"), ["known.example"])) == ["brand_host", "known_ref_host", "ref", None, None]
+    refs = ["http://acme.example/x?pid=1", "http://known.example/", "http://x7q.example/Ab3d", "http://site.example/?aff=1", "http://o.example/page", "ftp://known.example/", "http://x7q.example/News", "http://go.acme.com/Ab3d/0/x"]
+    known = dataclasses.replace(DEFAULT, ref_hosts=("known.example",))
+    assert col(spark, refs, lambda u: url.classify_ref(u, F.lit("site.example"), known)) == ["brand_host", "known_ref_host", "ref", None, None, None, None, "ref"]
 
 
 def test_python_functions(spark):
@@ -79,7 +83,7 @@ def test_text(spark):
     assert col(spark, ["1.5", "", None, "x"], text.number) == [1.5, 0.0, 0.0, 0.0]
     assert col(spark, [1234567, 12], text.grouped_number, "v long") == ["1 234 567", "12"]
     assert col(spark, ["dns:x", "other"], lambda c: text.explain(c, [("^dns:(.*)$", "no address for $1")])) == ["no address for x", "other"]
-    assert col(spark, ["Connection timed out", "", None, "zzz"], text.error_code) == ["timeout", "", "", "other"]
+    assert col(spark, ["Timeout 30000ms exceeded", "", None, "zzz"], text.error_code) == ["timeout", "", "", "nav_error"]
     for kind in text.DELIMITERS:
         assert col(spark, [["a", "b"], []], lambda c, kind=kind: text.unpack(text.pack(c, kind), kind), "v array<string>") == [["a", "b"], []]
 
@@ -110,7 +114,7 @@ def test_html(spark):
     links = {x["url"]: x for x in row["links"]}
     assert set(links) == {"/next", "/hid", "http://x.example/p", "/f", "/g", "/d"}
     assert links["/hid"]["hidden"] and not links["/f"]["hidden"] and links["http://x.example/p"]["in_post"]
-    assert row["names"] == ["/acme.ico", "Acme"] and row["script_urls"] == ["/s.js"] and row["n_cta"] == 1
+    assert row["names"] == ["/acme.ico", "Acme"] and row["script_urls"] == ["/s.js"] and (row["n_buttons"], row["n_cta"]) == (1, 0)
     got = html.parse_pages(spark.createDataFrame([(1, PAGE), (2, None), (3, "<p>a<b>c")], "page_id long, html string")).orderBy("page_id").collect()
     assert [r.n_links for r in got] == [6, 0, 0] and got[2].text == "a c" and got[1].text == ""
     head = spark.createDataFrame([(PAGE,)], "h string").select(*html.head_fields(F.col("h"))).first()
@@ -134,4 +138,34 @@ def test_captured_markup(spark):
 def test_scripted_links():
     hidden = base64.b64encode(b"https://h.example/p").decode().rstrip("=")
     page = f"""<a onclick="window.open('/o')">x</a><i data-x="https://d.example/" data-y="{hidden}" data-z="plain"></i><script>location.href = "/s"; var q = "{hidden}";</script>"""
-    assert [(x["url"], x["source"]) for x in html.parse_one(page)["links"]] == [("/o", "onclick"), ("https://d.example/", "data"), ("https://h.example/p", "base64"), ("/s", "script"), ("https://h.example/p", "base64")]
+    assert [(x["url"], x["source"]) for x in html.parse_one(page)["links"]] == [("/o", "onclick"), ("https://d.example/", "data-x"), ("https://h.example/p", "data-y:b64"), ("/s", "script_nav")]
+    page = "<i onclick='window.open (`/b`)'></i><i data-target-url='/t'></i><script>location . href</script>"
+    assert [(x["url"], x["source"]) for x in html.parse_one(page, "https://s.example/x")["links"]] == [("https://s.example/b", "onclick"), ("https://s.example/t", "data-target-url")]
+
+
+@pytest.mark.parametrize("style", ["display : none", "visibility:hidden", "opacity:0", "opacity: 0.0", "text-indent:-999px", "left: -200px", "top:-9999em", "font-size:1px", "font-size: 0", "height:2px; overflow:hidden", "overflow:hidden;width:0px", "clip: rect(0 0 0 0)", "DISPLAY:NONE !important"])
+def test_hiding_styles(style):
+    assert html.style_hides(style)
+    assert html.parse_one(f'<div style="{style}"><a href="/x">x</a></div>')["links"][0]["hidden"]
+
+
+@pytest.mark.parametrize("style", ["", "display:block", "opacity:0.5", "left:-20px", "font-size:12px", "height:2px", "overflow:hidden", "margin-left:-1px", "colour"])
+def test_styles_that_hide_nothing(style):
+    assert not html.style_hides(style)
+
+
+@pytest.mark.parametrize(("block", "inside"), [('<div class="post">', True), ('<li class="big-News">', True), ("<article>", True), ('<section class="story x">', True), ('<span class="post">', False), ('<div class="menu">', False), ("<div>" * 9, False)])
+def test_posts(block, inside):
+    assert html.parse_one(f'{block}<a href="/x">x</a>')["links"][0]["in_post"] is inside
+
+
+def test_repeated_links_are_counted_and_listed_once(spark):
+    page = '<a href="https://trail.example/Zx9k">a</a><a href="https://trail.example/Zx9k">b</a><a href="https://o.example/Zx9k">c</a>'
+    df = spark.createDataFrame([("https://s.example/", page)], "url string, html string")
+    got = html.page_features(html.parse_pages(df, "html", "url")).select("n_links", "links_ext", "ext_hosts", "trackers", html.distinct_links(F.col("links")).alias("d")).first()
+    assert (got.n_links, got.links_ext, got.ext_hosts, got.trackers) == (2, 3, 2, ["https://trail.example/Zx9k"]) and len(got.d) == 2
+
+
+def test_folded_letters_count(spark):
+    df = spark.createDataFrame([("https://s.example/", "<p>Асmе and Ácme</p>")], "url string, html string")
+    assert html.page_features(html.parse_pages(df)).first().mentions == 2
