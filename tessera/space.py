@@ -55,10 +55,23 @@ def drop_all() -> None:
     _made.clear()
 
 
+#: Estimated sizes of more bits than this say nothing any more.
+SIZE_BITS = 80
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a reliable checkpoint in the shared folder.
+
+    A checkpointed plan keeps the estimated size of what it was made of, and a join's estimate is a product: in loops these
+    numbers double their digits each round until planning takes longer than the work. Such an estimate is dropped.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    out = df.checkpoint(eager=True)
+    plan = out._jdf.queryExecution()
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())).bit_length() <= SIZE_BITS:
+        return out
+    return type(out)(spark._jsparkSession.internalCreateDataFrame(plan.toRdd(), out._jdf.schema(), False), spark)
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
