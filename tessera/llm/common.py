@@ -1,13 +1,14 @@
-"""Helpers shared by the corpus operators: shared folders, checkpoints, word hashing."""
+"""Helpers shared by the corpus operators: word hashing, batches; folders and checkpoints are those of the library."""
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+
+from tessera.space import broadcast_if_small, cut, drop, scratch, shared_dir
+
+__all__ = ["broadcast_if_small", "cut", "drop", "scratch", "shared_dir"]
 
 #: Word classes of the operator contracts, as Java and RE2 patterns.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,35 +19,6 @@ U64 = np.uint64
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Where a session names none (tests, notebooks) a folder under the warehouse is set instead.
-    """
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, for files that one query writes and reads."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """df marked for a broadcast if it has at most so many rows, which are counted; else Spark joins by a shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of one Arrow batch, so that a batch of long texts fits a Python worker.
 

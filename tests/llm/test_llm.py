@@ -87,13 +87,42 @@ def test_minhash_large_group_of_near_copies(spark):
     assert {x.doc_id: x.component_id for x in got} == brute_classes(docs, 3, 85)[0]
 
 
-def test_minhash_splits_large_clusters(spark):
+@pytest.mark.parametrize(("limit", "block"), [(2, 512), (10, 4), (16_384, 3)])
+def test_minhash_classes_do_not_depend_on_sizes(spark, limit, block):
     docs = rng_docs(120, 9)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = minhash.near_duplicates(df, words=3, percent=85, cluster_limit=2).collect()
+    got = minhash.near_duplicates(df, words=3, percent=85, cluster_limit=limit, block=block, block_shingles=300).collect()
     assert {r.doc_id: r.component_id for r in got} == brute_classes(docs, 3, 85)[0]
 
 
+def test_minhash_classes_inside_one_large_cluster(spark):
+    """Chains of near copies over many blocks, which one cluster holds together with classes that are not linked."""
+    r, vocab = random.Random(15), ["w%d" % k for k in range(600)]
+    docs, base = [], [r.choice(vocab) for _ in range(120)]
+    for k in range(150):  # a chain: each text is near the one before
+        base = list(base)
+        base[(7 * k) % 120] = r.choice(vocab)
+        docs.append((k, " ".join(base)))
+    docs += [(1000 + k, t + " and more words of its own " + " ".join(r.choice(vocab) for _ in range(30))) for k, t in docs[::5]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    expected = brute_classes(docs, 3, 85)[0]
+    assert len(set(expected.values())) > 3
+    for block in (4, 40):
+        got = minhash.near_duplicates(df, words=3, percent=85, block=block, block_shingles=120 * block).collect()
+        assert {x.doc_id: x.component_id for x in got} == expected
+
+
+def test_minhash_two_texts_under_one_id(spark):
+    one, other = " ".join("a%d" % k for k in range(60)), " ".join("b%d" % k for k in range(60))
+    rows = [(5, one, 1), (5, other, 2), (5, one, 1), (7, other + " b99", 3), (2, one + " a99", 4), (9, one.upper(), 5), (None, one, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, class_id int")
+    classes = minhash.near_duplicates(df, words=3, percent=85)
+    got = sorted((str(r.doc_id), r.component_id or 0, r.kept) for r in classes.collect())
+    assert got == sorted([("5", 2, False), ("5", 5, True), ("5", 2, False), ("7", 5, False), ("2", 2, True), ("9", 2, False), ("None", 0, True)])
+    kept = minhash.keep_one(df, classes)
+    assert kept.columns == df.columns and sorted((str(r.doc_id), r.class_id) for r in kept.collect()) == [("2", 4), ("5", 2), ("None", 6)]
+
+
 def test_minhash_odd_rows(spark):
     df = spark.createDataFrame(ODD, "doc_id long, text string")
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, words=3, percent=85).collect())
@@ -107,7 +136,7 @@ def test_minhash_odd_rows(spark):
 
 def test_miss_rate_bounds():
     for p in (0.8, 0.85, 0.9):
-        assert minhash.miss_rate(p, minhash.choose_width(p, 16), 16) <= 0.003
+        assert minhash.miss_rate(p, minhash.choose_width(p, 18), 18) <= 0.003
 
 
 @pytest.mark.parametrize("spread", [90, 5000])
