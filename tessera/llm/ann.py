@@ -149,21 +149,26 @@ def _add_back(x: np.ndarray, graph: np.ndarray, part: np.ndarray, degree: int, r
 
 
 def _augmented(x: np.ndarray) -> np.ndarray:
-    norm = (x.astype(np.float64) ** 2).sum(axis=1)
+    """The vectors in single precision, scaled so that the longest has the length 1, with the added coordinate."""
+    x = x.astype(np.float64)
+    x = x / max(np.abs(x).max(initial=0), np.finfo(np.float64).tiny)
+    norm = (x**2).sum(axis=1)
+    longest = np.sqrt(norm.max(initial=0)) or 1.0
+    x, norm = x / longest, norm / longest**2
     return np.concatenate([x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
 
 
 def _index_shard(degree: int, beam: int, alpha: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", kind="stable")
-        x = np.stack(rows["embedding"].to_numpy()).astype(np.float32)
+        x = np.stack(rows["embedding"].to_numpy()).astype(np.float64)
         ids = rows["vec_id"].to_numpy()
         #: Equal vectors are one node, with all their ids.
         unique, inverse = np.unique(x, axis=0, return_inverse=True)
         inverse = inverse.ravel()
         graph, entries = build_graph(_augmented(unique), degree, beam, alpha)
         order = np.argsort(inverse, kind="stable")
-        return pd.DataFrame({"dim": [x.shape[1]], "shard": [rows["shard"].iloc[0]], "entries": [entries.astype(np.int64).tobytes()], "vectors": [unique.tobytes()], "graph": [graph.astype(np.int32).tobytes()], "ids": [ids[order].astype(np.int64).tobytes()], "copies": [np.bincount(inverse).astype(np.int64).tobytes()]})
+        return pd.DataFrame({"dim": [x.shape[1]], "shard": [rows["shard"].iloc[0]], "entries": [entries.astype(np.int64).tobytes()], "vectors": [unique.astype(np.float64).tobytes()], "graph": [graph.astype(np.int32).tobytes()], "ids": [ids[order].astype(np.int64).tobytes()], "copies": [np.bincount(inverse).astype(np.int64).tobytes()]})
 
     return run
 
@@ -174,32 +179,43 @@ def _search_shard(k: int, beam: int, step: int = 256):
         if queries.empty or index.empty:
             return pd.DataFrame(out).astype({"query_id": "int64", "query_hash": "int64", "vec_id": "int64", "score": "float64"})
         row, dim = index.iloc[0], int(index["dim"].iloc[0])
-        vectors = np.frombuffer(row["vectors"], np.float32).reshape(-1, dim)
+        vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
         ids, copies = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64)
         graph, entries = np.frombuffer(row["graph"], np.int32).reshape(len(vectors), -1), np.frombuffer(row["entries"], np.int64)
-        start, x, exact = np.cumsum(copies) - copies, _augmented(vectors), vectors.astype(np.float64)
+        start, x = np.cumsum(copies) - copies, _augmented(vectors)
+        least = ids[start]
         for low in range(0, len(queries), step):
             part = queries.iloc[low : low + step]
-            q = np.stack(part["embedding"].to_numpy()).astype(np.float32)
+            q = np.stack(part["embedding"].to_numpy()).astype(np.float64)
+            #: The direction alone decides which vectors are near.
+            way = (q / np.maximum(np.abs(q).max(axis=1, keepdims=True), np.finfo(np.float64).tiny)).astype(np.float32)
+            way /= np.sqrt((way**2).sum(axis=1, keepdims=True))
             if len(x) <= beam:
                 found = np.broadcast_to(np.arange(len(x)), (len(q), len(x)))
             else:
-                found, _ = beam_search(x, graph, entries, np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1), beam)
-            score = (exact[found] * q.astype(np.float64)[:, None, :]).sum(axis=-1)
+                found, _ = beam_search(x, graph, entries, np.concatenate([way, np.zeros((len(q), 1), np.float32)], axis=1), beam)
+            score = (vectors[found] * q[:, None, :]).sum(axis=-1)
             score[found < 0] = -np.inf
-            best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
             for r, (query, tag) in enumerate(zip(part["vec_id"], part["query_hash"], strict=True)):
-                for node in best[r]:
-                    if score[r, node] == -np.inf:
-                        continue
+                #: The best nodes and, of those with the score of the last one, all: whose ids are smallest is seen below.
+                order = np.lexsort((least[found[r]], -score[r]))
+                order = order[score[r][order] != -np.inf]
+                last = score[r][order[min(k, order.size - 1)]] if order.size else 0
+                mine, scores = [], []
+                for node in order[score[r][order] >= last]:
                     at = found[r, node]
                     same = ids[start[at] : start[at] + min(copies[at], k + 1)]
                     if (vectors[at] == q[r]).all():
                         same = same[same != query]
-                    out["query_id"] += [query] * len(same)
-                    out["query_hash"] += [tag] * len(same)
-                    out["vec_id"] += same.tolist()
-                    out["score"] += [score[r, node]] * len(same)
+                    mine.append(same)
+                    scores.append(np.full(len(same), score[r, node]))
+                if mine:
+                    flat, value = np.concatenate(mine), np.concatenate(scores)
+                    first = np.lexsort((flat, -value))[:k]
+                    out["query_id"] += [query] * len(first)
+                    out["query_hash"] += [tag] * len(first)
+                    out["vec_id"] += flat[first].tolist()
+                    out["score"] += value[first].tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "query_hash": "int64", "vec_id": "int64", "score": "float64"})
 
     return run
@@ -209,14 +225,15 @@ def nearest(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id
     """The k nearest found for each query, by largest inner product; ties go to the smaller id.
 
     queries: an SQL condition on the id that picks the query rows; candidates are all rows but the query's own.
-    Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, take no part;
+    Vectors of single and of double precision are held as they are. Vectors that are null, empty, zero or hold null or
+    non-finite components, and rows with a null id, take no part;
     whole repeated rows count once, and vectors of another length are never compared. An empty table gives no rows.
     Returns query_id, rank (from 1), vec_id, score (the inner product of the original vectors in double precision).
     All vectors are indexed. A task holds one shard's graph and one block of queries.
     """
     v = F.col("embedding")
     sound = (F.size(v) > 0) & F.forall(v, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) != float("inf")), F.lit(False))) & F.exists(v, lambda c: c != 0)
-    own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("embedding"))
+    own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
     rows = cut(own.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(sound).distinct().withColumn("dim", F.size("embedding")))
     total = rows.count()
     shards = max(1, -(-total // shard_rows))

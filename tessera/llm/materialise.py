@@ -7,6 +7,7 @@ shards; a shard's records have one size, so slot s is at byte (s - first slot) *
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -130,6 +131,14 @@ def write_shards(docs: DataFrame, path: str, key: int = 1, seq_len: int = 2048,
     return total
 
 
+def shard_number(path: str) -> int:
+    """The number in a shard's name, which has five digits up to 99999 and as many as it needs beyond."""
+    found = re.search(r"part-(\d+)[^/]*$", path)
+    if not found:
+        raise ValueError(f"{path} is no shard")
+    return int(found[1])
+
+
 def _records(seq_len: int, per_shard: int, low: int, high: int | None, order: tuple[int, int] | None = None):
     """path, content -> slot, n_tokens and ids; with order (size, key) the sequence's number before slot and a CRC-32 in
     place of ids."""
@@ -141,7 +150,7 @@ def _records(seq_len: int, per_shard: int, low: int, high: int | None, order: tu
                 raw = np.frombuffer(data.as_buffer(), np.uint8)
                 if raw.size % step:
                     raise ValueError(f"{name} is not a whole number of records")
-                first = int(name.rsplit("part-", 1)[1][:5]) * per_shard
+                first = shard_number(name) * per_shard
                 records = raw.reshape(-1, step)
                 keep = range(max(0, low - first), len(records) if high is None else max(0, min(len(records), high - first)))
                 for at in range(keep.start, keep.stop, 512):
@@ -161,7 +170,7 @@ def read_shards(spark: SparkSession, path: str, seq_len: int = 2048, per_shard:
     """slot, n_tokens, ids (little-endian unsigned 16-bit) of the slots from start up to stop: a job resumes at any slot,
     and only the shards that hold such slots are opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
+    number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
     inside = (number + 1) * per_shard > start
     if stop is not None:
         inside &= number * per_shard < stop
@@ -175,7 +184,10 @@ def read_shards(spark: SparkSession, path: str, seq_len: int = 2048, per_shard:
 
 
 def materialise(docs: DataFrame, key: int = 1, seq_len: int = 2048, per_shard: int = 4096) -> DataFrame:
-    """Write docs as shards in the shared folder and read them back: sequence_id, slot, n_tokens, ids_crc32, shard."""
+    """Write docs as shards in the shared folder and read them back: sequence_id, slot, n_tokens, ids_crc32, shard.
+
+    Sequences follow the input's partitions: the same files read with other split sizes give other sequences, the same
+    permutation of them. The folder stays until the program ends (the frame reads it)."""
     path = scratch(docs.sparkSession, "shards")
     total = write_shards(docs, path, key, seq_len, per_shard)
     if not total:

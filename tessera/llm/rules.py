@@ -36,7 +36,7 @@ def base_counts(docs: DataFrame, carried: list[str]) -> DataFrame:
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long); a null or blank text has none of them.
     """
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), "lang", F.coalesce("text", F.lit("")).alias("t"))
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("t"))
     split = plain.withColumn("words", F.array_remove(F.split("t", SPACE), "")).withColumn("n", F.size("words"))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     made = split.withColumn("joined", F.array_join("words", "")).withColumn("lines", lines).withColumn("grams", _windows(F.col("words"), F.col("n")))
@@ -94,7 +94,7 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def _measured(docs: DataFrame, carried: list[str]) -> DataFrame:
-    made = histograms(base_counts(docs.withColumn("lang", F.col("lang").cast("string")), carried))
+    made = histograms(base_counts(docs, carried))
     #: seq is not deterministic, so no filter that needs it moves below and evaluates the counts again.
     return made.select("row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common", F.monotonically_increasing_id().alias("seq"))
 

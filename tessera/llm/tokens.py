@@ -70,6 +70,15 @@ class WordTokenizer:
             raise ValueError("the tokenizer file has no single token for the mark")
         self.mark = int(mark[0])
         self._clear()
+        self._check()
+
+    def _check(self) -> None:
+        """Raises ValueError where the file's tokenizer does not give a text's ids word by word."""
+        probes = ["the quick  brown fox, jumped. over", "Don't STOP\n\nit's 1,234.5 (é) naïve", "a\tb c_d x@y.z 北京 hi!", "word " * 40]
+        for text, mine in zip(probes, self.encode([p.encode() for p in probes]), strict=True):
+            if mine.tolist() != self._one(text).tolist():
+                raise ValueError("this tokenizer does not encode word by word; its file cannot be used here")
+        self._clear()
 
     def _clear(self) -> None:
         self.codes = Codes()

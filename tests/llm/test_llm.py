@@ -184,6 +184,19 @@ def test_nearest_recall_and_rules(spark):
     assert ann.nearest(df.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_ties_go_to_the_smaller_id(spark, kind):
+    """Many different vectors of one score, more than fit, on either side of the beam; large and very close values."""
+    rows = [(0, [1.0, 0.0, 0.0])] + [(k, [0.5, float(k), 0.0]) for k in range(1, 100)]
+    got = ann.nearest(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumn("rank", F.lit(0)), "vec_id = 0").collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(k, k, 0.5) for k in range(1, 21)]
+    if kind == "double":
+        near = [(0, [1.0, 1e200])] + [(k, [1.0 + k * 1e-12, 1e60]) for k in range(1, 30)] + [(99, [1e300, 1.0])]
+        got = ann.nearest(spark.createDataFrame(near, "vec_id long, embedding array<double>"), "vec_id = 0", k=3).collect()
+        exact = sorted(((v[0] + v[1] * 1e200, -i) for i, v in near[1:]), reverse=True)
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(-i, s) for s, i in exact[:3]]
+
+
 def test_quality_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality.train(docs, labels)
@@ -451,6 +464,25 @@ def test_shards_round_trip_and_resume(spark, tmp_path):
     assert materialise.materialise(df.limit(0)).count() == 0
 
 
+def test_shard_numbers_of_any_length():
+    names = ["part-00007-x.txt", "file:/a/part-99999-c000.txt", "part-100000-x", "hdfs://h/shards-part-1/part-123456-c000"]
+    assert [materialise.shard_number(n) for n in names] == [7, 99_999, 100_000, 123_456]
+    with pytest.raises(ValueError):
+        materialise.shard_number("file:/a/_SUCCESS")
+
+
+def test_a_tokenizer_that_joins_words_is_refused(tmp_path):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(tokens.default_path())
+    from tokenizers import pre_tokenizers
+
+    tk.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
+    tk.save(str(tmp_path / "t.json"))
+    with pytest.raises(ValueError):
+        tokens.WordTokenizer(str(tmp_path / "t.json"))
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_files_and_warc_records(version):
     records = [{"url": "http://a.example/x y\n", "type": "text/html", "content": b"HTTP/1.1 200 OK\r\n\r\n\n\nbody\r\n\r\n"}, {"url": None, "content": b""}, {"url": "http://b.example/", "date": "20240102030405", "content": b"plain"}]
