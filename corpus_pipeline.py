@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import minhash, mixing, packing, quality, rules
-from tessera.llm.common import scratch
+from tessera.llm.common import drop, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -46,15 +46,18 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack_sequences),
 ]
 
-#: Classifier, MinHash and packing are no SQL; the stages are tested against brute force.
+#: Classifier, MinHash and packing are no SQL; the stages are tested against brute force in tests/llm.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written as Parquet in the shared folder and read again as the next one's docs."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = scratch(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # what a whole stage was made of is not read again
+            drop(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
