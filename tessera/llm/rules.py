@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE, broadcast_if_small, cut
 
-#: Frequent function words of English, German, French and Spanish.
+#: Frequent function words of English, German, French, Spanish, Italian, Portuguese and Dutch.
 COMMON = (
     "the", "of", "and", "to", "in", "is", "that", "for", "with", "was",
     "der", "die", "und", "das", "von", "zu", "nicht", "ist", "mit", "den",
     "le", "les", "des", "et", "est", "que", "pour", "dans", "une", "du",
     "el", "los", "las", "y", "del", "por", "con", "una", "para", "se", "de", "la", "en",
+    "il", "di", "che", "non", "per", "sono", "della", "os", "não", "uma", "com", "mais", "em", "het", "een", "van", "dat", "niet", "zijn",
 )
 #: Character classes of words, taken off in turn; what is left over is the last class.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[.,;:!?'\"()\-]+", r"[^\x00-\x7F]+")
@@ -99,39 +100,47 @@ def _measured(docs: DataFrame, carried: list[str]) -> DataFrame:
     return made.select("row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common", F.monotonically_increasing_id().alias("seq"))
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def references(measured: DataFrame, ref_words: int = 20) -> DataFrame:
-    """One row per language: the summed histograms, as shares, of its documents of at least ref_words words."""
+    """One row per language: the summed histograms, as shares, of its documents of at least ref_words words that pass the
+    base rules, so that repeated windows do not make the reference."""
     chars, common = range(len(CLASSES) + 1), range(len(COMMON) + 1)
-    counts = lambda c, k: F.sum(F.when(F.col("n_words") >= ref_words, F.col(c)[k]).otherwise(F.lit(0)))
-    known = F.count_if(F.col("n_words") >= ref_words).alias("docs")
+    sound = (F.col("n_words") >= ref_words) & ~_base_failed()
+    counts = lambda c, k: F.sum(F.when(sound, F.col(c)[k]).otherwise(F.lit(0)))
+    known = F.count_if(sound).alias("docs")
     ref = measured.groupBy("lang").agg(known, *[counts("chars", k).alias(f"a{k}") for k in chars], *[counts("common", k).alias(f"b{k}") for k in common]).filter("docs > 0")
-    return ref.select(
+    shares = ref.select(
         F.col("lang").alias("ref_lang"),
         _shares(F.array(*[F.col(f"a{k}") for k in chars])).alias("ref_chars"),
         _shares(F.array(*[F.col(f"b{k}") for k in common])).alias("ref_common"),
     )
+    #: How far a text without any common word lies.
+    return shares.withColumn("far_common", js_distance(F.array(*[F.lit(0.0)] * len(COMMON), F.lit(1.0)), F.col("ref_common")))
 
 
-def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: float = 0.32, max_common: float = 0.45, common_share: float | None = None, short_share: float = 0.9, short_words: int = 100) -> DataFrame:
+def judge(measured: DataFrame, ref: DataFrame, min_words: int = 50, max_char: float = 0.32, max_common: float = 0.45, common_share: float = 0.8, short_share: float = 0.9, short_words: int = 100) -> DataFrame:
     """row, the base counts, char_distance, common_distance, base_failed and kept of every measured document.
 
     base_failed: n_words < 10 or 100 * n_repeat_words > 20 * n_words. A document of at least min_words words must lie
-    within max_char and max_common of the references of its language; shorter ones are not judged by distance, and a
-    language without reference judges nothing. With common_share, common_distance must also lie within that share
-    (short_share for documents below short_words words) of the distance of a text without any common word, in languages
-    whose reference holds at least LEAST_COMMON of them. A null language is a language of its own. Null, empty and blank texts fail
+    within max_char and max_common of the references of its language, and its common_distance within common_share
+    (short_share below short_words words) of the distance of a text without any common word, where the reference holds at
+    least LEAST_COMMON of them. Shorter documents are not judged by distance. reference says what a language is judged by:
+    "none", "characters" (its common words are not known here) or "characters and words". A null language is a language of its own. Null, empty and blank texts fail
     the base rules. Repeated rows are judged alike; an empty table gives no rows.
     """
     joined = measured.join(ref, measured.lang.eqNullSafe(ref.ref_lang), "left")
     far = joined.withColumn("char_distance", js_distance(_shares(F.col("chars")), F.col("ref_chars"))).withColumn("common_distance", js_distance(_shares(F.col("common")), F.col("ref_common")))
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    base = _base_failed()
     close = (F.coalesce("char_distance", F.lit(0.0)) <= max_char) & (F.coalesce("common_distance", F.lit(0.0)) <= max_common)
-    if common_share is not None:
-        share = F.when(F.col("n_words") < short_words, short_share).otherwise(common_share)
-        known = F.element_at("ref_common", -1) <= 1 - LEAST_COMMON
-        close &= ~F.coalesce(known & (F.col("common_distance") > share * js_distance(F.array(*[F.lit(0.0)] * len(COMMON), F.lit(1.0)), F.col("ref_common"))), F.lit(False))
+    share = F.when(F.col("n_words") < short_words, short_share).otherwise(common_share)
+    known = F.element_at("ref_common", -1) <= 1 - LEAST_COMMON
+    close &= ~F.coalesce(known & (F.col("common_distance") > share * F.col("far_common")), F.lit(False))
+    reference = F.when(F.col("ref_common").isNull(), "none").when(known, "characters and words").otherwise("characters")
     near = (F.col("n_words") < min_words) | close
-    return far.select("row", "seq", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "common_distance", base.alias("base_failed"), (~base & near).alias("kept"))
+    return far.select("row", "seq", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "common_distance", reference.alias("reference"), base.alias("base_failed"), (~base & near).alias("kept"))
 
 
 def report(docs: DataFrame, **limits: float) -> DataFrame:
@@ -144,13 +153,13 @@ def report(docs: DataFrame, **limits: float) -> DataFrame:
 
 def passed(docs: DataFrame, **limits: float) -> DataFrame:
     """The rows of docs that judge keeps, with all their columns. Texts are read twice, so that none is checkpointed."""
-    slim = cut(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"]).select("lang", "n_words", "chars", "common"))
+    slim = cut(_measured(docs.select("doc_id", "text", "lang"), ["doc_id"]).select("lang", "n_words", "n_repeat_words", "chars", "common"))
     ref = broadcast_if_small(cut(references(slim)), 10_000)
     found = judge(_measured(docs, docs.columns), ref, **limits).filter("kept AND seq >= 0")
     return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-def _sql(min_words: int = 50, ref_words: int = 20, max_char: float = 0.32, max_common: float = 0.45) -> str:
+def _sql(min_words: int = 50, ref_words: int = 20, max_char: float = 0.32, max_common: float = 0.45, common_share: float = 0.8, short_share: float = 0.9, short_words: int = 100) -> str:
     rest, chars, steps = "j", [], []
     for k, pattern in enumerate(CLASSES):
         quoted = pattern.replace("'", "''")
@@ -172,23 +181,25 @@ WITH d AS (
 ), r AS (
   SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM g WHERE n > 1) GROUP BY rid
 ), {", ".join(steps)}, h AS (
-  SELECT rid, lang, n_words, [{", ".join(chars)}] AS chars, [{", ".join(common)}, {others}] AS common FROM c{len(CLASSES) - 1}
+  SELECT c.rid, lang, n_words, n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS failed, [{", ".join(chars)}] AS chars, [{", ".join(common)}, {others}] AS common FROM c{len(CLASSES) - 1} c LEFT JOIN r ON c.rid = r.rid
 ), v AS (
-  SELECT rid, lang, n_words, 'chars' AS kind, unnest(chars) AS x, generate_subscripts(chars, 1) AS k FROM h
-  UNION ALL SELECT rid, lang, n_words, 'common', unnest(common), generate_subscripts(common, 1) FROM h
+  SELECT rid, lang, n_words, failed, 'chars' AS kind, unnest(chars) AS x, generate_subscripts(chars, 1) AS k FROM h
+  UNION ALL SELECT rid, lang, n_words, failed, 'common', unnest(common), generate_subscripts(common, 1) FROM h
 ), f AS (
-  SELECT lang, kind, k, x / nullif(sum(x) OVER (PARTITION BY lang, kind), 0)::DOUBLE AS q FROM (SELECT lang, kind, k, sum(x) AS x FROM v WHERE n_words >= {ref_words} GROUP BY ALL)
+  SELECT lang, kind, k, x / nullif(sum(x) OVER (PARTITION BY lang, kind), 0)::DOUBLE AS q FROM (SELECT lang, kind, k, sum(x) AS x FROM v WHERE n_words >= {ref_words} AND NOT failed GROUP BY ALL)
+), e AS (
+  SELECT lang, max(q) FILTER (WHERE k = {len(COMMON) + 1}) AS rest, sqrt(greatest(0, sum(({part("z", "q")} + {part("q", "z")}) / 2))) AS far FROM (SELECT *, CASE WHEN k = {len(COMMON) + 1} THEN 1.0 ELSE 0.0 END::DOUBLE AS z FROM f WHERE kind = 'common') GROUP BY lang
 ), p AS (
   SELECT *, coalesce(x / nullif(sum(x) OVER (PARTITION BY rid, kind), 0)::DOUBLE, 0) AS p FROM v
 ), s AS (
   SELECT rid, p.kind, sqrt(greatest(0, sum(({part("p", "q")} + {part("q", "p")}) / 2))) AS js FROM p JOIN f ON p.lang IS NOT DISTINCT FROM f.lang AND p.kind = f.kind AND p.k = f.k GROUP BY ALL
 ), b AS (
   SELECT w.doc_id, n_words::BIGINT AS n_words, length(j)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, sc.js AS jc, sm.js AS jm, n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS base_failed
-  FROM w LEFT JOIN r ON w.rid = r.rid LEFT JOIN s sc ON w.rid = sc.rid AND sc.kind = 'chars' LEFT JOIN s sm ON w.rid = sm.rid AND sm.kind = 'common'
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, sc.js AS jc, sm.js AS jm, e.rest, e.far, n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS base_failed
+  FROM w LEFT JOIN e ON w.lang IS NOT DISTINCT FROM e.lang LEFT JOIN r ON w.rid = r.rid LEFT JOIN s sc ON w.rid = sc.rid AND sc.kind = 'chars' LEFT JOIN s sm ON w.rid = sm.rid AND sm.kind = 'common'
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(jc, 6) AS char_distance, round(jm, 6) AS common_distance, base_failed,
-  NOT base_failed AND (n_words < {min_words} OR (coalesce(jc, 0) <= {max_char} AND coalesce(jm, 0) <= {max_common})) AS kept FROM b
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(jc, 6) AS char_distance, round(jm, 6) AS common_distance, CASE WHEN rest IS NULL THEN 'none' WHEN rest <= {1 - LEAST_COMMON} THEN 'characters and words' ELSE 'characters' END AS reference, base_failed,
+  NOT base_failed AND (n_words < {min_words} OR (coalesce(jc, 0) <= {max_char} AND coalesce(jm, 0) <= {max_common} AND NOT coalesce(rest <= {1 - LEAST_COMMON} AND jm > CASE WHEN n_words < {short_words} THEN {short_share} ELSE {common_share} END * far, false))) AS kept FROM b
 """
 
 

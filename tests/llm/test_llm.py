@@ -530,6 +530,7 @@ def test_rules_equal_brute_force(spark):
         failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
         assert m.base_failed == failed and not (failed and m.kept)
     passed = rules.passed(df)
+    assert rules.passed(df.withColumn("lang", F.lit(7))).schema["lang"].dataType.simpleString() == "int"
     assert passed.columns == df.columns and sorted(r.doc_id for r in passed.collect()) == sorted(i for i, m in got.items() if m.kept)
     assert rules.report(df.limit(0)).count() == 0
 
@@ -545,7 +546,9 @@ def test_common_words_alone_decide(spark):
     rows += [(2000 + k, text(150, 0), "xx") for k in range(50)] + [(2100, text(150, 0.1), "xx")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     report = {x.doc_id: x for x in rules.report(df).collect()}
-    assert all(x.kept and x.common_distance < 0.45 for x in report.values())
+    assert all(x.common_distance < 0.45 for x in report.values())
+    assert {i for i, x in report.items() if not x.kept} == {1001, 1002, 1003, 1004}
+    assert {x.reference for i, x in report.items() if i >= 2000} == {"characters"} and {x.reference for i, x in report.items() if i < 2000} == {"characters and words"}
     kept = {x.doc_id for x in corpus_pipeline.apply_rules(spark, df, "").collect()}
     assert set(report) - kept == {1001, 1002, 1003, 1004}
 
