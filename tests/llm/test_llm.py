@@ -148,10 +148,25 @@ def test_shared_counts(spread):
     assert (minhash.shared(sets) == expected).all()
 
 
-def test_components_of_a_path_and_a_star(spark):
-    edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(1, 7)] + [(9, 9)] + [(1, None)]
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {k: 100 for k in range(100, 161)} | {k: 1 for k in range(1, 8)}
+@pytest.mark.parametrize("task_edges", [3, 20, 1_000_000])
+def test_components_of_a_path_and_a_star(spark, task_edges):
+    edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(1, 7)] + [(9, 9)] + [(1, None)] + [(500, 600)] * 30
+    df = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    got = {r.node: r.component for r in components.connected_components(df, task_edges=task_edges).collect()}
+    assert got == {k: 100 for k in range(100, 161)} | {k: 1 for k in range(1, 8)} | {500: 500, 600: 500}
+    assert components.connected_components(df.limit(0)).count() == 0
+
+
+def test_labels_equal_a_plain_search():
+    r = np.random.default_rng(3)
+    for n in (1, 5, 60, 400):
+        u, v = r.integers(0, 300, n), r.integers(0, 300, n)
+        nodes, found = components.labels(u, v)
+        root = {k: k for k in nodes.tolist()}
+        for _ in range(len(root)):
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
+                root[a] = root[b] = min(root[a], root[b])
+        assert found.tolist() == [root[k] for k in nodes.tolist()]
 
 
 def test_nearest_recall_and_rules(spark):
