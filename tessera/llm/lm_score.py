@@ -104,7 +104,7 @@ def _marked(docs: DataFrame, targets: DataFrame, broadcast_rows: int) -> DataFra
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(chosen, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "target")
 
 
-def fit(docs: DataFrame, targets: DataFrame, vocabulary_size: int, buckets: int, broadcast_rows: int = 1_000_000) -> Models:
+def fit(docs: DataFrame, targets: DataFrame, vocabulary_size: int, buckets: int, broadcast_rows: int = 200_000) -> Models:
     """Count both models over all documents. targets: doc_id of the target documents.
 
     What comes to the driver has the size that the caller sets: at most vocabulary_size words (of equal frequencies, the
@@ -325,7 +325,7 @@ def _losses(parts: int, stats: tuple[int, int, int]):
     return run
 
 
-def differences(docs: DataFrame, targets: DataFrame, block_words: int = 1 << 20, part_bytes: int = 8_000_000, broadcast_rows: int = 1_000_000) -> DataFrame:
+def differences(docs: DataFrame, targets: DataFrame, block_words: int = 1 << 20, part_bytes: int = 8_000_000, broadcast_rows: int = 200_000) -> DataFrame:
     """The columns of score() for models that count every word and every pair of words of docs. targets: doc_id of the
     target documents.
 

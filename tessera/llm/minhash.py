@@ -232,7 +232,7 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return _sizes(left).join(other, ["kind", "group"]).filter(_close(percent)).select("kind", "group", "block", "to")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, collections: int = 18, block: int = 512, block_shingles: int = 200_000, cluster_limit: int = 16_384, broadcast_rows: int = 1_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, collections: int = 18, block: int = 512, block_shingles: int = 200_000, cluster_limit: int = 16_384, broadcast_rows: int = 200_000) -> DataFrame:
     """Groups of documents linked by 100 * |A & B| >= percent * |A | B| on distinct word shingles.
 
     A-Z are lower-cased; words are runs without x20 and x09-x0D. A text of fewer words than a shingle is one shingle;
@@ -316,7 +316,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return known.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"), "text_hash")
 
 
-def keep_one(docs: DataFrame, classes: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+def keep_one(docs: DataFrame, classes: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     """One row of docs of each class: that of the smallest id, then of the smallest text hash.
 
     Rows without id stay, and so do rows without shingles. Two texts under one id stay both unless they are of one class. Of

@@ -139,37 +139,130 @@ def parse_warc(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes
         at = end + 4 + size + len(RECORD_END)
 
 
-def _converter(version: int, group: int = 4_000_000):
-    """page_id, url, html (binary), refers_to -> value (binary): a WARC record each, by way of ARC files in memory."""
+def _files(records: Iterator[bytes], file_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Records gathered into archive files: a value each, which begins with a warcinfo record and holds at most file_bytes,
+    or one record that is longer."""
+    held, size = [warc_info("pages")], 0
+
+    def whole() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([RECORD_END.join(held)], pa.binary())], ["value"])
+
+    for r in records:
+        if size and size + len(r) > file_bytes:
+            yield whole()
+            held, size = [warc_info("pages")], 0
+        held.append(r)
+        size += len(r)
+    if size:
+        yield whole()
+
+
+def _converter(version: int, file_bytes: int):
+    """page_id, url, html (binary), refers_to -> value (binary): archive files, by way of ARC records in memory."""
+
+    def one(page: int | None, url: str | None, html: bytes, refers: int | None) -> bytes:
+        arc = write_arc([{"url": url, "type": "text/html", "content": b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(html) + html}], version)
+        header, content = next(parse_arc(arc))
+        extra = [("X-Page-ID", "-" if page is None else str(page))]
+        if refers is not None:
+            extra.append(("X-Refers-To-Page-ID", str(refers)))
+        return to_warc(header, content, str(page), None if refers is None else str(refers), extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = True
-
-        def convert(rows: list[tuple]) -> pa.RecordBatch:
-            arc = write_arc([{"url": url, "type": "text/html", "content": b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(html) + html} for _, url, html, _ in rows], version)
-            out = [warc_info("pages")] if first else []
-            for (page, _, _, refers), (header, content) in zip(rows, parse_arc(arc), strict=True):
-                extra = [("X-Page-ID", "-" if page is None else str(page))]
-                if refers is not None:
-                    extra.append(("X-Refers-To-Page-ID", str(refers)))
-                out.append(to_warc(header, content, str(page), None if refers is None else str(refers), extra))
-            return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-
-        for b in batches:
-            rows, size = [], 0
-            for page, url, html, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                rows.append((page, url, html or b"", refers))
-                size += len(rows[-1][2])
-                if size >= group:
-                    yield convert(rows)
-                    rows, size, first = [], 0, False
-            if rows:
-                yield convert(rows)
-                first = False
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield from _files((one(page, url, html or b"", refers) for page, url, html, refers in rows), file_bytes)
 
     return run
 
 
+def _write_files(values: DataFrame, path: str) -> None:
+    """A file for each value. The writer keeps the bytes of a string as they are."""
+    values.select(F.col("value").cast("string").alias("value")).write.option("lineSep", RECORD_END.decode()).option("maxRecordsPerFile", 1).text(path)
+
+
+def _arc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """file, line (binary) of files one after another, in order -> their records. Holds one record and one batch of output."""
+    names = ["file", "record_no", "version", "url", "ip", "date", "type", "content"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
+    out: list[tuple] = []
+    room = 0
+    file = fields = header = None
+    held, size, wanted, number = [], 0, 0, 0
+
+    def batch() -> pa.RecordBatch:
+        columns = zip(*out, strict=True) if out else [[] for _ in names]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
+
+    for b in batches:
+        for name, line in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            if name != file:
+                if header is not None:
+                    raise ValueError(f"{file}: {wanted} bytes declared, {size} left")
+                file, fields, number = name, None, 0
+            line = line.as_py() or b""
+            if header is None:
+                text = line.rstrip(b"\r").decode("utf-8", "replace")
+                if not text:
+                    continue
+                parts = text.split(" ")
+                if fields is not None and len(parts) != len(fields):
+                    raise ValueError(f"{file}: a header line has {len(parts)} fields: {text[:200]}")
+                header, held, size, wanted = parts, [], 0, int(parts[-1])
+                if wanted:
+                    continue
+            else:
+                held += [line, b"\n"]
+                size += len(line) + 1
+                if size < wanted:
+                    continue
+            content = b"".join(held)
+            if content[wanted:] not in (b"", b"\n"):
+                raise ValueError(f"{file}: a record is longer than the {wanted} bytes declared")
+            content = content[:wanted]
+            if fields is None:
+                head = content.split(b"\n")
+                fields = ARC_FIELDS[int(head[0].split()[0])]
+                if len(header) != len(fields) or (len(head) > 1 and head[1].strip() and tuple(head[1].decode().split()) != fields):
+                    raise ValueError(f"{file}: its version has other header fields")
+            else:
+                h = dict(zip(fields, header, strict=True))
+                out.append((file, number, 1 if fields == ARC_FIELDS[1] else 2, h["URL"], h["IP-address"], h["Archive-date"], h["Content-type"], content))
+                number, room = number + 1, room + wanted
+                if room >= 4_000_000:
+                    yield batch()
+                    out, room = [], 0
+            header = None
+    if header is not None:
+        raise ValueError(f"{file}: {wanted} bytes declared, {size} left")
+    if out:
+        yield batch()
+
+
+def read_arc(spark: SparkSession, path: str) -> DataFrame:
+    """ARC files of either version, plain or gzip (a member per record or not): file, record_no, version, url, ip, date, type
+    and content of every record after the version block.
+
+    Lines are dealt by file and sorted by their places, so a file may be split when it is read, and a task holds one record
+    at a time, whatever the size of the file. Raises ValueError where a header line has not the version's fields or a file
+    ends before a declared length.
+    """
+    small_batches(spark)
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    ordered = lines.repartition("file").sortWithinPartitions("file", "block", "place").select("file", "line")
+    return ordered.mapInArrow(_arc_records, "file string, record_no long, version int, url string, ip string, date string, type string, content binary")
+
+
+def convert_arc(spark: SparkSession, path: str, out: str, file_bytes: int = 32_000_000) -> None:
+    """Write the records of ARC files as WARC files into the folder out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        made = (to_warc({"URL": url, "IP-address": ip, "Archive-date": date, "Content-type": kind}, content, f"{file}#{n}") for file, n, _, url, ip, date, kind, content in rows)
+        yield from _files(made, file_bytes)
+
+    _write_files(read_arc(spark, path).mapInArrow(run, "value binary"), out)
+
+
 def revisits(pages: DataFrame, least: int = 100) -> DataFrame:
     """page_id, refers_to of the pages whose payload of at least so many bytes a page with a smaller id holds as well."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("p"))
@@ -178,17 +271,16 @@ def revisits(pages: DataFrame, least: int = 100) -> DataFrame:
     return digests.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
 
 
-def archive_pages(pages: DataFrame, path: str, version: int = 1, least: int = 100, records_per_file: int = 10_000, broadcast_rows: int = 500_000) -> None:
-    """Write pages as WARC files into the folder path, one record per row, each file starting with a warcinfo record
-    where a task starts. Null html is an empty payload, a null url is written as "-"."""
+def archive_pages(pages: DataFrame, path: str, version: int = 1, least: int = 100, file_bytes: int = 32_000_000, broadcast_rows: int = 200_000) -> None:
+    """Write pages as WARC files into the folder path, one record per row, each file starting with a warcinfo record and
+    holding at most file_bytes, or one record that is longer. Null html is an empty payload, a null url is written as "-"."""
     small_batches(pages.sparkSession)
     again = broadcast_if_small(cut(revisits(pages, least)), broadcast_rows)
     again = again.withColumnsRenamed({"page_id": "_page", "digest": "_digest"})
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("html"))
     same = own.page_id.eqNullSafe(F.col("_page")) & (F.sha2("html", 256) == F.col("_digest"))
-    records = own.join(again, same, "left").select("page_id", "url", "html", "refers_to").mapInArrow(_converter(version), "value binary")
-    #: The writer keeps the bytes of a string as they are.
-    records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", RECORD_END.decode()).option("maxRecordsPerFile", records_per_file).text(path)
+    records = own.join(again, same, "left").select("page_id", "url", "html", "refers_to").mapInArrow(_converter(version, file_bytes), "value binary")
+    _write_files(records, path)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +307,8 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record but warcinfo; digests are checked."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record but warcinfo; digests are checked. A file
+    is read whole; a task is dealt files of spark.sql.files.maxPartitionBytes at most, or one."""
     small_batches(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(_reader, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

@@ -511,6 +511,44 @@ def test_arc_files_and_warc_records(version):
         list(warc.parse_arc(warc.write_arc(records, version)[:-3]))
 
 
+def test_arc_files_from_storage(spark, tmp_path):
+    r = random.Random(9)
+    bodies = [b"", b"\n", b"a\n\nb\n", b"http://x.example/ 0.0.0.0 20240101000000 text/html 5\nabcde", b"no line end", b"x" * 300_000 + b"\r\n" * 50] + [bytes(r.randrange(256) for _ in range(r.randrange(400))) for _ in range(60)]
+    records = [{"url": f"http://a.example/{k}", "type": "text/plain", "content": c} for k, c in enumerate(bodies)]
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/one.arc").write_bytes(warc.write_arc(records, 1))
+    whole = warc.write_arc(records, 2)
+    (tmp_path / "in/two.arc.gz").write_bytes(gzip.compress(whole[:5000]) + gzip.compress(whole[5000:]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        got = warc.read_arc(spark, str(tmp_path / "in")).collect()
+        warc.convert_arc(spark, str(tmp_path / "in"), f"file://{tmp_path}/out", file_bytes=60_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, version in (("one.arc", 1), ("two.arc.gz", 2)):
+        own = sorted((x for x in got if x.file.endswith(name)), key=lambda x: x.record_no)
+        assert [(x.version, x.url, bytes(x.content)) for x in own] == [(version, y["url"], y["content"]) for y in records]
+    files = [p.read_bytes() for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    found = [list(warc.parse_warc(data)) for data in files]
+    assert len(files) > 3 and all(f[0][0]["WARC-Type"] == "warcinfo" for f in found) and sum(len(d) > 100_000 for d in files) == 2
+    assert sorted(block for f in found for h, block in f if h["WARC-Type"] != "warcinfo") == sorted(bodies * 2)
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut/x.arc").write_bytes(whole[:-40])
+    with pytest.raises(Exception, match="bytes declared"):
+        warc.read_arc(spark, str(tmp_path / "cut")).count()
+
+
+def test_archive_files_are_bounded(spark, tmp_path):
+    rows = [(k, "u", "é" * (k * 400)) for k in range(60)] + [(99, "u", "long " * 100_000)]
+    warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"file://{tmp_path}/w", file_bytes=200_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "w").iterdir() if p.name.startswith("part-")]
+    assert len(sizes) > 4 and sorted(sizes)[-1] > 500_000 and all(s < 210_000 for s in sorted(sizes)[:-1])
+    assert warc.read_archives(spark, f"file://{tmp_path}/w").filter("page_id IS NOT NULL").count() == len(rows)
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_archives_round_trip(spark, version):
     long = "<p>" + "é" * 60
