@@ -1,8 +1,9 @@
 """Licence scans by a positional rare-token index, in DataFrame functions alone.
 
-The words of the licence templates are indexed with their positions. All licence words of a document are looked up for
-the templates whose mandatory key phrases stand in it, and their postings are intersected by relative position (place in
-the document less place in the template), each word weighing its inverse document frequency.
+Of every licence template the words of the highest inverse document frequency, measured over all documents, are indexed
+with their positions. They are looked up in documents for the templates whose mandatory key phrases stand there, and their
+postings are intersected by relative position (place in the document less place in the template), each posting weighing its
+word's inverse document frequency.
 """
 
 from __future__ import annotations
@@ -36,13 +37,43 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license", ("creative commons attribution noncommercial",)),
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", ("creative commons attribution sharealike",)),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", ("copies or substantial portions of the software", "noninfringement")),
+    ("apache-2", "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind", ("apache org licenses license 2 0",)),
+    ("agpl-3", "it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version", ("gnu affero general public license",)),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", ("gnu lesser general public license", "free software foundation")),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", ("redistributions of source code must retain", "redistributions in binary form must reproduce")),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("endorse or promote products derived from this software", "prior written permission")),
+    ("mpl-2", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", ("copy of the mpl", "mozilla org mpl 2 0")),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software altered source versions must be plainly marked as such and must not be misrepresented as being the original software", ("must not be misrepresented", "plainly marked as such")),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use reproduce display distribute execute and transmit the software", ("accompanying documentation covered by this license",)),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software", ("free and unencumbered software",)),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", ("waived all copyright and related or neighboring rights",)),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0", ("eclipse public license 2 0",)),
 )
-#: Function words and digits are too frequent to be indexed.
-STOP = frozenset("a an and any are as by can code copy either fee file files following form forms free in is it later may met not of or other person program source terms that the this to use used v with without work you your 0 2 3 4".split())
 
 
-def indexed_words() -> list[str]:
-    return sorted({w for _, text, _ in TEMPLATES for w in text.split()} - STOP)
+def template_words() -> list[str]:
+    return sorted({w for _, text, _ in TEMPLATES for w in text.split()})
+
+
+def inverse_frequencies(docs: DataFrame) -> dict[str, float]:
+    """log(1 + documents / documents with the word) of every template word; a word that none holds weighs as one that one
+    holds. At most one row for each template word comes to the driver."""
+    words = docs.select(F.array_remove(F.split(_lower(F.coalesce("text", F.lit(""))), GAP), "").alias("words"))
+    held = words.select(F.explode(F.array_intersect("words", F.array(*[F.lit(w) for w in template_words()]))).alias("word"))
+    df = {r["word"]: r["df"] for r in held.groupBy("word").agg(F.count("*").alias("df")).collect()}
+    n = docs.count()
+    return {w: math.log(1.0 + n / df.get(w, 1)) for w in template_words()}
+
+
+def rare_index(idf: dict[str, float], rare_words: int) -> list[list[tuple[str, int]]]:
+    """The (word, place) postings of each template: all places of its rare_words words of the highest idf, ties by word."""
+    out = []
+    for _, text, _ in TEMPLATES:
+        words = text.split()
+        rare = set(sorted(set(words), key=lambda w: (-idf[w], w))[:rare_words])
+        out.append([(w, i) for i, w in enumerate(words) if w in rare])
+    return out
 
 
 def _lower(word: Column) -> Column:
@@ -56,14 +87,15 @@ def _starts(words: Column, phrase: str) -> Column:
     return F.filter(firsts, lambda i: F.slice(words, i + 1, len(parts)) == F.array(*[F.lit(p) for p in parts]))
 
 
-def read_words(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, n_words, places (starts of base phrases), base (their labels), hits (indexed words
-    with their places) and phrases (key phrases that stand in the text). Texts without an indexed word have no hits."""
-    vocabulary = indexed_words()
+def read_words(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """One row per row of docs: doc_id, n_words, places (starts of base phrases), base (their labels), hits (words of the
+    vocabulary with their places) and phrases (key phrases that stand in the text). Texts without a word of the vocabulary
+    have neither, those without a key phrase have no hits."""
     phrases = sorted({p for _, _, keys in TEMPLATES for p in keys})
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(F.coalesce("text", F.lit("")), GAP), "").alias("raw"))
     #: F.lower also maps two letters outside ASCII to ASCII ones; what it lets through is compared after A-Z alone.
-    some = words.withColumn("some", F.exists("raw", lambda w: F.lower(w).isin(vocabulary)))
+    known = sorted({*vocabulary, *(p.split()[0] for p in phrases), *(p.split()[0] for p, _ in BASE)})
+    some = words.withColumn("some", F.exists("raw", lambda w: F.lower(w).isin(known)))
     low = some.withColumn("words", F.when(F.col("some"), F.transform("raw", _lower)))
     flat = low.withColumn("flat", F.when(F.col("some"), F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))))
     hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(w.alias("word"), i.alias("at")))), lambda x: x.isNotNull())
@@ -75,24 +107,18 @@ def read_words(docs: DataFrame) -> DataFrame:
         F.size("raw").cast("long").alias("n_words"),
         F.flatten(F.array_compact(F.array(*places))).alias("places"),
         F.array_compact(base).alias("base"),
-        F.when(F.col("some"), hits).alias("hits"),
+        F.when(F.col("some") & (F.size(keys) > 0), hits).alias("hits"),
         F.when(F.col("some"), keys).alias("phrases"),
     )
 
 
-def template_matches(read: DataFrame, rare_words: int = 8, least_share: float = 0.5) -> DataFrame:
-    """row_id, label, share: the largest weight of a template's indexed words that stand at one relative position, as a
-    share (1 at most) of the weight of its rare_words rarest ones, where it is least_share or more and the key phrases
-    stand in the text. All indexed words of the text are looked up."""
+def template_matches(read: DataFrame, idf: dict[str, float], rare_words: int = 8, least_share: float = 0.5) -> DataFrame:
+    """row_id, label, share: the largest weight of a template's postings that stand at one relative position, as a share of
+    the weight of all of them, where it is least_share or more and the key phrases stand in the text."""
     spark = read.sparkSession
-    #: At most one row per indexed word comes to the driver. A word that no document holds weighs as one that one holds.
-    docs = read.count()
-    words = read.filter(F.size("hits") > 0).select(F.explode(F.array_distinct(F.col("hits.word"))).alias("word"))
-    df = {r["word"]: r["df"] for r in words.groupBy("word").agg(F.count("*").alias("df")).collect()}
-    idf = {w: math.log(1.0 + docs / df.get(w, 1)) for w in indexed_words()}
-    places = [[(w, i) for i, w in enumerate(text.split()) if w not in STOP] for _, text, _ in TEMPLATES]
-    whole = [sum(sorted((idf[w] for w, _ in own), reverse=True)[:rare_words]) for own in places]
-    index = spark.sql(f"SELECT * FROM VALUES {', '.join(f'({w!r}, {t}, {i}, {idf[w]!r}D)' for t, own in enumerate(places) for w, i in own)} AS (word, template, place, idf)")
+    postings = rare_index(idf, rare_words)
+    whole = [sum(idf[w] for w, _ in own) for own in postings]
+    index = spark.sql(f"SELECT * FROM VALUES {', '.join(f'({w!r}, {t}, {i}, {idf[w]!r}D)' for t, own in enumerate(postings) for w, i in own)} AS (word, template, place, idf)")
     rows = [f"({t}, '{label}', array({', '.join(map(repr, keys))}), {whole[t]!r}D)" for t, (label, _, keys) in enumerate(TEMPLATES)]
     known = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS (template, label, keys, whole)")
     candidates = read.filter(F.size("phrases") > 0).select("row_id", "phrases", "hits").join(F.broadcast(known), F.size(F.array_except("keys", "phrases")) == 0)
@@ -111,8 +137,10 @@ def scan(docs: DataFrame, rare_words: int = 8, least_share: float = 0.5) -> Data
     else the largest share of a matched template, else 0. Null, empty and blank texts have no words and no label;
     repeated rows are scanned alike; an empty table gives no rows; other columns are not looked at.
     """
-    read = cut(read_words(docs).withColumn("row_id", F.monotonically_increasing_id()))
-    found = template_matches(read, rare_words, least_share).groupBy("row_id").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    idf = inverse_frequencies(docs)
+    vocabulary = sorted({w for own in rare_index(idf, rare_words) for w, _ in own})
+    read = cut(read_words(docs, vocabulary).withColumn("row_id", F.monotonically_increasing_id()))
+    found = template_matches(read, idf, rare_words, least_share).groupBy("row_id").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     both = read.select("row_id", "doc_id", "n_words", "places", "base").join(found.withColumnRenamed("row_id", "r"), F.col("row_id") == F.col("r"), "left")
     none = F.array().cast("array<string>")
     return both.select(
