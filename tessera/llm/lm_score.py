@@ -204,8 +204,8 @@ def _pairs_of(vocabulary: np.ndarray, at: np.ndarray, inner: np.ndarray):
 
 
 #: A block is a number of texts of one task. Its texts go on in one row, and its counts in one row for each part.
-_BLOCK = "part long, block long, ids array<long>, sizes binary, at binary, vocabulary binary, words binary, word_counts binary, pairs binary, pair_counts binary"
-_TOTALS = "block long, ids array<long>, sizes binary, at binary, vocabulary binary, part long, word_totals binary, pair_totals binary, stats array<long>"
+_BLOCK = "part int, block long, ids array<long>, sizes binary, at binary, vocabulary binary, words binary, word_counts binary, pairs binary, pair_counts binary"
+_TOTALS = "block long, ids array<long>, sizes binary, at binary, vocabulary binary, part int, word_totals binary, pair_totals binary, stats array<long>"
 _SCORES = "doc_id long, n_words long, target_loss double, background_loss double, score double"
 
 
@@ -217,7 +217,7 @@ def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
 
 def _blocks(parts: int, block_words: int):
     """doc_id, text, target -> rows of _BLOCK."""
-    types = {"part": pa.int64(), "block": pa.int64(), "ids": pa.list_(pa.int64())}
+    types = {"part": pa.int32(), "block": pa.int64(), "ids": pa.list_(pa.int64())}
     names = [x.split()[0] for x in _BLOCK.split(", ")]
     schema = pa.schema([(x, types.get(x, pa.binary())) for x in names])
 
@@ -235,8 +235,7 @@ def _blocks(parts: int, block_words: int):
         row = dict.fromkeys(names) | {"block": block}
         rows = [row | {"part": block % parts, "ids": ids, "sizes": _packed(sizes), "at": _packed(at.astype(np.uint32)), "vocabulary": _packed_keys(vocabulary)}]
         w, p = _bounds(vocabulary, parts), _bounds(keys, parts)
-        #: Parts that no key falls into get no row, so that rows do not grow faster than keys.
-        for k in np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0)).tolist():
+        for k in range(parts if h.size else 0):
             a, b = slice(w[k], w[k + 1]), slice(p[k], p[k + 1])
             counts = [_packed(np.concatenate([n[s], t[s]]).astype(np.uint32)) for (n, t), s in ((words, a), (pairs, b))]
             rows.append(row | {"part": k, "words": _packed_keys(vocabulary[a]), "word_counts": counts[0], "pairs": _packed_keys(keys[b]), "pair_counts": counts[1]})
@@ -277,7 +276,7 @@ def _totals(rows: pa.Table) -> pa.Table:
     """Rows of one part -> rows of _TOTALS: what each block counted, summed over all blocks."""
     whole = rows.filter(pa.compute.is_valid(rows["ids"]))
     counted = rows.filter(pa.compute.is_null(rows["ids"]))
-    schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), *[(x, pa.binary()) for x in ("sizes", "at", "vocabulary")], ("part", pa.int64()), ("word_totals", pa.binary()), ("pair_totals", pa.binary()), ("stats", pa.list_(pa.int64()))])
+    schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), *[(x, pa.binary()) for x in ("sizes", "at", "vocabulary")], ("part", pa.int32()), ("word_totals", pa.binary()), ("pair_totals", pa.binary()), ("stats", pa.list_(pa.int64()))])
     out = [dict.fromkeys(schema.names) | x for x in whole.select(["block", "ids", "sizes", "at", "vocabulary"]).to_pylist()]
     if counted.num_rows:
         read = lambda c, f: [f(x.as_py()) for x in counted[c]]
@@ -289,24 +288,21 @@ def _totals(rows: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema)
 
 
-def _losses(parts: int, stats: tuple[int, int, int]):
-    """Rows of one block -> rows of _SCORES. stats: the numbers of distinct words, of all words and of target words."""
+def _losses(parts: int):
+    """Rows of one block -> rows of _SCORES."""
 
     def run(rows: pa.Table) -> pa.Table:
         whole = rows.filter(pa.compute.is_valid(rows["ids"])).to_pylist()
         counted = rows.filter(pa.compute.is_null(rows["ids"])).sort_by("part")
         sizes = _unpacked(whole[0]["sizes"], np.int64) if len(whole) == 1 else np.zeros(0, np.int64)
-        lost = RuntimeError("a block has lost rows: its input was not the same when it was read again")
-        if len(whole) != 1:
-            raise lost
+        if len(whole) != 1 or counted["part"].to_pylist() != list(range(parts if sizes.sum() else 0)):
+            raise RuntimeError("a block has lost rows: its input was not the same when it was read again")
         losses = np.full((2, sizes.size), np.nan)
         if sizes.sum():
             at, vocabulary, inner = _unpacked(whole[0]["at"], np.uint32), _unpacked_keys(whole[0]["vocabulary"]), _inner(sizes)
             first, second, _, place = _pairs_of(vocabulary, at, inner)
             words, pairs = (np.concatenate([_unpacked(x.as_py(), np.int64).reshape(2, -1) for x in counted[c]], axis=1) for c in ("word_totals", "pair_totals"))
-            if words.shape[1] != vocabulary.size or pairs.shape[1] != first.size:
-                raise lost
-            size, *totals = stats
+            size, *totals = np.array(counted["stats"].to_pylist()).sum(axis=0)
             starts = (np.cumsum(sizes) - sizes)[sizes > 0]
             #: The counts hold all documents, then the target ones; the target loss comes first.
             for m, k in ((0, 1), (1, 0)):
@@ -332,13 +328,11 @@ def differences(docs: DataFrame, targets: DataFrame, block_words: int = 1 << 20,
     Words and pairs are known by 64-bit hashes. A task counts blocks of about block_words words; the counts of a block are
     dealt by hash to parts (one for each part_bytes of text), where they are summed over all blocks, and come back to the
     block's texts. No key has more than one row of a block in a part, and nothing but the bytes of text comes to the driver.
+    Every block has a row in every part, which tells it the numbers of the whole corpus: rows grow with blocks times parts,
+    so block_words and part_bytes are to be raised with the corpus, as far as a task's memory allows.
     """
     small_batches(docs.sparkSession)
     marked = _marked(docs, targets, broadcast_rows)
     parts = 1 + (docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0) // part_bytes
     blocks = marked.mapInArrow(_blocks(parts, block_words), _BLOCK)
-    totals = cut(blocks.groupBy("part").applyInArrow(_totals, _TOTALS))
-    #: A part has one row for each block; the numbers of the whole corpus are those of one row each.
-    one = totals.filter("stats IS NOT NULL").groupBy("part").agg(F.any_value("stats").alias("s"))
-    whole = one.agg(*[F.sum(F.col("s")[k]) for k in range(3)]).first()
-    return totals.groupBy("block").applyInArrow(_losses(parts, tuple(int(x or 0) for x in whole)), _SCORES)
+    return blocks.groupBy("part").applyInArrow(_totals, _TOTALS).groupBy("block").applyInArrow(_losses(parts), _SCORES)
