@@ -35,7 +35,7 @@ def miss_rate(similarity: float, width: int, collections: int) -> float:
     return (1 - p) ** collections + collections * p * (1 - p) ** (collections - 1)
 
 
-def choose_width(similarity: float, collections: int, miss: float = 0.003) -> int:
+def choose_width(similarity: float, collections: int, miss: float = 0.0012) -> int:
     """The most MinHashes a collection may have while pairs at the threshold are missed at most so often."""
     fit = [w for w in range(1, 17) if miss_rate(similarity, w, collections) <= miss]
     return max(fit, default=1)

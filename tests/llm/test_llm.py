@@ -136,7 +136,7 @@ def test_minhash_odd_rows(spark):
 
 def test_miss_rate_bounds():
     for p in (0.8, 0.85, 0.9):
-        assert minhash.miss_rate(p, minhash.choose_width(p, 18), 18) <= 0.003
+        assert minhash.miss_rate(p, minhash.choose_width(p, 18), 18) <= 0.0012
 
 
 @pytest.mark.parametrize("spread", [90, 5000])
