@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, licenses, lm_score, materialise, minhash, mixing, packing, quality, rules, warc
+from tessera.llm import ann, byte_bpe, fim, licenses, lm_score, materialise, minhash, mixing, packing, quality, rules, snapshots, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.report(table(spark, sf_dir, "documents"))
+
+
+def op13_snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,7 +80,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_shards,
         op9_warc_convert,
         op10_quality_rules,
+        op11_fill_in_middle,
+        op12_byte_bpe,
+        op13_snapshot_difference,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_source_mixing": mixing.SQL, "op9_warc_convert": warc.SQL, "op10_quality_rules": rules.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_source_mixing": mixing.SQL,
+    "op9_warc_convert": warc.SQL,
+    "op10_quality_rules": rules.SQL,
+    "op11_fill_in_middle": fim.SQL,
+    "op13_snapshot_difference": snapshots.SQL,
+}
