@@ -2,8 +2,8 @@
 
 Rows count +1 in the earlier and -1 in the later snapshot. Equal rows (key and columns) cancel by their sum; what is left is
 paired by key, as updates, and what that leaves by content, as rekeys. Rows travel as digests of their columns, so texts
-are read and hashed where they lie. Pairs are found by ranks from range partitions, so neither a key nor a content that
-very many rows share goes through one task, and repeated rows are counted, not expanded, until they are given out.
+are read and hashed where they lie. Pairs are found by ranks, which are counted in buckets of a group, so neither a key nor
+a content that very many rows share goes through one task, and repeated rows are counted until they are given out.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from tessera.llm.common import cut
 
 #: Copies of one row that are given out together.
 CHUNK = 1000
+#: Rows of a range partition, up to the session's number of shuffle partitions.
+BUCKET_ROWS = 50_000
 
 
 def _digest(df: DataFrame, name: str) -> Column:
@@ -41,25 +43,37 @@ def _signed(snapshot: DataFrame, sign: int, key: str, columns: Sequence[str], ca
 
 
 def _copies(rows: DataFrame, times: Column) -> DataFrame:
-    """Every row so many times; rows with very many copies are dealt to all tasks in chunks."""
+    """Every row so many times, with chunk; rows with very many copies are dealt to all tasks in chunks."""
     counted = rows.withColumn("times", times).filter("times > 0")
-    few = counted.filter(F.col("times") <= CHUNK).withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
+    few = counted.filter(F.col("times") <= CHUNK).withColumn("chunk", F.lit(0).cast("long"))
     many = counted.filter(F.col("times") > CHUNK).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {CHUNK}"))))
     size = F.least(F.lit(CHUNK), F.col("times") - F.col("chunk") * CHUNK).cast("int")
-    many = many.repartition("k", "h", "chunk").withColumn("copy", F.explode(F.array_repeat(F.lit(0), size))).drop("chunk")
-    return few.unionByName(many).drop("times", "copy")
+    out = few.unionByName(many.repartition("k", "h", "chunk"))
+    return out.withColumn("copy", F.explode(F.array_repeat(F.lit(0), size))).drop("times", "copy")
 
 
 def _ranked(rows: DataFrame, group: str, order: str) -> DataFrame:
-    """rows and their rank, from 0, among the rows of their group and sign, by order. A large group lies in several range
-    partitions; its rows are ranked inside each and moved on by the counts of those before."""
-    #: The checkpoint fixes which partition a row belongs to.
-    placed = cut(rows.repartitionByRange(group, "sign", order).withColumn("part", F.spark_partition_id()))
-    counts = placed.groupBy(group, "sign", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(group, "sign").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    """rows and their rank, from 0, among the rows of their group and sign, by bucket and order. A large group lies in
+    several buckets; its rows are ranked inside each and moved on by the counts of those before."""
+    counts = rows.groupBy(group, "sign", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(group, "sign").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy(group, "sign", "part").orderBy(order)
-    return placed.join(base, [group, "sign", "part"]).withColumn("rank", F.row_number().over(inside) - 1 + F.col("base")).drop("part", "base")
+    inside = Window.partitionBy(group, "sign", "bucket").orderBy(order)
+    return rows.join(base, [group, "sign", "bucket"]).withColumn("rank", F.row_number().over(inside) - 1 + F.col("base")).drop("bucket", "base")
+
+
+def _hash_buckets(rows: DataFrame) -> DataFrame:
+    """Buckets by the upper bits of a hash of the contents, which part a key's contents evenly, and by chunks of copies."""
+    return rows.withColumn("bucket", F.shiftright(F.xxhash64("h"), 52) * F.lit(1 << 40) + F.col("chunk")).drop("chunk")
+
+
+def _key_buckets(rows: DataFrame) -> DataFrame:
+    """Buckets in the order of keys: range partitions, of which there are as many as rows need. What Spark samples to part
+    them is a hundred keys a partition; rows of one key are parted by their contents."""
+    spark = rows.sparkSession
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // BUCKET_ROWS)))
+    #: The checkpoint fixes which partition a row belongs to.
+    return cut(rows.repartitionByRange(parts, F.col("k.key"), F.xxhash64("h", "salt")).withColumn("bucket", F.spark_partition_id()).drop("salt"))
 
 
 def _paired(ranked: DataFrame, group: str, kept: Sequence[str]) -> DataFrame:
@@ -81,8 +95,8 @@ def difference(earlier: DataFrame, later: DataFrame, key: str, columns: Sequence
     can be grouped.
 
     Null keys are one key, and nulls equal only nulls. Where a key repeats, equal rows cancel first, as often as both
-    snapshots hold them; of the rest the i-th smallest contents (by the digests of the columns) pair as updates, and i-th
-    smallest keys pair as rekeys. Empty tables give inserts or deletes alone. Columns that are not named are not looked at.
+    snapshots hold them; the rest of both sides pair as updates in one order of contents, that of a hash and then of the
+    digests, and i-th smallest keys pair as rekeys. Empty tables give inserts or deletes alone. Columns that are not named are not looked at.
     Keys have one type in both snapshots.
     """
     carry = carry or {}
@@ -97,15 +111,14 @@ def difference(earlier: DataFrame, later: DataFrame, key: str, columns: Sequence
         return df.select(out["key"].alias("key"), out["old_key"].alias("old_key"), op.alias("op"), out["changed"].alias("changed"), *extra)
 
     same = given(_copies(summed, F.expr("(n - abs(net)) div 2")), F.lit("same"))
-    residue = _copies(summed.withColumn("sign", F.signum("net").cast("int")), F.abs("net")).select("k", "h", "sign", *carried)
-    by_key = cut(_paired(_ranked(residue, "k", "h"), "k", ["h", *carried]))
+    residue = _copies(summed.withColumn("sign", F.signum("net").cast("int")), F.abs("net")).select("k", "h", "sign", "chunk", *carried)
+    by_key = cut(_paired(_ranked(_hash_buckets(residue), "k", "h"), "k", ["h", *carried]))
     both = F.col("old") & F.col("new")
     names = [F.when(~F.col("old_h")[i].eqNullSafe(F.col("new_h")[i]), F.lit(c)) for i, c in enumerate(columns)]
     updates = given(by_key.filter(both), F.lit("update"), "new_", changed=F.concat_ws(",", *names))
-    left = by_key.filter(~both).select(
-        "k", F.coalesce("old_h", "new_h").alias("h"), F.when(F.col("old"), 1).otherwise(-1).alias("sign"), *[F.col(f"new_{c}").alias(c) for c in carried]
-    )
-    by_content = _paired(_ranked(left, "h", "k"), "h", ["k", *carried])
+    sign = F.when(F.col("old"), 1).otherwise(-1).alias("sign")
+    left = by_key.filter(~both).select("k", F.coalesce("old_h", "new_h").alias("h"), sign, F.col("rank").alias("salt"), *[F.col(f"new_{c}").alias(c) for c in carried])
+    by_content = _paired(_ranked(_key_buckets(left), "h", "k"), "h", ["k", *carried])
     op = F.when(both, "rekey").when(F.col("new"), "insert").otherwise("delete")
     old, new = F.col("old_k.key"), F.col("new_k.key")
     moved = given(by_content, op, "new_", key=F.when(F.col("new"), new).otherwise(old), old_key=old)
