@@ -1,4 +1,4 @@
-"""Every query with SQL against DuckDB on the smallest tables."""
+"""Every query with SQL against DuckDB on the tables that the correctness gate uses."""
 
 import glob
 
@@ -7,7 +7,7 @@ import pytest
 
 from tessera.plans import registry
 
-SMALL = "/root/testdata/sf0.001"
+SMALL = "/root/testdata/sf0.01"
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
