@@ -1,4 +1,4 @@
-"""Streams over append-only logs: the latest record per key, kept as a table, and keys already seen.
+"""Streams over append-only logs: the latest record per key, kept as a table. Keys already seen: seen.py.
 
 The batch functions over all files and the stream after all files give the same rows.
 """
