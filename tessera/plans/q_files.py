@@ -2,34 +2,19 @@
 
 from __future__ import annotations
 
-import gzip
-import io
-import json
-import zipfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import keyed, tables
-from tessera.plans.inputs import GRID, grid, number, pick, read, sql_number, sql_pick
+from tessera.plans.inputs import GRID, grid, pick, read, sql_pick
 from tessera.plans.registry import query
-from tessera.sources import readers, sinks
-from tessera.space import file_system, scratch
+from tessera.functions import url as U
+from tessera.sources import files, readers, sinks
+from tessera.space import scratch
 from tessera.streaming import latest as stream
 
 
-def put(spark: SparkSession, path: str, data: bytes) -> str:
-    """A file with these bytes."""
-    fs, p = file_system(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(data))
-    finally:
-        out.close()
-    return path
-
-
 @query("""SELECT p_partkey, p_name || ' "q", x' || chr(10) || 'y' AS name, CASE WHEN p_size > 25 THEN p_size END AS size, 'a b' AS tags FROM part""")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC1, SNK1: cells with quotes, commas and line breaks, nulls and arrays, written and read back."""
@@ -50,127 +35,165 @@ def csv_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path, "p_partkey long, p_brand string", comment="/")
 
 
-def workbook(rows: list[list]) -> bytes:
-    """A workbook with shared texts, numbers and one date style."""
-    shared: list[str] = []
-    cells = []
-    for n, row in enumerate(rows, 1):
-        out = []
-        for k, v in enumerate(row):
-            at = f"{chr(65 + k)}{n}"
-            if v is None:
-                continue
-            if isinstance(v, tuple):
-                out.append(f'<c r="{at}" s="1"><v>{v[0]}</v></c>')
-            elif isinstance(v, str):
-                if v not in shared:
-                    shared.append(v)
-                out.append(f'<c r="{at}" t="s"><v>{shared.index(v)}</v></c>')
-            else:
-                out.append(f'<c r="{at}"><v>{v}</v></c>')
-        cells.append(f'<row r="{n}">{"".join(out)}</row>')
-    space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    held = io.BytesIO()
-    with zipfile.ZipFile(held, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {space}><sheetData>{''.join(cells)}</sheetData></worksheet>")
-        z.writestr("xl/sharedStrings.xml", f"<sst {space}>{''.join(f'<si><t>{s}</t></si>' for s in shared)}</sst>")
-        z.writestr("xl/styles.xml", f'<styleSheet {space}><cellXfs><xf numFmtId="0"/><xf numFmtId="22"/></cellXfs></styleSheet>')
-    return held.getvalue()
-
-
-@query("SELECT 'b' || f || '.xlsx' AS file, i AS row_no, 'd' || i || '.example' AS domain, (i * f)::VARCHAR AS n, CASE WHEN i % 2 = 0 THEN '2024-01-0' || f || ' 12:00:00' ELSE '' END AS seen FROM range(1, 4) t(f), range(1, 31) s(i)")
+@query("""
+SELECT 'parts-' || lpad((p_partkey // 200)::VARCHAR, 6, '0') || '.xlsx' AS file, row_number() OVER (PARTITION BY p_partkey // 200 ORDER BY p_partkey) AS row_no, p_partkey::VARCHAR AS number,
+  coalesce(p_name, '') || ' <&> "q"' AS name, CASE WHEN p_size % 2 = 0 THEN strftime(TIMESTAMP '2024-01-01 12:00:00' + INTERVAL 1 DAY * p_size, '%Y-%m-%d %H:%M:%S') ELSE '' END AS seen, '' AS lacking
+FROM part
+""")
 def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC2: the first sheets of workbooks, dates in ISO form, empty cells as empty texts."""
+    """SRC2: parts in workbooks of two hundred rows, read back by the columns asked for: dates in ISO form, empty cells and
+    lacking columns as empty texts."""
     path = scratch(spark, "xlsx")
-    for f in range(1, 4):
-        rows = [["domain", "n", "seen"], *[[f"d{i}.example", i * f, (45291.5 + f,) if i % 2 == 0 else None] for i in range(1, 31)]]
-        put(spark, f"{path}/b{f}.xlsx", workbook(rows))
-    return readers.read_xlsx(spark, path, ["domain", "n", "seen"]).select("file", "row_no", "domain", "n", "seen")
+    day = F.expr("make_timestamp(2024, 1, 1, 12, 0, 0) + make_interval(0, 0, 0, p_size)")
+    name = F.concat(F.lit("parts-"), F.lpad(F.floor(F.col("p_partkey") / 200).cast("string"), 6, "0"), F.lit(".xlsx"))
+    own = read(spark, sf_dir, "part").select(
+        name.alias("book"), F.col("p_partkey").alias("number"), F.concat(F.coalesce("p_name", F.lit("")), F.lit(' <&> "q"')).alias("name"),
+        F.when(F.col("p_size") % 2 == 0, day).alias("seen"), F.col("p_brand").alias("unread"),
+    )
+    sinks.write_workbooks(own, path, "book", "number", ["number", "unread", "name", "seen"])
+    return readers.read_xlsx(spark, path, ["number", "name", "seen", "lacking"])
 
 
-LOG = "domain string, ts string, n int"
+LOG = "domain string, ts string, n long"
+S_LOG = """log AS (SELECT 'd' || user_id % 97 AS domain, strftime(ts, '%Y-%m-%d') AS ts, event_id AS n, event_id % 50 = 7 AS cut,
+  'log-' || 9 - event_id % 3 || '-' || lpad((event_id // 5000)::VARCHAR, 6, '0') || '.json' AS file FROM events)"""
 
 
-def _log(spark: SparkSession, name: str) -> str:
-    """Two logs: a small old one and a longer new one, with broken lines; equal times, so that the files' order decides."""
+def _log(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Logs of events whose file names do not follow time; every fiftieth line was cut off. Days are the only times, so that
+    files and lines decide between the records of a day."""
     path = scratch(spark, name)
-    line = lambda d, n: json.dumps({"domain": f"d{d}", "ts": "2024", "n": n})
-    old = [line(d, d) for d in range(40)] + ["{broken"]
-    new = [x for d in range(20) for x in (line(d, 1000 + d), line(d, 2000 + d), '{"domain": "cut', "")] + [line(d, 3000 + d) for d in range(100, 400)]
-    put(spark, f"{path}/a.json", "\n".join(old).encode())
-    put(spark, f"{path}/b.json", "\n".join(new).encode())
+    own = read(spark, sf_dir, "events").select(F.concat(F.lit("d"), F.col("user_id") % 97).alias("domain"), F.date_format("ts", "yyyy-MM-dd").alias("ts"), F.col("event_id").alias("n"))
+    line = F.to_json(F.struct("domain", "ts", "n"))
+    cut_off = F.when(F.col("n") % 50 == 7, F.substring(line, F.lit(1), F.length(line) - 5)).otherwise(line)
+    file = F.concat(F.lit("log-"), 9 - F.col("n") % 3, F.lit("-"), F.lpad(F.floor(F.col("n") / 5000).cast("string"), 6, "0"), F.lit(".json"))
+    files.write_files(own.select(file.alias("name"), F.col("n").alias("place"), F.concat(cut_off, F.lit("\n")).alias("content")), path)
     return path
 
 
-@query("SELECT 'd' || d AS domain, (CASE WHEN d < 20 THEN 2000 + d WHEN d < 40 THEN d ELSE 3000 + d END)::INT AS n, CASE WHEN d < 20 OR d >= 100 THEN 'b.json' ELSE 'a.json' END AS file FROM range(0, 400) t(d) WHERE d < 40 OR d >= 100")
+@query(f"WITH {S_LOG} SELECT domain, n, file FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts DESC, file DESC, n DESC) AS r FROM log WHERE NOT cut) WHERE r = 1")
 def log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3, WN1: the last record of each key in the order of files and lines, broken lines left out."""
-    found = readers.read_json_log(spark, _log(spark, "log"), LOG)
+    """SRC3, WN1: the last record of each key by time, then in the order of files and lines; broken lines are left out."""
+    found = readers.read_json_log(spark, _log(spark, sf_dir, "log"), LOG)
     return keyed.latest(found, ["domain"], ["ts", "ordinal"]).select("domain", "n", "file")
 
 
-@query("SELECT 'd' || d AS domain, n::INT AS n, 361 AS whole, 21 AS bad, -1 AS again FROM (SELECT d, d AS n FROM range(0, 40) t(d) UNION ALL SELECT d, 1000 + d FROM range(0, 20) t(d) UNION ALL SELECT d, 2000 + d FROM range(0, 20) t(d) UNION ALL SELECT d, 3000 + d FROM range(100, 400) t(d))".replace("361", "380"))
+@query(f"WITH {S_LOG} SELECT domain, n, (SELECT count(*) FROM log WHERE NOT cut) AS whole, (SELECT count(*) FROM log WHERE cut) AS bad, -1 AS again FROM log WHERE NOT cut")
 def log_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC5: whole lines of a broken log written anew with their number; a whole log stays as it is."""
-    path, out = _log(spark, "broken"), scratch(spark, "repaired")
+    """SRC5: whole lines of broken logs written anew with their number; a whole log stays as it is."""
+    path, out = _log(spark, sf_dir, "broken"), scratch(spark, "repaired")
     whole = readers.repair_log(spark, path, out, LOG)
     again = readers.repair_log(spark, out, scratch(spark, "again"), LOG)
     bad = readers.bad_lines(spark, path, LOG).filter("value <> ''").count()
     rows = readers.read_json_log(spark, out, LOG)
-    return rows.select("domain", "n", F.lit(whole).alias("whole"), F.lit(bad).alias("bad"), F.lit(again).alias("again"))
+    return rows.select("domain", "n", F.lit(whole).cast("long").alias("whole"), F.lit(bad).cast("long").alias("bad"), F.lit(again).alias("again"))
 
 
-@query("SELECT 'm' || f || '.gz' AS file, 'line ' || i || ' of ' || f AS value FROM range(0, 3) t(f), range(0, 40) s(i) WHERE f < 2 OR i < 20")
-def gzip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC4: files of two gzip members; the second one of the last file is broken."""
+S_MEMBERS = """own AS (SELECT event_id, event_id % 4 AS f, event_id // 800 AS m, event_id || ' ' || coalesce(event_type, '-') AS value FROM events),
+kept AS (SELECT * FROM own WHERE f < 2 OR f = 2 AND m < 2 OR f = 3 AND m < (SELECT max(m) FROM own WHERE f = 3))"""
+
+
+def _members(spark: SparkSession, sf_dir: str) -> str:
+    """Four logs of many gzip members of at most two hundred lines each; a member's last line ends in the next one. The third
+    member of one log is broken, and of another the last member was cut off."""
     path = scratch(spark, "members")
-    for f in range(3):
-        a, b = (gzip.compress("".join(f"line {i} of {f}\n" for i in r).encode()) for r in (range(20), range(20, 40)))
-        put(spark, f"{path}/m{f}.gz", a + (b if f < 2 else b"\x1f\x8b broken"))
-    found = readers.read_gzip_members(spark, path).filter("value <> ''")
-    return found.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), "value")
+    own = read(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 4).alias("f"), F.floor(F.col("event_id") / 800).alias("m"), F.concat_ws(" ", F.col("event_id").cast("string"), F.coalesce("event_type", F.lit("-"))).alias("line"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "line"))), lambda x: x["line"]), "\n")
+    made = own.groupBy("f", "m").agg(text.alias("text"))
+    content = sinks.gzipped(F.when(F.col("m") == 0, F.col("text")).otherwise(F.concat(F.lit("\n"), F.col("text"))))
+    last = own.filter("f = 3").agg(F.max("m")).first()[0]
+    held = F.when((F.col("f") == 2) & (F.col("m") == 2), F.concat(F.substring("content", 1, 3), F.lit(b" broken"))).when((F.col("f") == 3) & (F.col("m") == last), F.substring("content", 1, 10))
+    rows = made.withColumn("content", content).select(F.concat(F.lit("log-"), F.col("f"), F.lit(".gz")).alias("name"), F.col("m").alias("place"), F.coalesce(held, F.col("content")).alias("content"))
+    files.write_files(rows, path)
+    return path
+
+
+@query(f"WITH {S_MEMBERS} SELECT 'log-' || f || '.gz' AS file, row_number() OVER (PARTITION BY f ORDER BY event_id) - 1 AS line_no, value FROM kept")
+def gzip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4: the lines of logs of many members, found and read in ranges of the files up to the first broken member."""
+    found = files.gzip_lines(spark, _members(spark, sf_dir), range_bytes=4096)
+    return found.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), "line_no", "value")
+
+
+@query(f"WITH {S_MEMBERS}, n AS (SELECT f, m, count(*) AS n FROM kept GROUP BY f, m) SELECT 'log-' || f || '.gz' AS file, m AS member, n - (m = 0)::INT AS newlines, (sum(n) OVER (PARTITION BY f ORDER BY m) - n - (m > 0)::INT)::BIGINT AS base FROM n")
+def gzip_member_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC4, SRC5: the whole members of each log with their line feeds and those before."""
+    from pyspark.sql import Window
+
+    found = files.member_index(spark, _members(spark, sf_dir), range_bytes=4096).filter("whole")
+    member = F.row_number().over(Window.partitionBy("file").orderBy("start")) - 1
+    return found.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), member.cast("long").alias("member"), "newlines", "base")
+
 
+S_HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1)), '^www\.', '')"
 
-@query("SELECT 'd' || i || '.example' AS domain, CASE WHEN i % 2 = 0 THEN 'browser' ELSE 'http' END AS source, CASE WHEN i % 3 > 0 THEN 200 END::INT AS status, CASE WHEN i % 3 > 0 THEN 'https://d' || i || '.example/x' END AS final_url, '<p>page ' || i || '</p>' AS html FROM range(0, 24) t(i)")
+
+@query(f"""
+SELECT 'p' || page_id || '.' || {S_HOST} AS domain, CASE WHEN page_id % 2 = 0 THEN 'browser' ELSE 'http' END AS source, CASE WHEN page_id % 3 > 0 THEN 200 + page_id % 3 END::INT AS status,
+  CASE WHEN page_id % 3 > 0 THEN url END AS final_url, html FROM pages
+""")
 def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC6, SRC7: captured pages by their file names and header comments."""
+    """SRC6, SRC7: every page as a compressed file, read back by its name and its header comment."""
     path = scratch(spark, "saved")
-    for i in range(24):
-        head = f"<!-- 2024-01-01T00:00:00 status=200 final_url=https://d{i}.example/x -->\n" if i % 3 else ""
-        body = f"{head}<p>page {i}</p>".encode()
-        put(spark, f"{path}/d{i}.example{'__browser' if i % 2 == 0 else ''}.html.gz", gzip.compress(body))
+    page, key = F.col("page_id"), F.col("page_id").cast("string")
+    name = F.concat(F.lit("p"), key, F.lit("."), U.url_host(F.col("url")), F.when(page % 2 == 0, F.lit("__browser")).otherwise(F.lit("")), F.lit(".html.gz"))
+    head = F.when(page % 3 > 0, F.concat(F.lit("<!-- 2024-01-01T00:00:00 status="), (200 + page % 3).cast("string"), F.lit(" final_url="), F.col("url"), F.lit(" -->\n"))).otherwise("")
+    own = read(spark, sf_dir, "pages").select(name.alias("name"), F.lit(0).alias("place"), sinks.gzipped(F.concat(head, F.coalesce("html", F.lit("")))).alias("content"))
+    files.write_files(own, path)
     return readers.read_saved_pages(spark, path).select("domain", "source", "status", "final_url", "html")
 
 
-@query("SELECT f AS file_no, i::INT AS place, 'd' || i AS domain, 'v' || f AS verdict FROM range(1, 4) t(f), range(0, 10) s(i)")
+def _arrays(spark: SparkSession, sf_dir: str, name: str, text: Column) -> str:
+    """Files of fifty labels each, as batches of reviews are, with the JSON text of each."""
+    path = scratch(spark, name)
+    own = read(spark, sf_dir, "labels").select(F.floor(F.col("doc_id") / 100).alias("batch"), F.struct("doc_id", "quality", "toxic").alias("r"))
+    made = own.groupBy("batch").agg(F.array_sort(F.collect_list("r")).alias("rows"))
+    files.write_files(made.select(F.concat(F.lit("verdicts-"), F.lpad(F.col("batch").cast("string"), 8, "0"), F.lit(".json")).alias("name"), F.lit(0).alias("place"), text.alias("content")), path)
+    return path
+
+
+@query("""
+SELECT dense_rank() OVER (ORDER BY doc_id // 100) AS file_no, (row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1)::INT AS place, doc_id, quality::INT AS quality FROM labels
+""")
 def verdict_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC8: files of one array each, in the order of their names."""
-    path = scratch(spark, "arrays")
-    for f in range(1, 4):
-        put(spark, f"{path}/verdicts-{f}.json", json.dumps([{"domain": f"d{i}", "verdict": f"v{f}"} for i in range(10)], indent=1).encode())
-    return readers.read_json_arrays(spark, path, "domain string, verdict string").select("file_no", "place", "domain", "verdict")
+    """SRC8: labels as files of one array each, in the order of their names."""
+    path = _arrays(spark, sf_dir, "arrays", F.to_json("rows"))
+    return readers.read_json_arrays(spark, path, "doc_id long, quality int").select("file_no", "place", "doc_id", "quality")
 
 
-@query("SELECT 'd' || i AS key, 'c' || i % 3 AS class FROM range(0, 30) t(i)")
+@query("SELECT 'd' || doc_id AS key, toxic::INT AS toxic FROM labels")
 def keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC8: an object by key, notes left out."""
-    path = scratch(spark, "keyed")
-    put(spark, f"{path}/truth.json", json.dumps({"_note": {"class": "x"}} | {f"d{i}": {"class": f"c{i % 3}"} for i in range(30)}).encode())
-    return readers.read_keyed_json(spark, path, "struct<class:string>").select("key", "value.class")
+    """SRC8: labels as objects by key, notes left out."""
+    pairs = F.map_from_entries(F.concat(F.array(F.struct(F.lit("_note").alias("key"), F.lit(None).cast("struct<toxic:int>").alias("value"))), F.transform("rows", lambda r: F.struct(F.concat(F.lit("d"), r["doc_id"]).alias("key"), F.struct(r["toxic"].cast("int").alias("toxic")).alias("value")))))
+    path = _arrays(spark, sf_dir, "keyed", F.to_json(pairs))
+    return readers.read_keyed_json(spark, path, "struct<toxic:int>").select("key", "value.toxic")
 
 
-@query(f"""
-WITH g AS ({GRID}) SELECT k, CASE WHEN k % 4 > 0 THEN '<p>Answer ' || k || '</p>' END AS answer, {sql_number(0, 2, 3)} AS n_sources, 'https://o' || k || '.example/' AS first_url, 'T' || k AS first_title, (1 + {sql_number(0, 6, 12)})::INT AS found FROM g
-""".replace("(1 + ", "least(10, 1 + "))
+@query("""
+WITH t AS (SELECT l_orderkey AS k, count(*) AS n, min(l_linenumber) AS first FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 = 0 THEN '15: no results' WHEN o_orderkey % 11 = 1 THEN 'xml' WHEN o_orderkey % 11 = 2 THEN 'b64' END AS error,
+  CASE WHEN o_orderkey % 11 > 2 THEN '<p>' || o_orderstatus || '</p>' END AS answer, CASE WHEN o_orderkey % 11 > 1 THEN 1 ELSE 0 END::INT AS n_sources,
+  CASE WHEN o_orderkey % 11 = 1 THEN 0 ELSE least(10, coalesce(n, 0)) END::INT AS found,
+  CASE WHEN o_orderkey % 11 <> 1 THEN 'https://o' || o_orderkey || '.example/' || first END AS first_url, CASE WHEN o_orderkey % 11 <> 1 THEN 'line ' || first END AS first_title
+FROM orders LEFT JOIN t ON k = o_orderkey
+""")
 def answer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC9: captured answers: text, sources, and the first ten results in order."""
-    key = F.col("k").cast("string")
-    html = F.base64(F.concat(F.lit("<p>Answer "), key, F.lit("</p>")).cast("binary"))
-    answer = F.when(F.col("k") % 4 > 0, F.concat(F.lit("<html>"), html, F.lit("</html>"))).otherwise("")
-    docs = F.concat(F.lit("<doc><url>https://o"), key, F.lit(".example/</url><title>T"), key, F.lit("</title></doc>"), F.repeat(F.lit("<doc><url>https://p.example/</url><title>P</title></doc>"), number(0, 6, 12)))
-    xml = F.concat(F.lit("<r><answer>"), answer, F.repeat(F.lit("<source><url>https://s.example/</url></source>"), number(0, 2, 3)), F.lit("</answer><organic>"), docs, F.lit("</organic></r>"))
-    found = readers.parse_answers(grid(spark, sf_dir).select("k", "h0", xml.alias("xml")))
-    return found.select("k", "answer", F.size("sources").alias("n_sources"), F.col("organic")[0]["url"].alias("first_url"), F.col("organic")[0]["title"].alias("first_title"), F.size("organic").alias("found"))
+    """SRC9, D17: orders and their lines as captured answers, parsed once each: answer, error, sources and the first ten
+    results in order. Some report an error, some are cut off, some hold no base64."""
+    orders, lines = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
+    key = F.col("o_orderkey").cast("string")
+    url = F.concat(F.lit("https://o"), F.col("l_orderkey").cast("string"), F.lit(".example/"), F.col("l_linenumber").cast("string"))
+    doc = F.concat(F.lit("<group><doc><url>"), url, F.lit("</url><title>line &lt;b&gt;"), F.col("l_linenumber").cast("string"), F.lit("&lt;/b&gt;</title></doc></group>"))
+    docs = lines.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", doc.alias("doc")))), lambda x: x["doc"]), "").alias("docs"))
+    j = orders.join(docs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    kind = F.col("o_orderkey") % 11
+    text = F.when(kind == 2, F.lit("?not base64?")).otherwise(F.base64(F.concat(F.lit("<p>"), F.col("o_orderstatus"), F.lit("</p>")).cast("binary")))
+    ai = F.when(kind > 1, F.concat(F.lit("<ai><answer>"), text, F.lit("</answer><item><url>https://s.example/</url><title>S</title><snippet>x</snippet></item></ai>"))).otherwise("")
+    error = F.when(kind == 0, F.lit('<error code="15">no results</error>')).otherwise("")
+    end = F.when(kind == 1, F.lit("</grou")).otherwise("</grouping></results></response></r>")
+    xml = F.concat(F.lit('<r><response date="2024">'), error, ai, F.lit("<results><grouping>"), F.coalesce("docs", F.lit("")), end)
+    found = readers.parse_answers(j.select(F.col("o_orderkey").alias("k"), xml.alias("xml")))
+    return found.select("k", "error", "answer", F.size("sources").alias("n_sources"), F.size("organic").alias("found"), F.try_element_at("organic", F.lit(1))["url"].alias("first_url"), F.try_element_at("organic", F.lit(1))["title"].alias("first_title"))
 
 
 @query("SELECT DISTINCT lower(p_brand) AS value FROM part UNION SELECT 'own.example'")
@@ -182,19 +205,31 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_lines(spark, path)
 
 
-@query("""
-WITH s AS (SELECT 's' || i AS site, i FROM range(0, 30) t(i)) SELECT site, 'https://' || site || '.example/p' || p AS url, 0 AS level, p + 1 AS rank FROM s, range(0, 3) q(p)
-UNION ALL SELECT site, 'https://' || site || '.example/deep b' || m || '/' || p, 1, 4 + m * 2 + p FROM s, range(0, 6) r(m), range(0, 2) q(p)
+S_SITE = f"array_to_string(list_slice(string_split({S_HOST}, '.'), -3, -1), '.')"
+
+
+@query(f"""
+WITH p AS (SELECT {S_SITE} AS site, page_id, url, page_id // 40 AS m FROM pages WHERE {S_HOST} <> ''), s AS (SELECT DISTINCT site FROM p),
+maps AS (SELECT site, m, row_number() OVER (PARTITION BY site ORDER BY m) AS r FROM (SELECT DISTINCT site, m FROM p)),
+o AS (SELECT site, 'https://' || site || '/about' AS url, 0 AS level, 0 AS map_no, 0 AS place FROM s UNION ALL SELECT site, p.url, 1, maps.r, p.page_id FROM p JOIN maps USING (site, m) WHERE maps.r <= 6)
+SELECT site, url, level::INT AS level, row_number() OVER (PARTITION BY site ORDER BY level, map_no, place) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY site, url ORDER BY level, map_no, place) AS f FROM o) WHERE f = 1
 """)
 def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC11: pages of captured sitemaps, of nested maps the first six."""
-    rows = []
-    for i in range(30):
-        root = "".join(f"<url><loc>https://s{i}.example/p{p}</loc></url>" for p in range(3)) + "".join(f"<sitemap><loc>https://s{i}.example/m{m}.xml</loc></sitemap>" for m in range(8))
-        rows.append((f"s{i}", f"https://s{i}.example/sitemap.xml", root, True))
-        rows += [(f"s{i}", f"https://s{i}.example/m{m}.xml", "".join(f"<loc> https://s{i}.example/deep%20b{m}/{p} </loc>" for p in range(2)), False) for m in range(8)]
-    maps = spark.createDataFrame(rows, "site string, url string, xml string, root boolean")
-    found = readers.sitemap_pages(maps)
+    """SRC11: sitemaps of the sites of pages, a nested map for at most forty pages; of nested maps the first six are
+    followed."""
+    host = F.split(U.url_host(F.col("url")), r"\.")
+    site = F.array_join(F.slice(host, -F.least(F.lit(3), F.size(host)), F.lit(3)), ".")
+    own = read(spark, sf_dir, "pages").filter(U.url_host(F.col("url")) != "").select(site.alias("site"), "page_id", "url", F.floor(F.col("page_id") / 40).alias("m"))
+    location = lambda u: F.concat(F.lit("<url><loc> "), F.replace(u, F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>"))
+    name = F.concat(F.lit("https://"), F.col("site"), F.lit("/map-"), F.lpad(F.col("m").cast("string"), 8, "0"), F.lit(".xml"))
+    listed = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x["l"]), "")
+    nested = own.groupBy("site", "m").agg(listed(F.struct("page_id", location(F.col("url")).alias("l"))).alias("xml")).select("site", "m", name.alias("url"), "xml")
+    #: A root names the first of its site's maps; what lies beyond those that are followed is not named.
+    ranked = tables.top_per_group(nested, ["site"], [F.col("m")], 8)
+    maps = ranked.groupBy("site").agg(listed(F.struct("m", F.concat(F.lit("<sitemap><loc>"), F.col("url"), F.lit("</loc></sitemap>")).alias("l"))).alias("maps"))
+    about = F.concat(F.lit("<url><loc>https://"), F.col("site"), F.lit("/about</loc></url>"))
+    roots = maps.select("site", F.concat(F.lit("https://"), F.col("site"), F.lit("/sitemap.xml")).alias("url"), F.concat(F.lit("<sitemapindex>"), about, F.col("maps"), F.lit("</sitemapindex>")).alias("xml"), F.lit(True).alias("root"))
+    found = readers.sitemap_pages(roots.unionByName(nested.select("site", "url", "xml", F.lit(False).alias("root"))))
     return found.select("site", "url", "level", F.col("rank").cast("long").alias("rank"))
 
 

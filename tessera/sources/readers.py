@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources import files
+from tessera.space import bounded_batches
+
 HOP = "struct<status:int,url:string,location:string,error:string>"
 #: D4: a scan record; fields that a mode lacks are null.
 SCAN_RECORD = (
@@ -88,14 +92,19 @@ def gunzip_members(data: bytes) -> bytes:
 
 
 def read_gzip_members(spark: SparkSession, path: str) -> DataFrame:
-    """SRC4: file, line_no and value of files of several gzip members whose tail may be cut off."""
+    """SRC4: file, line_no and value of files of several gzip members whose tail may be cut off. Members are found and read
+    in parallel; stores that Arrow does not know are read as whole files."""
+    if files.known(path):
+        return files.gzip_lines(spark, path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for name, content in zip(b["path"], b["content"], strict=True):
-                lines = gunzip_members(bytes(content)).decode("utf-8", "replace").split("\n")
+                text = gunzip_members(bytes(content)).decode("utf-8", "replace")
+                lines = text.removesuffix("\n").split("\n") if text else []
                 yield pd.DataFrame({"file": name, "line_no": range(len(lines)), "value": lines})
 
+    bounded_batches(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, line_no long, value string")
 
 
@@ -110,6 +119,7 @@ def read_saved_pages(spark: SparkSession, path: str) -> DataFrame:
             texts = [(gunzip_members(bytes(c)) if bytes(c[:2]) == b"\x1f\x8b" else bytes(c)).decode("utf-8", "replace") for c in b["content"]]
             yield pd.DataFrame({"file": b["path"].map(lambda p: p.rsplit("/", 1)[-1]), "raw": texts})
 
+    bounded_batches(spark)
     raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, raw string")
     head = F.regexp_extract("raw", r"^(<!--[^\n]*-->)", 1)
     name = r"^(.+?)(?:__([A-Za-z0-9-]+))?\.html?(?:\.gz)?$"
@@ -132,16 +142,16 @@ def read_json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.join(files, "file").select("r.*", "file", "file_no", "place")
 
 
-def _sheet(data: bytes) -> list[list[str]]:
-    """The rows of a workbook's first sheet as text: dates in ISO form, whole numbers without a point, empty cells ""."""
+def sheet_rows(handle) -> Iterator[list[str]]:
+    """The rows of a workbook's first sheet as text, one at a time: dates in ISO form, whole numbers without a point, empty
+    cells "". handle is a file that can seek."""
     import datetime as dt
-    import io
     import re
     import zipfile
     from xml.etree import ElementTree as ET
 
     main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-    book = zipfile.ZipFile(io.BytesIO(data))
+    book = zipfile.ZipFile(handle)
     names = set(book.namelist())
     shared = []
     if "xl/sharedStrings.xml" in names:
@@ -154,8 +164,7 @@ def _sheet(data: bytes) -> list[list[str]]:
         for xfs in styles.iter(main + "cellXfs"):
             dated = [int(x.get("numFmtId", 0)) in own or 14 <= int(x.get("numFmtId", 0)) <= 22 for x in xfs.iter(main + "xf")]
     first = sorted((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[0]))[0]
-    rows: list[list[str]] = []
-    for _, row in ET.iterparse(io.BytesIO(book.read(first))):
+    for _, row in ET.iterparse(book.open(first)):
         if row.tag != main + "row":
             continue
         cells: list[str] = []
@@ -181,25 +190,28 @@ def _sheet(data: bytes) -> list[list[str]]:
                 elif float(value).is_integer():
                     value = str(int(float(value)))
             cells[at] = value
-        rows.append(cells)
+        yield cells
         row.clear()
-    return rows
 
 
 def read_xlsx(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """SRC2: the named columns (text) of the first sheet of each workbook, found by its first row; with file and row_no. A
-    column that a sheet lacks is "". A workbook is read by one task."""
+    column that a sheet lacks is "". A workbook is read by one task, a row at a time; stores that Arrow does not know are
+    read as whole files."""
+    if files.known(path):
+        return files.read_workbooks(spark, path, columns)
     schema = ", ".join([*(f"`{c}` string" for c in columns), "file string", "row_no long"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for name, content in zip(b["path"], b["content"], strict=True):
-                rows = _sheet(bytes(content))
+                rows = list(sheet_rows(io.BytesIO(bytes(content))))
                 head = rows[0] if rows else []
                 at = [head.index(c) if c in head else None for c in columns]
                 out = [[r[k] if k is not None and k < len(r) else "" for k in at] + [name.rsplit("/", 1)[-1], n] for n, r in enumerate(rows[1:], 1)]
                 yield pd.DataFrame(out, columns=[*columns, "file", "row_no"])
 
+    bounded_batches(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
 
 
@@ -210,14 +222,39 @@ def read_keyed_json(spark: SparkSession, path: str, value: str) -> DataFrame:
     return pairs.filter("NOT startswith(key, '_')")
 
 
-def parse_answers(raw: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """SRC9, D17: captured answer documents -> answer (HTML), sources and organic results in order."""
-    x = F.col(xml_col)
-    urls = F.xpath(x, F.lit("//organic/doc/url/text()"))
-    titles = F.xpath(x, F.lit("//organic/doc/title/text()"))
-    organic = F.transform(F.arrays_zip(urls.alias("url"), titles.alias("title")), lambda d, i: F.struct((i + 1).alias("position"), d["url"].alias("url"), d["title"].alias("title")))
-    answer = F.try_to_binary(F.nullif(F.xpath_string(x, F.lit("//answer/html/text()")), F.lit("")), F.lit("base64")).cast("string")
-    return raw.withColumns({"answer": answer, "sources": F.xpath(x, F.lit("//answer/source/url/text()")), "organic": F.slice(organic, 1, 10)})
+#: D17: a captured answer document. Its root may have any name.
+ANSWER_XML = (
+    "response struct<_date:string, error:struct<_VALUE:string,_code:string>, "
+    "results:struct<grouping:struct<group:array<struct<doc:array<struct<url:string,title:string>>>>>>, "
+    "ai:struct<answer:string,item:array<struct<url:string,title:string,snippet:string>>>, "
+    "relatedQuestions:struct<item:array<struct<question:string>>>>"
+)
+
+
+def parse_answers(raw: DataFrame, xml_col: str = "xml", results: int = 10) -> DataFrame:
+    """SRC9, D17: captured answer documents, each parsed once: date, error, ai_present, answer (HTML), sources (url, title,
+    snippet), organic (position, url, title; the first results) and related (questions).
+
+    error is "code: text" of an error that the document reports, "xml" where it is none, "b64" where the answer is no base64;
+    the other fields are null or empty then. Tags in titles are dropped; a result without title or url keeps its place.
+    """
+    schema = T.StructType.fromDDL(f"{ANSWER_XML}, _corrupt string")
+    parsed = raw.withColumn("_x", F.from_xml(F.col(xml_col), schema, {"columnNameOfCorruptRecord": "_corrupt"}))
+    r = F.col("_x.response")
+    broken = F.col(xml_col).isNotNull() & (F.col("_x").isNull() | F.col("_x._corrupt").isNotNull())
+    none = lambda column, kind: F.coalesce(column, F.array().cast(f"array<{kind}>"))
+    docs = none(F.flatten(F.transform(r["results"]["grouping"]["group"], lambda g: none(g["doc"], "struct<url:string,title:string>"))), "struct<url:string,title:string>")
+    plain = lambda t: F.regexp_replace(F.coalesce(t, F.lit("")), "<[^>]+>", "")
+    organic = F.slice(F.transform(docs, lambda d, i: F.struct((i + 1).alias("position"), d["url"].alias("url"), plain(d["title"]).alias("title"))), 1, results)
+    held = F.nullif(F.trim(r["ai"]["answer"]), F.lit(""))
+    answer = F.try_to_binary(held, F.lit("base64"))
+    reported = F.when(r["error"].isNotNull(), F.concat(F.coalesce(r["error"]["_code"], F.lit("")), F.lit(": "), F.substring(F.trim(F.coalesce(r["error"]["_VALUE"], F.lit(""))), 1, 200)))
+    error = F.when(broken, "xml").otherwise(F.coalesce(reported, F.when(held.isNotNull() & answer.isNull(), "b64")))
+    sources = F.transform(none(r["ai"]["item"], "struct<url:string,title:string,snippet:string>"), lambda i: F.struct(i["url"].alias("url"), F.trim(F.coalesce(i["title"], F.lit(""))).alias("title"), i["snippet"].alias("snippet")))
+    related = F.transform(F.filter(none(r["relatedQuestions"]["item"], "struct<question:string>"), lambda q: q["question"].isNotNull()), lambda q: q["question"])
+    return parsed.withColumns({
+        "date": r["_date"], "error": error, "ai_present": r["ai"].isNotNull(), "answer": F.make_valid_utf8(answer.cast("string")), "sources": sources, "organic": organic, "related": related,
+    }).drop("_x")
 
 
 def struct_hops(hops: str = "hops") -> Column:

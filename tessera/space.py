@@ -77,3 +77,16 @@ def cut(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """df marked for a broadcast if it has at most so many rows, which are counted; else Spark joins by a shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+#: Bytes of one Arrow batch: rows of long texts go to Python in batches of about this size, or one row that is longer.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Bound Arrow batches by bytes, so that what a Python worker holds does not follow the length of rows. A smaller bound
+    that the user has set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not now.isdigit() or int(now) <= 0 or int(now) > most:
+        spark.conf.set(key, str(most))

@@ -278,9 +278,20 @@ def test_sources_and_sinks(spark, tmp_path):
 def test_answers(spark):
     import base64
 
-    xml = f"<r><answer><html>{base64.b64encode(b'<p>hi</p>').decode()}</html><source><url>http://s.example/</url></source></answer><organic><doc><url>http://a.example/</url><title>A</title></doc></organic></r>"
-    got = readers.parse_answers(spark.createDataFrame([(xml,)], "xml string")).first()
-    assert got.answer == "<p>hi</p>" and got.sources == ["http://s.example/"] and tuple(got.organic[0]) == (1, "http://a.example/", "A")
+    html = base64.b64encode(b"<p>hi</p>").decode()
+    docs = "".join(f"<group><doc><url>http://a.example/{k}</url><title>&lt;b&gt;A&lt;/b&gt; {k}</title></doc></group>" for k in range(12))
+    results = f"<results><grouping>{docs}</grouping></results>"
+    ai = f"<ai><answer> {html} </answer><item><url>http://s.example/</url><title> S </title></item></ai><relatedQuestions><item><question>why</question></item><item/></relatedQuestions>"
+    xmls = [f'<x><response date="d">{ai}{results}</response></x>', '<x><response><error code="7"> none </error></response></x>', "<x><resp", None, "<x><response><ai><answer>!</answer></ai></response></x>"]
+    found = readers.parse_answers(spark.createDataFrame([(k, x, "clash") for k, x in enumerate(xmls)], "id int, xml string, response string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1 or plan.count("xmltostructs") == 1
+    got = {r.id: r for r in found.collect()}
+    assert got[0].answer == "<p>hi</p>" and got[0].date == "d" and got[0].error is None and got[0].related == ["why"]
+    assert [tuple(x) for x in got[0].sources] == [("http://s.example/", "S", None)]
+    assert [tuple(x) for x in got[0].organic] == [(k + 1, f"http://a.example/{k}", f"A {k}") for k in range(10)]
+    assert [got[k].error for k in (1, 2, 3, 4)] == ["7: none", "xml", None, "b64"]
+    assert not got[1].ai_present and got[4].ai_present and got[2].organic == [] and got[3].sources == []
 
 
 def test_sitemaps(spark):
