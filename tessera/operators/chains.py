@@ -1,4 +1,4 @@
-"""Redirect chains over captured hops: bounded steps, one equi-join each."""
+"""Redirect chains over captured hops: paths by doubling, and what ends them."""
 
 from __future__ import annotations
 
@@ -7,30 +7,62 @@ from pyspark.sql import functions as F
 
 from tessera.config import DEFAULT, Config
 from tessera.functions import url as U
+from tessera.space import cut
+
+
+def jumps(hops: DataFrame, steps: int) -> DataFrame:
+    """Where each captured URL leads in at least so many steps: url, path (the URLs after it), open (the last one may lead
+    on) and stop (why it does not: error or no_redirect), by doubling: each round puts the path of a path's last URL behind
+    it, so that steps take log2(steps) joins. A path ends before the first URL that it holds already.
+
+    hops: url, status, location; the smallest location of several. A URL that is not captured, or answered with 400 or more,
+    is an error.
+    """
+    one = hops.filter("url IS NOT NULL").groupBy("url").agg(F.min(F.struct("location", "status")).alias("s"))
+    failed = F.coalesce(F.col("s.status") >= 400, F.lit(False))
+    stays = F.col("s.location").isNull() | (F.col("s.location") == F.col("url"))
+    nothing = F.array().cast("array<string>")
+    first = F.when(failed | stays, nothing).otherwise(F.array("s.location"))
+    now = cut(one.select("url", first.alias("path"), (~(failed | stays)).alias("open"), F.when(failed, "error").when(stays, "no_redirect").alias("stop")))
+    length = 1
+    while length < steps:
+        #: A path that has ended meets nothing; its key is its own URL behind a character that no URL holds.
+        end = F.when(F.col("open"), F.element_at("path", -1)).otherwise(F.concat(F.lit("\x00"), "url"))
+        on = now.select(F.col("url").alias("_u"), F.col("path").alias("_path"), F.col("open").alias("_open"), F.col("stop").alias("_stop"))
+        both = now.withColumn("_end", end).join(on, F.col("_end") == F.col("_u"), "left")
+        whole = F.concat(F.array("url"), "path", F.coalesce("_path", nothing))
+        again = F.array_min(F.transform(whole, lambda x, i: F.when(F.array_position(whole, x) <= i, i)))
+        met = both.withColumns({"_whole": whole, "_again": again})
+        going = F.col("open")
+        now = cut(met.select(
+            "url",
+            F.when(~going, F.col("path")).when(F.col("_again").isNotNull(), F.slice("_whole", F.lit(2), F.col("_again") - 1)).otherwise(F.slice("_whole", F.lit(2), F.size("_whole"))).alias("path"),
+            (going & F.col("_again").isNull() & F.coalesce("_open", F.lit(False))).alias("open"),
+            F.when(~going, F.col("stop")).when(F.col("_again").isNotNull(), F.lit("no_redirect")).when(F.col("_u").isNull(), F.lit("error")).otherwise(F.col("_stop")).alias("stop"),
+        ))
+        length *= 2
+    return now
 
 
 def follow(starts: DataFrame, hops: DataFrame, max_hops: int = 8, config: Config = DEFAULT) -> DataFrame:
     """PT1: start, site, chain (array of URLs), final_url and stop: found, platform_host, error, no_redirect or max_hops.
 
     starts: url and site. hops: url, status, location, one row per captured URL (the smallest location of several). A
-    referral is not asked, nor is a platform. Rows that have stopped stay in the table under keys that meet nothing, so a
-    step is one join and no step is computed twice.
+    referral is not asked, nor is a platform: the chain is that of jumps, which knows no site, up to the first URL at which
+    its start's site stops it.
     """
-    table = hops.groupBy(F.col("url").alias("_u")).agg(F.min(F.struct("location", "status")).alias("_s"))
     site = F.col("site") if "site" in starts.columns else F.lit("")
-    now = starts.select(F.col("url").alias("start"), site.alias("site"), F.col("url").alias("at"), F.array("url").alias("chain"), F.lit(None).cast("string").alias("stop"))
-    for _ in range(max_hops):
-        stop = F.coalesce("stop", F.when(U.classify_ref(F.col("at"), F.col("site"), config).isNotNull(), "found").when(U.hostname(F.col("at")).rlike(config.platform_hosts), "platform_host"))
-        now = now.withColumn("stop", stop)
-        #: A stopped row's key is its start behind a character that no URL holds.
-        j = now.join(table, F.when(F.col("stop").isNull(), F.col("at")).otherwise(F.concat(F.lit("\x00"), F.col("start"))) == F.col("_u"), "left")
-        to = F.col("_s.location")
-        stop = F.coalesce("stop", F.when(F.col("_u").isNull() | F.coalesce(F.col("_s.status") >= 400, F.lit(False)), "error").when(to.isNull() | F.array_contains("chain", to), "no_redirect"))
-        j = j.withColumn("stop", stop)
-        going = F.col("stop").isNull()
-        now = j.select("start", "site", F.when(going, to).otherwise(F.col("at")).alias("at"), F.when(going, F.concat("chain", F.array(to))).otherwise(F.col("chain")).alias("chain"), "stop")
-    last = F.coalesce("stop", F.when(U.classify_ref(F.col("at"), F.col("site"), config).isNotNull(), "found").otherwise("max_hops"))
-    return now.select("start", "site", "chain", F.col("at").alias("final_url"), last.alias("stop"))
+    led = jumps(hops, max_hops).select(F.col("url").alias("_u"), "path", F.col("stop").alias("_stop"))
+    j = starts.select(F.col("url").alias("start"), site.alias("site")).join(led, F.col("start") == F.col("_u"), "left")
+    chain = F.slice(F.concat(F.array("start"), F.coalesce("path", F.array().cast("array<string>"))), 1, max_hops + 1)
+    j = j.select("start", "site", chain.alias("chain"), F.when(F.col("_u").isNull(), "error").otherwise(F.col("_stop")).alias("_stop"))
+    here = lambda u, i: F.when(U.classify_ref(u, F.col("site"), config).isNotNull(), "found").when(U.hostname(u).rlike(config.platform_hosts) & (i < max_hops), "platform_host")
+    j = j.withColumn("_here", F.transform("chain", here))
+    at = F.array_min(F.transform("_here", lambda w, i: F.when(w.isNotNull(), i + 1)))
+    j = j.withColumn("_at", at)
+    stop = F.when(F.col("_at").isNotNull(), F.try_element_at("_here", "_at")).when(F.size("chain") > max_hops, "max_hops").otherwise(F.col("_stop"))
+    out = j.select("start", "site", F.slice("chain", F.lit(1), F.coalesce("_at", F.size("chain"))).alias("chain"), stop.alias("stop"))
+    return out.select("start", "site", "chain", F.element_at("chain", -1).alias("final_url"), "stop")
 
 
 #: PT2, fixed values: answers that a browser may pass, and types of downloads.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import AFFILIATE_NAMES, CODE_NAMES, DEFAULT, TRACKER_NAMES
 from tessera.operators import chains, evidence, groups, scan
-from tessera.plans.inputs import GRID, flag, grid, nothing, number, pick, sql_flag, sql_number, sql_pick
+from tessera.plans.inputs import GRID, flag, grid, nothing, number, pick, read, sql_flag, sql_number, sql_pick
 from tessera.plans.q_urls import s_has, s_host, s_hostname, s_part, s_ref
 from tessera.plans.registry import query
 
@@ -231,19 +231,46 @@ def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.union(found).withColumn("rank", F.col("rank").cast("long"))
 
 
-@query(f"""
-WITH RECURSIVE e AS (SELECT k, k // 3 AS nxt, k % 11 = 0 AS gone, k % 13 = 0 AS stop FROM ({GRID})), w AS (SELECT k AS start, k AS cur, 0 AS n, '' AS stop, [k] AS seen FROM e
-  UNION ALL SELECT start, CASE WHEN x.k IS NULL OR x.gone OR x.stop OR list_contains(seen, x.nxt) THEN cur ELSE x.nxt END, n + 1, CASE WHEN x.k IS NULL OR x.gone THEN 'error' WHEN x.stop OR list_contains(seen, x.nxt) THEN 'no_redirect' ELSE '' END, list_append(seen, x.nxt) FROM w LEFT JOIN e x ON w.cur = x.k WHERE w.stop = '' AND n < 4),
-f AS (SELECT start, cur, stop, n, row_number() OVER (PARTITION BY start ORDER BY n DESC) AS r FROM w)
-SELECT start AS k, 'https://h.example/' || cur AS final_url, CASE WHEN stop = '' THEN 'max_hops' ELSE stop END AS stop, (CASE WHEN stop = '' THEN n + 1 ELSE n END)::INT AS length FROM f WHERE r = 1
-""")
+S_MOVES = """hop AS (SELECT url, min((location, status)) AS s FROM (
+    SELECT a.url, b.url AS location, CASE WHEN a.page_id % 31 = 5 THEN 404 ELSE 302 END AS status FROM pages a LEFT JOIN pages b
+    ON b.page_id = CASE WHEN a.page_id % 29 = 0 THEN a.page_id - 3 WHEN a.page_id % 37 > 0 THEN a.page_id + 1 END WHERE a.page_id % 41 > 0) GROUP BY url),
+e AS (SELECT url, s[1] AS nxt, s[2] >= 400 AS gone FROM hop)"""
+
+
+def s_chains(most: int) -> str:
+    """Chains of at most so many hops, one hop at a time."""
+    return f"""
+WITH RECURSIVE {S_MOVES}, w AS (SELECT url AS start, url AS cur, 0 AS n, '' AS stop, [url] AS seen FROM (SELECT DISTINCT url FROM pages)
+  UNION ALL SELECT start, CASE WHEN x.url IS NULL OR x.gone OR x.nxt IS NULL OR list_contains(seen, x.nxt) THEN cur ELSE x.nxt END, n + 1,
+    CASE WHEN x.url IS NULL OR x.gone THEN 'error' WHEN x.nxt IS NULL OR list_contains(seen, x.nxt) THEN 'no_redirect' ELSE '' END, list_append(seen, x.nxt)
+  FROM w LEFT JOIN e x ON w.cur = x.url WHERE w.stop = '' AND n < {most}),
+f AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY n DESC) AS r FROM w)
+SELECT start, cur AS final_url, CASE WHEN stop = '' THEN 'max_hops' ELSE stop END AS stop, (CASE WHEN stop = '' THEN n + 1 ELSE n END)::INT AS length FROM f WHERE r = 1
+"""
+
+
+def _moves(spark: SparkSession, sf_dir: str, most: int) -> DataFrame:
+    """Every page's address leads to that of the next page or of one three back, is an error, stays, or was not captured."""
+    own = read(spark, sf_dir, "pages").select("page_id", "url")
+    k = F.col("page_id")
+    to = F.when(k % 29 == 0, k - 3).when(k % 37 > 0, k + 1)
+    there = own.select(F.col("page_id").alias("_to"), F.col("url").alias("location"))
+    hops = own.filter(k % 41 > 0).withColumn("to", to).join(there, F.col("to") == F.col("_to"), "left")
+    hops = hops.select("url", F.when(k % 31 == 5, 404).otherwise(302).alias("status"), "location")
+    found = chains.follow(own.select("url").distinct(), hops, most)
+    return found.select("start", "final_url", "stop", F.size("chain").alias("length"))
+
+
+@query(s_chains(8))
 def redirect_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PT1: chains over captured hops, at most four, with the reason why each stops."""
-    url = lambda c: F.concat(F.lit("https://h.example/"), c.cast("string"))
-    g = grid(spark, sf_dir).select("k")
-    hops = g.select(url(F.col("k")).alias("url"), F.when(F.col("k") % 11 == 0, 404).otherwise(302).alias("status"), F.when(F.col("k") % 13 != 0, url(F.floor(F.col("k") / 3))).alias("location"))
-    found = chains.follow(g.select(url(F.col("k")).alias("url"), F.lit("site.example").alias("site")), hops, 4)
-    return found.select(F.regexp_extract("start", r"(\d+)$", 1).cast("long").alias("k"), "final_url", "stop", F.size("chain").alias("length"))
+    """PT1: chains over the addresses of pages, at most eight hops, with the reason why each stops."""
+    return _moves(spark, sf_dir, 8)
+
+
+@query(s_chains(64))
+def long_redirect_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PT1: the same with 64 hops, which takes six joins."""
+    return _moves(spark, sf_dir, 64)
 
 
 @query(f"""

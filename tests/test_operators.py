@@ -201,6 +201,56 @@ def test_follow(spark):
     assert rows(chains.move_targets(moves, spark.createDataFrame([("b",)], "domain string"))) == [("new", "mono")]
 
 
+@pytest.mark.parametrize("most", [1, 2, 5, 8])
+def test_chains_equal_single_steps(spark, most):
+    r = random.Random(most)
+    names = [f"http://h{k}.example/" for k in range(30)] + ["http://go.acme.com/Ab3d", "http://video.example/x"]
+    table = {n: (r.choice([301, 302, 302, 404, None]), r.choice([*names, *names, "http://gone.example/", None])) for n in r.sample(names, 28)}
+
+    def walk(at):
+        chain = [at]
+        for k in range(most + 1):
+            if at == "http://go.acme.com/Ab3d":
+                return chain, "found"
+            if k == most:
+                return chain, "max_hops"
+            if at == "http://video.example/x":
+                return chain, "platform_host"
+            status, to = table.get(at, (500, None))
+            if (status or 0) >= 400:
+                return chain, "error"
+            if to is None or to in chain:
+                return chain, "no_redirect"
+            at = to
+            chain.append(at)
+
+    starts = [*names, "http://gone.example/"] * 2
+    got = chains.follow(spark.createDataFrame([(n, "s.example") for n in starts], "url string, site string"), spark.createDataFrame([(n, s, t) for n, (s, t) in table.items()], "url string, status int, location string"), most).collect()
+    assert len(got) == len(starts)
+    for row in got:
+        assert (list(row.chain), row.stop) == walk(row.start), row.start
+        assert row.final_url == row.chain[-1]
+
+
+def test_both_ways_to_fit_agree(spark):
+    r = np.random.default_rng(5)
+    points = [(f, float(round(v, 1)), float(r.uniform() < 0.6)) for f in ("a", "b", None) for v in r.normal(size=60)] + [("one", 1.0, 1.0), ("a", None, 1.0)]
+    df = spark.createDataFrame(points, "f string, x double, y double")
+    here, spread = calibrate.platt(df, "f", "x", "y"), calibrate.platt(df, "f", "x", "y", most=1)
+    assert set(here) == set(spread) == {"a", "b", None, "one"}
+    assert all(here[f] == pytest.approx(spread[f], abs=1e-6) for f in here)
+    here, spread = calibrate.class_offsets(df, "f", "x", "y"), calibrate.class_offsets(df, "f", "x", "y", most=1)
+    assert set(here) == set(spread) and all(here[f] == pytest.approx(spread[f], abs=1e-6) for f in here)
+    whole = [(f, x, y) for f, x, y in points if x is not None]
+    loo = calibrate.leave_one_out(df, "f", "x", "y", block=7).collect()
+    assert sorted(str((q.family, q.x, q.y)) for q in loo) == sorted(map(str, whole))
+    for f, x, y in (whole[0], whole[70], whole[130]):
+        k = whole.index((f, x, y))
+        own = [p for i, p in enumerate(whole) if p[0] == f and i != k]
+        a, b = plain_fit(np.array([p[1] for p in own]), np.array([p[2] for p in own]), DEFAULT.thresholds.fit_prior)
+        assert next(q.p for q in loo if (q.family, q.x, q.y) == (f, x, y)) == pytest.approx(1 / (1 + np.exp(-(a + b * x))), abs=1e-6)
+
+
 def test_platt_equals_a_plain_fit(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=200)
