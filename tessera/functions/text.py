@@ -5,32 +5,39 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Look-alike letters and the Latin letters they pass for.
-LOOKALIKES = ("авекмнорстухіοеαεικμνορτυχАВЕКМНОРСТУХІΟΑΕΙΚΜΝΡΤΥΧЅѕıΒ", "abekmhopctyxioeaeikmvoptuxABEKMHOPCTYXIOAEIKMNPTYXSsiB")
-_LATIN = str.maketrans(*LOOKALIKES)
+LOOKALIKES = {
+    "Μ": "M", "Ο": "O", "ο": "o", "Ѕ": "S", "ѕ": "s", "Τ": "T", "Β": "B", "Е": "E", "е": "e", "М": "M", "О": "O", "о": "o", "Т": "T",
+    "В": "B", "С": "C", "с": "c", "а": "a", "Α": "A", "ε": "e", "τ": "t", "і": "i", "Ι": "I", "ı": "i", "ѐ": "e", "ё": "e",
+}
+#: More letters of both scripts that look like Latin ones, for names that are spelt with any of them.
+MORE_LOOKALIKES = dict(zip("вкмнртухακμνρυχАКНРУХΕΚΝΡΥΧЅ", "bkmhptyxakmvpuxAKHPYXEKNPYXS", strict=True))
+_LATIN, _WIDE = str.maketrans(LOOKALIKES), str.maketrans(LOOKALIKES | MORE_LOOKALIKES)
 
 
-def folded(text: str) -> str:
+def folded(text: str, wide: bool = False) -> str:
     """TX1 for one text."""
     import unicodedata
 
     if text.isascii():
         return text
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).translate(_LATIN)
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).translate(_WIDE if wide else _LATIN)
 
 
-@F.pandas_udf(T.StringType())
-def _folded(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else folded(t))
+def fold(text: Column, wide: bool = False) -> Column:
+    """TX1: compatibility decomposition, no combining marks, look-alike letters as Latin ones; wide takes MORE_LOOKALIKES as
+    well, which changes ordinary words of their scripts."""
 
+    @F.arrow_udf(T.StringType())
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else folded(t, wide) for t in (x.as_py() for x in texts)], pa.string())
 
-def fold(text: Column) -> Column:
-    """TX1: compatibility decomposition, no combining marks, look-alike letters as Latin ones."""
-    return _folded(text)
+    return run(text)
 
 
 def count_matches(text: Column, pattern: str) -> Column:

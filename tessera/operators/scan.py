@@ -46,7 +46,7 @@ def fill_from_cache(dests: DataFrame, cache: DataFrame, config: Config = DEFAULT
 def resolved_groups(dests: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """JN8: per domain the group of its filled destinations (domain, url, via, kind, brand): needs_browser while one that is
     shaped like advertising waits for a browser, with what the others say as undecided_group."""
-    shaped = (F.col("kind") == "needs_browser") & (F.coalesce("via", F.lit("")).rlike(groups.AD_SHAPED) | U.classify_ref(F.col("url"), F.col("domain"), config).isNotNull() | U.tracker_shaped(F.col("url")))
+    shaped = (F.col("kind") == "needs_browser") & (groups.ad_shaped(F.col("via")) | U.classify_ref(F.col("url"), F.col("domain"), config).isNotNull() | U.tracker_shaped(F.col("url")))
     some = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
     live = dests.filter("kind <> 'internal'").groupBy("domain").agg(some(F.col("kind") == "target").alias("t"), some(F.col("kind") == "other").alias("o"), F.count_if(F.col("kind").isin(*groups.UNDECIDED)).alias("unresolved"), some(shaped).alias("pending"))
     own = groups.site_group(F.col("t"), F.col("o"))

@@ -9,6 +9,7 @@ from tessera.functions import html as H
 from tessera.functions import text as T
 from tessera.functions import url as U
 from tessera.plans.inputs import GRID, grid, number, pick, read, sql_number, sql_pick
+from tessera.plans.q_site_pages import S_TOTALS
 from tessera.plans.registry import query
 
 #: Elements and the text that stays of them.
@@ -168,7 +169,7 @@ def markup_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heads.select("k", H.raw_brand_name(F.col("title"), F.array().cast("array<string>")).alias("first"), F.concat(F.lit("https://"), U.ref_key(F.col("canonical"))).alias("page"))
 
 
-@query()
+@query(f"{S_TOTALS} SELECT host, n_pages, n_links, n_chars, n_terms, CASE WHEN n_chars > 0 THEN round(n_terms * 1000.0::DOUBLE / n_chars, 2) ELSE 0.0 END AS density FROM t")
 def page_visible_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HT1, HT7, TX3, AG1: visible words, links and term density per host, densest first."""
     seen = H.parse_pages(read(spark, sf_dir, "pages").select("page_id", "url", "html"))

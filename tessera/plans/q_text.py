@@ -20,7 +20,7 @@ def _sql(h: int, shift: int, rows: tuple, k: int) -> str:
 
 
 #: Spellings, their Latin skeleton, and mentions of the name in either script.
-SPELLED = (("Acme", "Acme", 1), ("Асmе", "Acme", 1), ("Ácmé", "Acme", 1), ("ΑCΜΕ", "ACME", 1), ("ﬁne", "fine", 0), ("акме", "akme", 1), ("plain", "plain", 0))
+SPELLED = (("Acme", "Acme", 1), ("асmе", "acme", 1), ("Асmе", "Аcme", 0), ("Ácmé", "Acme", 1), ("ΑCΜΕ", "ACMΕ", 0), ("ﬁne", "fine", 0), ("акме", "aкмe", 1), ("plain", "plain", 0))
 #: Values in Base64 and what they hold.
 CODED = (("x aHR0cHM6Ly9hLmV4YW1wbGUveA y", "https://a.example/x", ""), ("L2dvLw==", "", "/go/"), ("aHR0cDovL2IuZXhhbXBsZS8_cQ==", "http://b.example/?q", "http://b.example/?q"), ("aHR0c!!", "", ""), ("nothing here", "", ""), ("aHR0cHM_____w", "", ""))
 #: Scripts without their comments, and whether https://a.example/p stands in them.

@@ -167,5 +167,7 @@ def test_repeated_links_are_counted_and_listed_once(spark):
 
 
 def test_folded_letters_count(spark):
-    df = spark.createDataFrame([("https://s.example/", "<p>Асmе and Ácme</p>")], "url string, html string")
+    df = spark.createDataFrame([("https://s.example/", "<p>асmе and Ácme, Асmе</p>")], "url string, html string")
     assert html.page_features(html.parse_pages(df)).first().mentions == 2
+    assert col(spark, ["вот Асmе", None, "ΑCΜΕ"], lambda c: text.fold(c, wide=True)) == ["bot Acme", None, "ACME"]
+    assert col(spark, ["вот", "ѐ"], text.fold) == ["вoт", "e"]
