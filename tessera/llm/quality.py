@@ -172,11 +172,13 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 2500, passage_words: int = 64) -> Model:
-    """Fit on at most per_class documents of each label, the first by a hash of their id, held-out ones left out.
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 2500, passage_words: int = 64, fit_passages: int = 256) -> Model:
+    """Fit on at most per_class documents of each label, the first by a hash of their id, held-out ones left out, and on at
+    most fit_passages passages of each, evenly spread over its text; scoring reads all of them.
 
     The classes are weighted by their share of all labels. Rows with a null id or label, and labels without a document,
-    take no part; a document that is labelled twice counts for both rows.
+    take no part; a document with both labels counts for each, and one that is labelled alike twice counts once. Of rows
+    that share an id the text with the smallest hash counts.
     """
     small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IN (0, 1)").filter(~held_out())
@@ -185,9 +187,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
     for value in (0, 1):
         part = known.filter(F.col("y") == value).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(per_class)
         first = part if first is None else first.union(part)
-    #: At most 2 * per_class rows, whatever the input.
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(first), "doc_id").select("doc_id", "y", "text")
-    rows = own.mapInArrow(_encode(passage_words), "doc_id long, y int, text binary").collect()
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(F.broadcast(first.distinct()), "doc_id")
+    #: Traits of passages, not texts, are shuffled; one row is left for each id and label, so at most 2 * per_class rows of at
+    #: most fit_passages passages reach the driver, whatever the input.
+    made = own.select("doc_id", "y", "text").mapInArrow(_encode(passage_words, fit_passages), "doc_id long, y int, text binary")
+    rows = made.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"], r["text"]))
     bags = [np.frombuffer(r["text"], np.float32).reshape(-1, TRAITS) for r in rows]
     y = np.array([r["y"] for r in rows], np.float64)
@@ -195,11 +199,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
     return fit(bags, y, np.array([per[int(v)] for v in y]), passage_words)
 
 
-def _encode(passage_words: int):
+def _spread(bag: np.ndarray, most: int) -> np.ndarray:
+    """At most so many rows, evenly spread."""
+    return bag if len(bag) <= most else bag[np.linspace(0, len(bag) - 1, most).astype(np.int64)]
+
+
+def _encode(passage_words: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passages = Passages(passage_words)
         for b in batches:
-            bags = pa.array([passages.of(t.as_py()).tobytes() for t in b.column(2)], pa.binary())
+            bags = pa.array([_spread(passages.of(t.as_py()), most).tobytes() for t in b.column(2)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), bags], ["doc_id", "y", "text"])
 
     return run

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -14,7 +15,7 @@ import public_tokenizers  # noqa: E402
 import tiktoken  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tessera.llm import byte_bpe, fim, queries, snapshots  # noqa: E402
+from tessera.llm import byte_bpe, fim, quality, queries, snapshots  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 ODD = [
@@ -194,3 +195,27 @@ def test_queries_equal_sql(spark, name):
     columns = sorted(df.columns)
     got = sorted(map(str, (tuple(r) for r in df.select(columns).collect())))
     assert got == sorted(map(str, con.execute(f"SELECT {', '.join(columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()))
+
+
+def test_classifier_is_fitted_on_a_bounded_sample(spark, monkeypatch):
+    """Ids that repeat very often, labels that repeat, and very long texts: what reaches the driver stays bounded."""
+    ids = [k for k in range(90) if zlib.crc32(str(k).encode()) % 3 != 1][:30]
+    rows = [(k, f"good words number {k} " * (1 + copy % 3), "clash") for k in ids for copy in range(40)] + [(ids[0], "long word " * 40_000, "clash")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y string")
+    labels = spark.createDataFrame([(k, k % 2) for k in ids] * 2 + [(ids[0], 1 - ids[0] % 2), (None, 1), (7777, 0), (ids[1], None)], "doc_id long, quality int")
+    seen = {}
+    fit = quality.fit
+
+    def noted(bags, y, weight, passage_words):
+        seen.update(n=len(bags), longest=max(map(len, bags)), y=y.tolist())
+        return fit(bags, y, weight, passage_words)
+
+    monkeypatch.setattr(quality, "fit", noted)
+    model = quality.train(docs, labels, passage_words=16, fit_passages=50)
+    assert seen["n"] == 31 and seen["longest"] <= 50
+    monkeypatch.setattr(quality, "fit", fit)
+    again = quality.train(docs.repartition(7), labels, passage_words=16, fit_passages=50)
+    one, other = (sorted((r.doc_id, round(r.score, 9)) for r in quality.score(docs.limit(50), m).collect()) for m in (model, again))
+    assert one == other
+    empty = quality.train(docs.limit(0), labels.limit(0))
+    assert {r.score for r in quality.score(docs.limit(3), empty).collect()} == {0.5} and quality.score(docs.limit(0), model).count() == 0
