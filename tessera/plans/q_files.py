@@ -284,6 +284,21 @@ def markdown_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select(F.regexp_extract("value", r"order (\d+)", 1).cast("long").alias("o_orderkey"), F.col("value").alias("line"))
 
 
+@query("""
+WITH RECURSIVE l AS (SELECT o_orderkey, sum(length('- ' || o_orderkey || ': ' || tail) + 1) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS upto FROM (SELECT o_orderkey, repeat(o_orderpriority, CAST(o_orderkey % 7 AS INT)) AS tail FROM orders)),
+p AS (SELECT 1 AS part, CAST(0 AS HUGEINT) AS base UNION ALL SELECT p.part + 1, max(l.upto) FROM p JOIN l ON l.upto <= p.base + 20000 GROUP BY p.part HAVING max(l.upto) < (SELECT max(upto) FROM l))
+SELECT o_orderkey, max(CAST(part AS BIGINT)) AS part FROM l JOIN p ON p.base < l.upto GROUP BY o_orderkey
+""")
+def markdown_part_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6: the file of each row of an ordered report of rows of uneven length, filled greedily over all partitions."""
+    path = scratch(spark, "markdown")
+    line = F.concat(F.lit("- "), F.col("o_orderkey").cast("string"), F.lit(": "), F.expr("repeat(o_orderpriority, CAST(o_orderkey % 7 AS INT))"))
+    own = read(spark, sf_dir, "orders").select("o_orderkey", line.alias("line")).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+    sinks.write_markdown_parts(own, path, "line", most=20_000)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)\.md", 1).cast("long")
+    return spark.read.text(path).select(F.regexp_extract("value", r"^- (\d+):", 1).cast("long").alias("o_orderkey"), number.alias("part"))
+
+
 @query("""
 WITH t AS (SELECT c_mktsegment AS segment, count(*) AS n FROM customer GROUP BY 1), l AS (SELECT 0 AS o, '# Customers' AS line UNION ALL SELECT 1, '## By segment' UNION ALL SELECT 2, '| segment | n |' UNION ALL SELECT 3, '| --- | --- |' UNION ALL SELECT 3 + row_number() OVER (ORDER BY segment), '| ' || segment || ' | ' || n || ' |' FROM t UNION ALL SELECT 90, '## Nothing' UNION ALL SELECT 91, 'none' UNION ALL SELECT 92, '## Shortened' UNION ALL SELECT 93, '| c_custkey |' UNION ALL SELECT 94, '| --- |' UNION ALL SELECT 95, '| ' || min(c_custkey) || ' |' FROM customer UNION ALL SELECT 96, (count(*) - 1) || ' more rows are not shown.' FROM customer)
 SELECT line FROM l

@@ -92,3 +92,30 @@ def test_workbooks(spark, tmp_path):
 def test_gzipped_is_the_same_each_time(spark):
     df = spark.createDataFrame([("abc",), (None,)], "t string").select(sinks.gzipped(F.col("t")).alias("a"), sinks.gzipped(F.col("t")).alias("b")).collect()
     assert gzip.decompress(df[0].a) == b"abc" and df[0].a == df[0].b and df[1].a is None
+
+
+@pytest.mark.parametrize("most, longest, partitions", [(1, 3, 3), (20, 12, 7), (100, 130, 5), (900, 40, 9), (100_000, 40, 4)])
+def test_markdown_parts_equal_one_pass(spark, tmp_path, most, longest, partitions):
+    r = random.Random(most)
+    lines = ["é" * r.randrange(longest) if r.random() < 0.9 else "" for _ in range(700)]
+    df = spark.createDataFrame([(k, x or None, "clash") for k, x in enumerate(lines)], "k int, line string, at string").repartitionByRange(partitions, "k").sortWithinPartitions("k")
+    n = sinks.write_markdown_parts(df, str(tmp_path / "report"), "line", most=most)
+    expected = list(sinks.markdown_parts(lines, most))
+    assert n == len(expected)
+    assert [(tmp_path / f"report/part-{k:03d}.md").read_text() for k in range(1, n + 1)] == expected
+    assert len([p for p in os.listdir(tmp_path / "report") if p.startswith("part-")]) == n
+
+
+def test_markdown_parts_of_empty_frames_and_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(k, "x" * 9) for k in range(50)], "k int, line string")
+    assert sinks.write_markdown_parts(df.filter("k < 0"), str(tmp_path / "none"), "line") == 0
+    holes = df.repartitionByRange(5, "k").sortWithinPartitions("k").filter("k < 8 OR k >= 45")  # partitions without rows
+    assert sinks.write_markdown_parts(holes, str(tmp_path / "holes"), "line", "p", 40) == 4
+    assert (tmp_path / "holes/p-002.md").read_text() == "\n".join(["x" * 9] * 4)
+
+
+def test_markdown_steps_stay_few_where_greedy_cuts_meet():
+    import numpy as np
+
+    steps = sinks._steps(np.array([random.Random(k).randrange(1, 200) for k in range(20_000)]), 10_000)
+    assert len(steps[0]) < 1000 and steps[0][-1] == 10_000
