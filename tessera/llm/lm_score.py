@@ -2,8 +2,7 @@
 
 The target model is counted over the documents chosen by labels, the background model over all documents. Both are
 interpolated bigram models with the same vocabulary and the same smoothing. differences() counts every word and every
-pair of words of the corpus, in parts that grow in number with the corpus; fit() and score() hold models of a size that
-the caller sets (the most frequent words, everything else one unknown word, and hashed bigram buckets).
+pair of words of the corpus, in parts that grow in number with the corpus.
 """
 
 from __future__ import annotations
@@ -18,85 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import U64, WordHashes, broadcast_if_small, cut, mix, small_batches, words_of
+from tessera.llm.common import U64, WordHashes, broadcast_if_small, mix, small_batches, words_of
 
 UNIGRAM_SHARE = 0.4
 SMOOTHING = 0.5
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, target -> word (hash), n, n_target; summed within batches."""
-    hashes = WordHashes()
-    for b in batches:
-        parts, marks = [], []
-        for text, target in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            h = hashes.of(words_of(text.as_py()))
-            parts.append(h)
-            marks.append(np.full(h.size, bool(target)))
-        if not sum(p.size for p in parts):
-            continue
-        word, at = np.unique(np.concatenate(parts), return_inverse=True)
-        mark = np.concatenate(marks)
-        n, t = np.bincount(at, minlength=word.size), np.bincount(at[mark], minlength=word.size)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n), pa.array(t)], ["word", "n", "n_target"])
-
-
-def _numbered(vocabulary: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places in the sorted vocabulary; words outside it are number len(vocabulary)."""
-    at = np.searchsorted(vocabulary, h)
-    at[at == vocabulary.size] = 0
-    return np.where(vocabulary[at] == h, at, vocabulary.size) if vocabulary.size else np.zeros(h.size, np.int64)
-
-
-def bucket(first: np.ndarray, second: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix((first.astype(U64) << U64(32)) | second.astype(U64)) % U64(buckets)).astype(np.int64)
-
-
-def _pair_counts(vocabulary: np.ndarray, buckets: int):
-    """text, target -> bucket, n, n_target; summed over the whole partition in two arrays of fixed size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        n, t = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-        for b in batches:
-            for text, target in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                w = _numbered(vocabulary, hashes.of(words_of(text.as_py())))
-                if w.size < 2:
-                    continue
-                at, k = np.unique(bucket(w[:-1], w[1:], buckets), return_counts=True)
-                n[at] += k
-                if target:
-                    t[at] += k
-        for low in range(0, buckets, 100_000):
-            at = np.flatnonzero(n[low : low + 100_000]) + low
-            if at.size:
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(t[at])], ["bucket", "n", "n_target"])
-
-    return run
-
-
-class Models:
-    """Losses of both models for word sequences. Arrays: words (V + 1, the unknown word last) and bigram buckets."""
-
-    def __init__(self, vocabulary: np.ndarray, words: np.ndarray, pairs: np.ndarray):
-        self.vocabulary, self.words, self.pairs = vocabulary, words, pairs
-        self.totals = words.sum(axis=1, keepdims=True)
-
-    def losses(self, h: np.ndarray) -> np.ndarray:
-        """Mean negative log probability per word: target, background."""
-        w = _numbered(self.vocabulary, h)
-        out = np.empty(2)
-        at = bucket(w[:-1], w[1:], self.pairs.shape[1])
-        for m in range(2):
-            one = (self.words[m, w] + SMOOTHING) / (self.totals[m] + SMOOTHING * self.words.shape[1])
-            context = self.words[m, w[:-1]]
-            two = np.divide(np.minimum(self.pairs[m, at], context), context, out=np.zeros(context.size), where=context > 0)
-            share = np.where(context > 0, UNIGRAM_SHARE, 1.0)
-            p = np.append(one[:1], share * one[1:] + (1 - share) * two)
-            out[m] = -np.log(p).mean()
-        return out
-
-
 def _marked(docs: DataFrame, targets: DataFrame, broadcast_rows: int) -> DataFrame:
     """doc_id, text (binary), target (true for the target documents, else null) of every row of docs."""
     chosen = targets.select(F.col("doc_id").cast("long").alias("_id")).filter("_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
@@ -104,67 +30,6 @@ def _marked(docs: DataFrame, targets: DataFrame, broadcast_rows: int) -> DataFra
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(chosen, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "target")
 
 
-def fit(docs: DataFrame, targets: DataFrame, vocabulary_size: int, buckets: int, broadcast_rows: int = 200_000) -> Models:
-    """Count both models over all documents. targets: doc_id of the target documents.
-
-    What comes to the driver has the size that the caller sets: at most vocabulary_size words (of equal frequencies, the
-    smallest hashes) and one count pair for each bucket. differences() has no such bounds.
-    """
-    small_batches(docs.sparkSession)
-    marked = _marked(docs, targets, broadcast_rows).select("text", "target")
-    counts = marked.mapInArrow(_word_counts, "word long, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    counts = cut(counts)
-    #: The most frequent words that fit, by steps of frequency (an eighth of a doubling), so that no task sorts
-    #: candidates of all partitions; the step that does not fit is filled up by frequency and hash.
-    step = F.floor(F.log2("n") * 8)
-    sizes = {r["step"]: r["n"] for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()}
-    partial, room = None, vocabulary_size
-    for k in sorted(sizes, reverse=True):
-        if sizes[k] > room:
-            partial = k
-            break
-        room -= sizes[k]
-    top = (counts if partial is None else counts.filter(step > partial)).toArrow()
-    if partial is not None and room:
-        top = pa.concat_tables([top, counts.filter(step == partial).orderBy(F.desc("n"), "word").limit(room).toArrow()])
-    whole = counts.agg(F.sum("n"), F.sum("n_target")).first()
-    vocabulary = top["word"].to_numpy().astype(np.int64).view(U64)
-    order = np.argsort(vocabulary)
-    vocabulary = vocabulary[order]
-    words = np.zeros((2, vocabulary.size + 1))
-    words[0, :-1], words[1, :-1] = top["n_target"].to_numpy()[order], top["n"].to_numpy()[order]
-    words[:, -1] = np.array([whole[1] or 0, whole[0] or 0]) - words[:, :-1].sum(axis=1)
-    pairs = np.zeros((2, buckets))
-    found = marked.mapInArrow(_pair_counts(vocabulary, buckets), "bucket long, n long, n_target long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
-    at = found["bucket"].to_numpy()
-    pairs[0, at], pairs[1, at] = found["n_target"].to_numpy(), found["n"].to_numpy()
-    return Models(vocabulary, words.astype(np.float32), pairs.astype(np.float32))
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss, score (target loss less background loss per word; lower is nearer
-    the target). A text without words has n_words 0 and nulls. Repeated rows are scored alike; an empty table gives no
-    rows; other columns are not looked at."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast((models.vocabulary, models.words, models.pairs))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, hashes = Models(*shared.value), WordHashes()
-        for b in batches:
-            sizes, losses = [], []
-            for text in b.column(1):
-                h = hashes.of(words_of(text.as_py()))
-                sizes.append(h.size)
-                losses.append(own.losses(h) if h.size else [None, None])
-            t, g = [x[0] for x in losses], [x[1] for x in losses]
-            d = [None if x is None else x - y for x, y in zip(t, g, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(t, pa.float64()), pa.array(g, pa.float64()), pa.array(d, pa.float64())], ["doc_id", "n_words", "target_loss", "background_loss", "score"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, target_loss double, background_loss double, score double")
-
-
 def _packed(x: np.ndarray) -> bytes:
     """An array byte plane by byte plane, compressed."""
     return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(x.size, x.itemsize).T).tobytes(), 1)
@@ -322,8 +187,11 @@ def _losses(parts: int):
 
 
 def differences(docs: DataFrame, targets: DataFrame, block_words: int = 1 << 20, part_bytes: int = 8_000_000, broadcast_rows: int = 200_000) -> DataFrame:
-    """The columns of score() for models that count every word and every pair of words of docs. targets: doc_id of the
-    target documents.
+    """doc_id, n_words, target_loss, background_loss, score (target loss less background loss per word; lower is nearer
+    the target) by models that count every word and every pair of words of docs. targets: doc_id of the target documents.
+
+    A text without words (null, empty or blank) has n_words 0 and nulls, a null doc_id is no target. Repeated rows count
+    and are scored each; an empty table gives no rows; other columns are not looked at, whatever their names.
 
     Words and pairs are known by 64-bit hashes. A task counts blocks of about block_words words; the counts of a block are
     dealt by hash to parts (one for each part_bytes of text), where they are summed over all blocks, and come back to the

@@ -330,40 +330,6 @@ def test_packing_whole_ids(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_lm_score_equals_brute_force(spark):
-    r = random.Random(6)
-    docs = [(k, " ".join(r.choice("abcdefgh") + r.choice("xyz") for _ in range(r.randrange(0, 30)))) for k in range(60)] + [(100, None), (100, "ax ax")]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    target = spark.createDataFrame([(k,) for k in range(0, 60, 3)] + [(None,), (0,)], "doc_id long")
-    models = lm_score.fit(df, target, vocabulary_size=1000, buckets=1 << 12)
-    got = {(r.doc_id, r.n_words): r for r in lm_score.score(df, models).collect()}
-    seqs = [((t or "").lower().split(), i) for i, t in docs]
-    uni, bi = [Counter(), Counter()], [Counter(), Counter()]
-    import xxhash
-
-    number = {w: k for k, w in enumerate(sorted({w for s, _ in seqs for w in s}, key=lambda w: xxhash.xxh64_intdigest(w.encode())))}
-    bucket = lambda a, b: int(lm_score.bucket(np.array([number[a]]), np.array([number[b]]), 1 << 12)[0])
-    for s, i in seqs:
-        for m in ((0, 1) if i % 3 == 0 and i < 60 else (1,)):
-            uni[m].update(s)
-            bi[m].update(bucket(a, b) for a, b in zip(s, s[1:], strict=False))
-    size = len(number) + 1
-    for s, i in seqs:
-        row = got[(i, len(s))]
-        if not s:
-            assert row.score is None
-            continue
-        loss = []
-        for m in (0, 1):
-            one = lambda w, m=m: (uni[m][w] + 0.5) / (sum(uni[m].values()) + 0.5 * size)
-            p = [one(s[0])]
-            for a, b in zip(s, s[1:], strict=False):
-                p.append(0.4 * one(b) + 0.6 * min(bi[m][bucket(a, b)], uni[m][a]) / uni[m][a] if uni[m][a] else one(b))
-            loss.append(-np.log(p).mean())
-        assert row.target_loss == pytest.approx(loss[0], rel=1e-5) and row.background_loss == pytest.approx(loss[1], rel=1e-5)
-        assert row.score == pytest.approx(loss[0] - loss[1], rel=1e-4, abs=1e-6)
-
-
 def test_lm_query_counts_every_word_and_pair(spark, tmp_path):
     r = random.Random(7)
     docs = [(k, " ".join(r.choice("abcd") if r.random() < 0.3 else "w%d" % r.randrange(90_000) for _ in range(600))) for k in range(300)] + [(None, "a b"), (400, None), (5, "a b a"), (401, "")]
@@ -397,9 +363,19 @@ def test_lm_query_counts_every_word_and_pair(spark, tmp_path):
             assert x.score == pytest.approx(target - background, rel=1e-9, abs=1e-12)
 
 
-def test_lm_vocabulary_is_filled(spark):
-    df = spark.createDataFrame([(1, " ".join("w%d" % k for k in range(50)) + " w0 w0 w1")], "doc_id long, text string")
-    assert [lm_score.fit(df, df, vocabulary_size=n, buckets=8).vocabulary.size for n in (1, 2, 20, 50, 60)] == [1, 2, 20, 50, 50]
+def test_lm_score_of_odd_rows(spark):
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame([(1, "a b a b"), (1, "a b a b"), (2, "c d"), (3, ""), (4, None), (None, "a b"), (5, " \n")], schema)
+    target = spark.createDataFrame([(1,), (None,)], "doc_id long")
+    plain = sorted(map(str, lm_score.differences(docs, target).collect()))
+    assert len(plain) == 7
+    clash = docs.selectExpr("*", "1 AS target", "2 AS _id", "'x' AS block", "3 AS part", "'y' AS ids", "0 AS n_words", "null AS score")
+    assert sorted(map(str, lm_score.differences(clash, target.selectExpr("*", "'t' AS text", "1 AS target")).collect())) == plain
+    score = {r.doc_id: r.score for r in lm_score.differences(docs, target).collect()}
+    assert score[1] < 0 < score[2] and score[3] is score[4] is score[5] is None
+    assert lm_score.differences(docs.limit(0), target).count() == 0
+    none = lm_score.differences(docs, target.limit(0)).collect()  # without targets every word is equally likely there
+    assert len(none) == 7 and all((r.score is None) == (r.n_words == 0) for r in none)
 
 
 def test_licenses_equal_brute_force(spark):
