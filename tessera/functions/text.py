@@ -17,16 +17,22 @@ LOOKALIKES = {
 }
 #: More letters of both scripts that look like Latin ones, for names that are spelt with any of them.
 MORE_LOOKALIKES = dict(zip("вкмнртухακμνρυχАКНРУХΕΚΝΡΥΧЅ", "bkmhptyxakmvpuxAKHPYXEKNPYXS", strict=True))
-_LATIN, _WIDE = str.maketrans(LOOKALIKES), str.maketrans(LOOKALIKES | MORE_LOOKALIKES)
+_WIDE = LOOKALIKES | MORE_LOOKALIKES
 
 
 def folded(text: str, wide: bool = False) -> str:
-    """TX1 for one text."""
+    """TX1 for one text. Only its different letters are looked at one by one; Latin letters are not replaced again."""
     import unicodedata
 
     if text.isascii():
         return text
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).translate(_WIDE if wide else _LATIN)
+    text, table = unicodedata.normalize("NFKD", text), _WIDE if wide else LOOKALIKES
+    for c in set(text):
+        if not c.isascii():
+            latin = "" if unicodedata.combining(c) else table.get(c, c)
+            if latin != c:
+                text = text.replace(c, latin)
+    return text
 
 
 def fold(text: Column, wide: bool = False) -> Column:

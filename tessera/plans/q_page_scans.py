@@ -41,7 +41,7 @@ def landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page, parsed, with its markup and the way it was reached: start_url, final_url, redirected, hops."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     before = pages.groupBy((F.col("page_id") + 1).alias("page_id")).agg(F.min("url").alias("before"))
-    seen = H.parse_pages(pages.withColumn("markup", F.col("html")), "html", "url").withColumnRenamed("markup", "html")
+    seen = H.parse_pages(pages.withColumn("markup", F.col("html")), "html", "url", ("title", "text", "names", "operator_names")).withColumnRenamed("markup", "html")
     reached = seen.join(before, "page_id", "left").withColumns({"start_url": F.coalesce("before", "url"), "final_url": F.col("url")})
     moved = F.col("start_url").startswith("http:") & F.col("final_url").startswith("https:")
     return reached.withColumns({"redirected": moved, "hops": F.when(moved, F.array("start_url")), "domain": U.url_host(F.col("start_url"))}).drop("before")
@@ -153,7 +153,7 @@ def walls(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = F.concat(F.lit("<!--"), turn(MARKS), F.lit("--></head>"))
     titled = F.when(F.col("page_id") % MOMENT == 0, F.regexp_replace("html", "<title>", "<title>Just a moment ")).otherwise(F.col("html"))
     pages = read(spark, sf_dir, "pages").select("page_id", "url", F.replace(titled, F.lit("</head>"), mark).alias("html"))
-    seen = H.parse_pages(pages.withColumn("markup", F.col("html")), "html", "url")
+    seen = H.parse_pages(pages.withColumn("markup", F.col("html")), "html", "url", ("title", "text", "n_links", "scripts"))
     wall = decisions.challenge_kind(F.col("title"), F.col("markup"), F.col("text"))
     protected = decisions.protection(turn(STATUSES), turn(SERVERS), F.lit(None).cast("string"), F.col("markup"))
     return seen.withColumns({"wall": wall, "protected": protected, "status": turn(STATUSES)})
