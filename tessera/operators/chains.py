@@ -15,10 +15,11 @@ def jumps(hops: DataFrame, steps: int) -> DataFrame:
     on) and stop (why it does not: error or no_redirect), by doubling: each round puts the path of a path's last URL behind
     it, so that steps take log2(steps) joins. A path ends before the first URL that it holds already.
 
-    hops: url, status, location; the smallest location of several. A URL that is not captured, or answered with 400 or more,
-    is an error.
+    hops: url, status, location; the smallest location of several, and none only where no row names one (nulls come last,
+    also for the status). A URL that is not captured, or answered with 400 or more, is an error.
     """
-    one = hops.filter("url IS NOT NULL").groupBy("url").agg(F.min(F.struct("location", "status")).alias("s"))
+    row = F.struct(F.col("location").isNull().alias("_l"), "location", F.col("status").isNull().alias("_s"), "status")
+    one = hops.filter("url IS NOT NULL").groupBy("url").agg(F.min(row).alias("s"))
     failed = F.coalesce(F.col("s.status") >= 400, F.lit(False))
     stays = F.col("s.location").isNull() | (F.col("s.location") == F.col("url"))
     nothing = F.array().cast("array<string>")

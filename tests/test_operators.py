@@ -201,6 +201,12 @@ def test_follow(spark):
     assert rows(chains.move_targets(moves, spark.createDataFrame([("b",)], "domain string"))) == [("new", "mono")]
 
 
+def test_a_url_with_several_hops_leads_on_if_one_does(spark):
+    hops = [("http://a.example/", 302, None), ("http://a.example/", 302, "http://b.example/"), ("http://b.example/", None, "http://c.example/"), ("http://b.example/", 404, "http://c.example/"), ("http://c.example/", 200, None)]
+    got = chains.follow(spark.createDataFrame([("http://a.example/",)], "url string"), spark.createDataFrame(hops, "url string, status int, location string")).collect()
+    assert [(r.final_url, r.stop) for r in got] == [("http://b.example/", "error")]
+
+
 @pytest.mark.parametrize("most", [1, 2, 5, 8])
 def test_chains_equal_single_steps(spark, most):
     r = random.Random(most)
