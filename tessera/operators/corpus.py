@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +55,21 @@ def host_citations(rows: DataFrame, group: str, top: int = 10) -> DataFrame:
 
 
 def host_rollup(pool: DataFrame, pages: DataFrame, tones: DataFrame, metrics: DataFrame) -> DataFrame:
-    """AG7, JN7: per host its URLs, citations, top places, usable pages and flags, with the host's metrics."""
-    j = pool.join(pages.drop("host"), "url", "left").join(tones, "url", "left").withColumn("host", U.loc_host(F.col("url")))
-    per = j.groupBy("host").agg(F.count("*").alias("urls"), F.sum(F.size("cited")).alias("citations"), F.count_if(F.size("cited") > 0).alias("cited_urls"), F.count_if(F.size("top10") > 0).alias("top_urls"), F.count_if(F.coalesce(F.col("words") > 50, F.lit(False))).alias("usable"), F.array_sort(F.collect_set("tone")).alias("tones"))
+    """AG7, JN7: per host its URLs, citations, top places, usable pages and flags, with the host's metrics.
+
+    The tables may hold a URL in several rows: each row of the pool, and each page of a URL in the pool, counts once. Rows
+    meet in one aggregate by URL, not in joins, which would count every row of one table with every row of another.
+    """
+    here, none = F.lit(1), F.lit(0)
+    parts = [
+        pool.select("url", here.alias("_pool"), F.size("cited").alias("_c"), (F.size("cited") > 0).cast("int").alias("_cited"), (F.size("top10") > 0).cast("int").alias("_top"), none.alias("_usable"), F.lit(None).cast("string").alias("_tone")),
+        pages.select("url", none, none, none, none, F.coalesce(F.col("words") > 50, F.lit(False)).cast("int"), F.lit(None).cast("string")),
+        tones.select("url", none, none, none, none, none, F.col("tone")),
+    ]
+    by_url = reduce(DataFrame.union, parts).groupBy("url").agg(F.max("_pool").alias("_pool"), *[F.sum(c).alias(c) for c in ("_c", "_cited", "_top", "_usable")], F.array_sort(F.collect_set("_tone")).alias("_tones"))
+    known = by_url.filter("_pool = 1").withColumn("host", U.loc_host(F.col("url")))
+    tone_sets = F.array_sort(F.array_distinct(F.flatten(F.collect_set("_tones"))))
+    per = known.groupBy("host").agg(F.count("url").alias("urls"), F.sum("_c").alias("citations"), F.sum("_cited").alias("cited_urls"), F.sum("_top").alias("top_urls"), F.sum("_usable").alias("usable"), tone_sets.alias("tones"))
     return per.join(metrics.select(F.col("host").alias("_h"), "domain_rating", "refdomains"), F.col("host") == F.col("_h"), "left").drop("_h")
 
 

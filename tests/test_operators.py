@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import DEFAULT
-from tessera.operators import calibrate, chains, decisions, evidence, groups, keyed, sites, tables
+from tessera.operators import calibrate, chains, corpus, decisions, evidence, groups, keyed, sites, tables
 from tessera.operators.cascade import Rule, Weight, first_match, tags, weighted_score
 from tessera.sources import readers, sinks
 from tessera.streaming import latest as stream
@@ -207,6 +207,15 @@ def test_a_url_with_several_hops_leads_on_if_one_does(spark):
     assert [(r.final_url, r.stop) for r in got] == [("http://b.example/", "error")]
 
 
+def test_host_rollup_counts_repeated_urls_once_a_row(spark):
+    u, v, far = "https://a.example/1", "https://a.example/2", "https://b.example/"
+    pool = spark.createDataFrame([(u, ["q"], ["q"]), (u, ["q", "r"], []), (v, [], [])], "url string, cited array<string>, top10 array<string>")
+    pages = spark.createDataFrame([(u, 60, "x"), (u, 70, "x"), (u, 5, "x"), (v, None, "x"), (far, 90, "x")], "url string, words int, host string")
+    tones = spark.createDataFrame([(u, "good"), (u, "bad"), (v, "good"), (far, "odd")], "url string, tone string")
+    metrics = spark.createDataFrame([("a.example", 7, 1)], "host string, domain_rating int, refdomains int")
+    assert rows(corpus.host_rollup(pool, pages, tones, metrics)) == [("a.example", 2, 3, 2, 1, 2, ["bad", "good"], 7, 1)]
+
+
 @pytest.mark.parametrize("most", [1, 2, 5, 8])
 def test_chains_equal_single_steps(spark, most):
     r = random.Random(most)
