@@ -134,22 +134,31 @@ def random_host(host: Column, config: Config = DEFAULT) -> Column:
     return host.contains(config.ref_marker) | host.rlike(config.ref_suffix) | label.rlike(r"\d") | F.coalesce(few, F.lit(False))
 
 
-def looks_tracker(url: Column, config: Config = DEFAULT) -> Column:
-    """UR11: a random host asked for more than its root, a short code with a capital or digit, or tracker parameters."""
-    p, q = path(url), query(url)
+def parts(url: Column) -> Column:
+    """Host name, path and query as a struct, for rules that ask for them many times: as a column of its own a URL is split
+    once, and what Spark compiles of the rules stays small."""
+    return F.struct(hostname(url).alias("host"), path(url).alias("path"), query(url).alias("query"))
+
+
+def looks_tracker(url: Column, config: Config = DEFAULT, split: Column | None = None) -> Column:
+    """UR11: a random host asked for more than its root, a short code with a capital or digit, or tracker parameters.
+
+    split: the URL's parts, if there is a column of them."""
+    host, p, q = (hostname(url), path(url), query(url)) if split is None else (split["host"], split["path"], split["query"])
     rooted = p.isin("", "/") & (q == "")
     code = p.rlike(r"^/[A-Za-z0-9_-]{4,12}/?$") & p.rlike(r"[A-Z0-9]")
-    return (random_host(hostname(url), config) & ~rooted) | code | has_affiliate_params(url, config) | has_tracker_params(url, config)
+    return (random_host(host, config) & ~rooted) | code | q.rlike(config.affiliate_params) | q.rlike(config.tracker_params)
 
 
-def classify_ref(url: Column, site: Column, config: Config = DEFAULT) -> Column:
+def classify_ref(url: Column, site: Column, config: Config = DEFAULT, split: Column | None = None) -> Column:
     """UR13, HP3: known_ref_host, ref, brand_host or null, in the order of the guards.
 
     A URL that is not http(s), has no host or lies inside the site is none; a registered host is one whatever its path;
     platforms, shorteners and hosts that look like words are none; then short codes with a capital (title-case words and
-    longer paths only on referral hosts), then the target's own hosts with a partner parameter.
+    longer paths only on referral hosts), then the target's own hosts with a partner parameter. split: the URL's parts, if
+    there is a column of them.
     """
-    host, p = hostname(url), path(url)
+    host, p, q = (hostname(url), path(url), query(url)) if split is None else (split["host"], split["path"], split["query"])
     code, long_code, capital = p.rlike(r"^/[A-Za-z0-9]{4}/?$"), p.rlike(r"^/[A-Za-z0-9]{4}/"), F.substring(p, 2, 4).rlike("[A-Z]")
     word, on_ref = F.substring(p, 2, 4).rlike("^[A-Z][a-z]{3}$"), host.rlike(config.ref_suffix)
     known = host.isin(list(config.ref_hosts)) if config.ref_hosts else F.lit(False)
@@ -160,7 +169,7 @@ def classify_ref(url: Column, site: Column, config: Config = DEFAULT) -> Column:
         .when(host.rlike(config.platform_hosts) | host.rlike(config.not_ref_hosts) | ~random_host(host, config), none)
         .when(code & capital & (~word | on_ref), F.lit("ref"))
         .when(long_code & capital & on_ref, F.lit("ref"))
-        .when(host.contains(config.ref_marker) & query(url).rlike(config.brand_params), F.lit("brand_host"))
+        .when(host.contains(config.ref_marker) & q.rlike(config.brand_params), F.lit("brand_host"))
     )
 
 

@@ -52,20 +52,38 @@ def _with_tracker(df: DataFrame, host: Column, trackers: DataFrame) -> DataFrame
     return df.withColumn("_h", host).join(known, F.col("_h") == F.col("_t"), "left").withColumn("_tracker", F.col("_t").isNotNull()).drop("_h", "_t")
 
 
+#: Columns of a URL's parts that several rules ask for: host name, path and query; the host without www; the kind of referral
+#: link and whether it is the target's.
+_PARTS = ("_parts", "_host", "_ref", "_brand_ref")
+
+
+def _with_parts(df: DataFrame, url: Column) -> DataFrame:
+    """Columns of a URL's parts, each made once: rules that are written over the URL itself repeat its patterns until the code
+    of a row is larger than what the JVM compiles."""
+    df = df.withColumn("_parts", U.parts(url))
+    return df.withColumn("_host", F.regexp_replace(F.col("_parts.host"), r"^www\.", ""))
+
+
+def _with_ref(df: DataFrame, url: Column, config: Config) -> DataFrame:
+    """UR13, UR14 of a URL whose parts are there, as of U.brand_ref."""
+    df = df.withColumn("_ref", U.classify_ref(url, F.col("domain"), config, F.col("_parts")))
+    return df.withColumn("_brand_ref", F.coalesce(F.col("_ref").isin("known_ref_host", "brand_host") | ((F.col("_ref") == "ref") & U.ref_host(F.col("_host"), config)), F.lit(False)))
+
+
 def destination_verdicts(dests: DataFrame, trackers: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """DC14, JN12: adds side (target, other, plain, unverified or none), name and side_why to destinations.
 
     dests: domain, ordinal, url, final_url, via, kind, brand, evidence, pid, ad_route, hops; live, if there: whether a URL
     found in a script stands outside its comments. trackers: host, any number of them.
     """
-    df = _with_tracker(dests, U.url_host(_text("url")), trackers)
     url, final, via, kind, evidence, brand = _text("url"), _text("final_url"), _text("via"), F.col("kind"), _text("evidence"), _text("brand")
-    host, to = U.url_host(url), U.url_host(final)
-    coded = U.is_coded(F.concat(F.array(url, final), _hops()), config)
-    passed = U.via_tracker(url, final, _hops())
+    df = _with_tracker(_with_ref(_with_parts(dests, url), url, config), F.col("_host"), trackers)
+    df = df.withColumns({"_to": U.url_host(final), "_coded": U.is_coded(F.concat(F.array(url, final), _hops()), config), "_passed": U.via_tracker(url, final, _hops())})
+    df = df.withColumn("_by_host", brand_of_host(F.col("_to"), config))
+    host, to, coded, passed = F.col("_host"), F.col("_to"), F.col("_coded"), F.col("_passed")
     live = F.coalesce("live", F.lit(True)) if "live" in dests.columns else F.lit(True)
     script, trade, open_ = via.startswith("js:"), kind.isin(*TRADE_KINDS), kind.isin(*OPEN_KINDS)
-    known, by_host = ~brand.isin("", "?"), brand_of_host(to, config)
+    known, by_host = ~brand.isin("", "?"), F.col("_by_host")
     operator = ~by_host.isin("", config.brand_name)
     business = ~to.rlike(config.not_trade_hosts)
     end = F.coalesce(F.nullif(to, F.lit("")), host)
@@ -73,12 +91,12 @@ def destination_verdicts(dests: DataFrame, trackers: DataFrame, config: Config =
         Rule("none", via == "home_redirect", "own move"),
         Rule("none", U.path_shapes(url)["bare_gate"] & script, "bare gate"),
         Rule("none", F.lower(F.regexp_replace(url, r"\?.*$", "")).endswith(".apk") | (kind == "download") | evidence.startswith("download"), "download"),
-        Rule("none", kind.isin(*OPEN_KINDS, "off_topic") & host.rlike(config.brand) & (U.query(url) == ""), "sister site"),
+        Rule("none", kind.isin(*OPEN_KINDS, "off_topic") & host.rlike(config.brand) & (F.col("_parts.query") == ""), "sister site"),
         Rule("none", via.startswith("js:data-modal"), "demo window"),
         Rule("none", url.contains(ESCAPED), "escaped copy"),
         Rule("none", script & trade & ~live, "comment"),
         Rule("target", F.col("_tracker") & ~trade, "tracker"),
-        Rule("target", U.brand_ref(url, F.col("domain"), config), "referral"),
+        Rule("target", F.col("_brand_ref"), "referral"),
         Rule("target", (kind == "target") & ((_text("pid") != "") | coded | (passed & (evidence != "name_only"))), "landing"),
         Rule("none", kind == "target", "plain landing"),
         Rule("other", trade & (coded | passed), "route"),
@@ -103,18 +121,20 @@ def destination_verdicts(dests: DataFrame, trackers: DataFrame, config: Config =
         .when(why == "coded", end)
         .otherwise("")
     )
-    return out.withColumn("name", name).drop("_tracker", "side_rule")
+    return out.withColumn("name", name).drop("_tracker", "side_rule", "_to", "_coded", "_passed", "_by_host", *_PARTS)
 
 
 def referral_verdicts(rows: DataFrame, trackers: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """DC14: side, name of a site's referral row (domain, ref_url): the owner's registry, the target, or a tracker."""
     ref = _text("ref_url")
-    df = _with_tracker(rows, U.url_host(ref), trackers)
+    df = _with_tracker(_with_parts(rows, ref), F.col("_host"), trackers)
     own = U.ref_key(ref).isin(list(config.own_refs)) if config.own_refs else F.lit(False)
-    target = U.brand_ref(ref, F.col("domain"), config) | U.url_host(ref).rlike(config.brand)
-    side = F.when(own, "ours").when(target, "target").when(U.looks_tracker(ref, config), F.when(F.col("_tracker"), "target").otherwise("other")).otherwise("none")
-    name = F.when(side.isin("ours", "target"), config.brand_name).when(side == "other", F.coalesce(F.nullif(brand_of_host(U.url_host(ref), config), F.lit("")), F.concat(F.lit("via "), U.url_host(ref)))).otherwise("")
-    return df.withColumn("side", side).withColumn("name", name).drop("_tracker")
+    df = _with_ref(df, ref, config).withColumn("_sends", U.looks_tracker(ref, config, F.col("_parts")))
+    target = F.col("_brand_ref") | F.col("_host").rlike(config.brand)
+    df = df.withColumn("side", F.when(own, "ours").when(target, "target").when(F.col("_sends"), F.when(F.col("_tracker"), "target").otherwise("other")).otherwise("none"))
+    df = df.withColumn("_named", brand_of_host(F.col("_host"), config))
+    name = F.when(F.col("side").isin("ours", "target"), config.brand_name).when(F.col("side") == "other", F.coalesce(F.nullif("_named", F.lit("")), F.concat(F.lit("via "), F.col("_host")))).otherwise("")
+    return df.withColumn("name", name).drop("_tracker", "_sends", "_named", *_PARTS)
 
 
 def chain_verdicts(chains: DataFrame, trackers: DataFrame, titled: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -155,15 +175,18 @@ def link_verdicts(links: DataFrame, trackers: DataFrame, config: Config = DEFAUL
     """DC14: side, name of referral-like links of a page (domain, ordinal, url, host, brand, ref_kind, scanned: whether a
     scan followed the site's links; live as for destinations)."""
     url, host, brand, kind = _text("url"), _text("host"), _text("brand"), _text("ref_kind")
-    df = _with_tracker(links, F.regexp_replace(F.coalesce(F.nullif(host, F.lit("")), U.url_host(url)), r"^www\.", ""), trackers)
+    df = _with_ref(_with_parts(links, url), url, config)
+    df = _with_tracker(df, F.regexp_replace(F.coalesce(F.nullif(host, F.lit("")), F.col("_host")), r"^www\.", ""), trackers)
     own = U.ref_key(url).isin(list(config.own_refs)) if config.own_refs else F.lit(False)
     live = F.coalesce("live", F.lit(True)) if "live" in links.columns else F.lit(True)
-    params = _marked(url, config) | U.query(url).rlike(config.code_params)
+    q = F.col("_parts.query")
+    df = df.withColumn("_params", q.rlike(config.affiliate_params) | q.rlike(config.tracker_params) | q.rlike(config.code_params))
+    params = F.col("_params")
     rules = [
         Rule("none", url.contains(ESCAPED) | ~live, "copy"),
         Rule("target", F.col("_tracker"), "tracker"),
         Rule("ours", own, "registry"),
-        Rule("target", (brand == config.brand_name) | ((kind != "") & U.brand_ref(url, F.col("domain"), config)), "referral"),
+        Rule("target", (brand == config.brand_name) | ((kind != "") & F.col("_brand_ref")), "referral"),
         Rule("other", kind != "", "shape"),
         Rule("other", brand != "", "named"),
         Rule("none", params & (host.rlike(config.brand) | U.ref_host(host, config)), "own host"),
@@ -173,7 +196,7 @@ def link_verdicts(links: DataFrame, trackers: DataFrame, config: Config = DEFAUL
     out = first_match(df, rules, "none", "side")
     why = F.col("side_why")
     name = F.when(F.col("side").isin("target", "ours"), config.brand_name).when(why == "shape", F.concat(F.lit("via "), host)).when(why == "named", brand).when(why == "coded", F.coalesce(F.nullif(host, F.lit("")), F.lit("?"))).otherwise("")
-    return out.withColumn("name", name).drop("_tracker", "side_rule")
+    return out.withColumn("name", name).drop("_tracker", "side_rule", "_params", *_PARTS)
 
 
 def verdict_rows(destinations: DataFrame, referrals: DataFrame | None = None, chains: DataFrame | None = None, links: DataFrame | None = None) -> DataFrame:
@@ -200,15 +223,17 @@ def ads(verdicts: DataFrame, incomplete: DataFrame | None = None, most: int = 6)
     if incomplete is not None:
         more = incomplete.select("domain").distinct()
         v = v.unionByName(more.select("domain", F.lit(0).alias("source"), F.lit(0).cast("long").alias("ordinal"), F.lit("unverified").alias("side"), F.lit("").alias("name"), F.lit("").alias("url"), F.lit("").alias("final_url")))
+    #: The verdicts are gone through once: rows of a domain with the same side and name fall together before the shuffle.
     side = F.when(F.col("side") == "other", 1).when(F.col("side") == "target", 2).when(F.col("side") == "plain", 3)
-    first = v.withColumn("_side", side).filter("_side IS NOT NULL AND url <> ''").groupBy("domain", "_side", "side", "name").agg(F.min(F.struct("source", "ordinal", "url", "final_url")).alias("f"))
-    ranked = first.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("_side", F.col("f.source").alias("source"), F.col("f.ordinal").alias("ordinal"), "side", "name", F.col("f.url").alias("url"), F.col("f.final_url").alias("final")))).alias("l"))
-    shown = F.transform(F.slice("l", 1, most), lambda x: F.array(x["side"], x["name"], x["url"], F.when(x["final"] == x["url"], "").otherwise(x["final"])))
-    links = ranked.select(F.col("domain").alias("_d"), F.to_json(shown).alias("links"))
+    link = F.when(side.isNotNull() & (F.col("url") != ""), F.struct("source", "ordinal", "url", "final_url"))
+    kinds = v.groupBy("domain", "side", "name").agg(F.count("*").alias("_n"), F.min(link).alias("f"))
+    place = F.when(F.col("f").isNotNull(), F.struct(side.alias("_side"), F.col("f.source").alias("source"), F.col("f.ordinal").alias("ordinal"), "side", "name", F.col("f.url").alias("url"), F.col("f.final_url").alias("final")))
     is_ = lambda s: F.col("side") == s
     names = lambda s: F.array_sort(F.collect_set(F.when(is_(s) & (F.col("name") != ""), F.col("name"))))
-    per = v.groupBy("domain").agg((F.count_if(F.col("side").isin("target", "ours")) > 0).alias("target"), names("other").alias("other"), names("plain").alias("plain"), F.count_if(is_("unverified")).alias("unverified"), (F.count_if(is_("ours")) > 0).alias("ours"))
-    return per.join(links, F.col("domain") == F.col("_d"), "left").withColumn("links", F.coalesce("links", F.lit(""))).drop("_d")
+    unverified = F.coalesce(F.sum(F.when(is_("unverified"), F.col("_n"))), F.lit(0).cast("long"))
+    per = kinds.groupBy("domain").agg((F.count_if(F.col("side").isin("target", "ours")) > 0).alias("target"), names("other").alias("other"), names("plain").alias("plain"), unverified.alias("unverified"), (F.count_if(is_("ours")) > 0).alias("ours"), F.array_sort(F.collect_list(place)).alias("_l"))
+    shown = F.transform(F.slice("_l", 1, most), lambda x: F.array(x["side"], x["name"], x["url"], F.when(x["final"] == x["url"], "").otherwise(x["final"])))
+    return per.withColumn("links", F.when(F.size("_l") > 0, F.to_json(shown)).otherwise("")).drop("_l")
 
 
 def page_evidence(resources: DataFrame, dests: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -49,7 +49,7 @@ w AS (SELECT k, domain, 1 AS source, k AS ordinal, url, f, CASE WHEN rule IN (8,
 
 def destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     hops = F.when(flag(2, 6, 3), F.array(F.lit("https://hop.example/1"))).otherwise(nothing())
-    return grid(spark, sf_dir).select(
+    return grid(spark, sf_dir, wide=True).select(
         "k",
         F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"),
         F.col("k").alias("ordinal"),
@@ -89,17 +89,17 @@ LINK_NAMES = ("Acme", "Acme", "Acme", "via bcdfg.example", "Globex", "plain.exam
 
 
 def _referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid(spark, sf_dir).select("k", F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"), pick(3, 2, REFS).alias("ref_url"))
+    return grid(spark, sf_dir, wide=True).select("k", F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"), pick(3, 2, REFS).alias("ref_url"))
 
 
 def _chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = F.split(pick(3, 6, [" ".join(c) for c in CHAINS]), " ")
-    return grid(spark, sf_dir).select("k", F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"), F.col("k").alias("ordinal"), F.when(flag(3, 12, 5), "https://found.example/").alias("found"), packed.alias("chain"), F.when(flag(3, 16, 3), 404).otherwise(200).alias("last_status"))
+    return grid(spark, sf_dir, wide=True).select("k", F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"), F.col("k").alias("ordinal"), F.when(flag(3, 12, 5), "https://found.example/").alias("found"), packed.alias("chain"), F.when(flag(3, 16, 3), 404).otherwise(200).alias("last_status"))
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda k: pick(3, 20, [x[k] for x in PAGE_LINKS])
-    return grid(spark, sf_dir).select("k", F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"), F.col("k").alias("ordinal"), part(0).alias("url"), part(1).alias("host"), part(2).alias("brand"), part(3).alias("ref_kind"), flag(3, 25, 4).alias("scanned"))
+    return grid(spark, sf_dir, wide=True).select("k", F.concat(F.lit("d"), F.pmod("k", F.lit(3000)).cast("string"), F.lit(".example")).alias("domain"), F.col("k").alias("ordinal"), part(0).alias("url"), part(1).alias("host"), part(2).alias("brand"), part(3).alias("ref_kind"), flag(3, 25, 4).alias("scanned"))
 
 
 def _titled(spark: SparkSession) -> DataFrame:

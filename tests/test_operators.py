@@ -201,6 +201,24 @@ def test_follow(spark):
     assert rows(chains.move_targets(moves, spark.createDataFrame([("b",)], "domain string"))) == [("new", "mono")]
 
 
+def test_ads_go_through_verdicts_once(spark):
+    schema = "domain string, source int, ordinal long, side string, name string, url string, final_url string"
+    made = [("a", 1, 2, "other", "G", "u2", "u2"), ("a", 1, 1, "other", "G", "u1", "f"), ("a", 2, 0, "plain", "p", "", ""), ("a", 4, 3, "unverified", "", "u3", ""), ("b", 4, 1, "ours", "Acme", "u4", ""), ("c", 1, 1, "none", "", "u5", "")]
+    found = evidence.ads(spark.createDataFrame(made, schema), spark.createDataFrame([("c",), ("d",)], "domain string"))
+    assert rows(found) == [("a", False, ["G"], ["p"], 1, False, '[["other","G","u1","f"]]'), ("b", True, [], [], 0, True, ""), ("c", False, [], [], 1, False, ""), ("d", False, [], [], 1, False, "")]
+    once = evidence.ads(spark.createDataFrame(made, schema).withColumn("url", F.concat("url", F.lit("mark"))))
+    assert once._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+
+
+def test_rules_over_urls_split_each_once(spark):
+    trackers = spark.createDataFrame([("trk.example",)], "host string")
+    links = spark.createDataFrame([("a.example", 1, "https://go.acme.com/Ab3d", "go.acme.com", "", "ref", True)], "domain string, ordinal long, url string, host string, brand string, ref_kind string, scanned boolean")
+    for found in (evidence.link_verdicts(links, trackers), evidence.referral_verdicts(links.select("domain", F.col("url").alias("ref_url")), trackers)):
+        plan = found.select("side", "name")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract(") < 12
+        assert [(r.side, r.name) for r in found.select("side", "name").collect()] == [("target", "Acme")]
+
+
 def test_a_url_with_several_hops_leads_on_if_one_does(spark):
     hops = [("http://a.example/", 302, None), ("http://a.example/", 302, "http://b.example/"), ("http://b.example/", None, "http://c.example/"), ("http://b.example/", 404, "http://c.example/"), ("http://c.example/", 200, None)]
     got = chains.follow(spark.createDataFrame([("http://a.example/",)], "url string"), spark.createDataFrame(hops, "url string, status int, location string")).collect()
