@@ -37,9 +37,9 @@ def _page(parts: list[Column]) -> Column:
     return F.concat(F.lit('<html lang="en"><head><title>Page '), F.col("k").cast("string"), F.lit("</title></head><body><nav>Menu </nav>"), *parts, F.lit("</body></html>"))
 
 
-def _parsed(spark: SparkSession, sf_dir: str, parts: list[Column]) -> DataFrame:
-    df = grid(spark, sf_dir).select("k", _page(parts).alias("html"), F.lit("https://site.example/").alias("url"))
-    return H.parse_pages(df, "html", "url")
+def _parsed(spark: SparkSession, sf_dir: str, parts: list[Column], fields: tuple[str, ...]) -> DataFrame:
+    df = grid(spark, sf_dir, wide=True).select("k", _page(parts).alias("html"), F.lit("https://site.example/").alias("url"))
+    return H.parse_pages(df, "html", "url", fields)
 
 
 def _of(h: int, shift: int, rows: tuple, k: int) -> Column:
@@ -56,7 +56,7 @@ WITH g AS ({GRID}) SELECT k, 'Page ' || k AS title, 'en' AS lang, 'Head' AS h1,
 def markup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HT1, HT2: visible text without scripts, styles and templates, and in lines without the page's frame; heads and dates."""
     date = F.concat(F.lit('<meta name="date" content="2024-01-0'), (F.col("k") % 9 + 1).cast("string"), F.lit('">'))
-    seen = _parsed(spark, sf_dir, [date, F.lit("<h1>Head</h1><h2>Sub</h2><div>"), _of(0, 2, ELEMENTS, 0), F.lit(" tail </p></div><footer>foot</footer>")])
+    seen = _parsed(spark, sf_dir, [date, F.lit("<h1>Head</h1><h2>Sub</h2><div>"), _of(0, 2, ELEMENTS, 0), F.lit(" tail </p></div><footer>foot</footer>")], ("title", "lang", "h1", "text", "block_text", "h2", "dates"))
     return seen.select("k", "title", "lang", "h1", "text", F.regexp_replace("block_text", "\nopen\n", "\nopen ").alias("block_text"), F.size("h2").alias("n_h2"), F.element_at("dates", 1).alias("dated"))
 
 
@@ -67,7 +67,7 @@ WITH g AS ({GRID}) SELECT k, {_sql(0, 2, LINKS, 1)} AS url, {_sql(0, 2, LINKS, 2
 """)
 def markup_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HT3, HT4: where links stand, resolved against the page; URLs hidden in Base64; buttons and calls to act."""
-    seen = _parsed(spark, sf_dir, [_of(0, 2, LINKS, 0), _of(1, 2, BUTTONS, 0)])
+    seen = _parsed(spark, sf_dir, [_of(0, 2, LINKS, 0), _of(1, 2, BUTTONS, 0)], ("links", "n_buttons", "n_cta"))
     links = F.filter(H.distinct_links(F.col("links")), lambda x: x["url"] != "https://site.example/b")
     plain, coded = F.try_element_at(F.filter(links, lambda x: ~x["source"].endswith(":b64") | x["url"].startswith("https://site")), F.lit(1)), F.try_element_at(F.filter(links, lambda x: x["source"] == "a:b64"), F.lit(1))
     return seen.select("k", F.coalesce(plain["url"], F.lit("")).alias("url"), F.coalesce(plain["source"], F.lit("")).alias("source"), F.coalesce(coded["url"], F.lit("")).alias("decoded"), F.col("n_buttons").alias("buttons"), F.col("n_cta").alias("cta"))
@@ -80,7 +80,7 @@ def markup_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HT5, HT6, HT11: links that a visitor does not see, and links in posts."""
     hidden = F.concat(F.lit("<div "), _of(0, 2, HIDES, 0), F.lit('><p><span><a href="https://www.out.example/h">l</a></span></p></div>'))
     post = F.concat(_of(1, 2, POSTS, 0), F.lit('<b><a href="/in">Acme page</a></b>'), _of(1, 2, POSTS, 1))
-    seen = H.link_features(_parsed(spark, sf_dir, [hidden, post]).withColumn("host", F.lit("site.example")))
+    seen = H.link_features(_parsed(spark, sf_dir, [hidden, post], ("links",)).withColumn("host", F.lit("site.example")))
     return seen.select("k", "hidden_links", F.array_join(H.hidden_hosts(F.col("links")), " ").alias("hidden_hosts"), "in_posts", "anchor_int")
 
 
@@ -109,7 +109,7 @@ def markup_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
         rep('<p><a href="/2021/05/p">d</a>', "dated"), rep('<p><a href="/a-b-c-d-e">s</a>', "slug"), rep('<p><a href="/in">Acme here</a>', "named"), rep('<p><a href="https://other.example/q">Acme fan</a>', "away"), rep('<p><a href="https://trail.example/Zx9k">t</a>', "twice"),
         rep('<p><a href="/go/x">g</a>', "gates"), rep('<p><a href="https://ref.example/?btag=1">r</a>', "partner"), rep('<p><a href="/get.apk">a</a>', "apk"), F.lit("</body></html>"),
     )
-    df = grid(spark, sf_dir).select("k", html.alias("html"), F.lit("https://site.example/").alias("url"))
+    df = grid(spark, sf_dir, wide=True).select("k", html.alias("html"), F.lit("https://site.example/").alias("url"))
     f = H.page_features(H.parse_pages(df.withColumn("markup", F.col("html")), "html", "url"), html_col="markup")
     others = F.array_join(F.transform("other_brands", lambda x: F.concat(x["name"], F.lit(":"), x["n"].cast("string"))), " ")
     same = ("k", "host", "title", "in_h1", "in_title", "heads_named", "n_heads", "text_len", "mentions", "density", "topic_words", "topic_density", "links_int", "links_ext", "ext_hosts", "date_links", "slug_links", "anchor_int", "anchor_ext", "anchors", "hidden_links", "hidden_named", "articles", "meta_mentions", "generator", "meta_text", "wp", "shell", "assets", "front_title", "parked", "pwa", "referrer_js", "lang")
@@ -129,7 +129,7 @@ WITH g AS ({GRID}) SELECT k, CASE WHEN {_sql(1, 3, SITE_NAMES, 1)} <> '' THEN {_
 def markup_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HT8, HT9, HT15: the fields that name an operator, its raw name, a script's jump, and an application's offer."""
     html = F.concat(F.lit("<html><head><title>"), _of(0, 3, TITLES, 0), F.lit("</title>"), _of(1, 3, SITE_NAMES, 0), F.lit('<link rel="icon" href="/icon.png"></head><body>'), _of(1, 7, JUMPS, 0), _of(2, 7, OFFERS, 0), F.lit("</body></html>"))
-    df = grid(spark, sf_dir).select("k", html.alias("html"), html.alias("markup"), F.lit("https://site.example/").alias("url"))
+    df = grid(spark, sf_dir, wide=True).select("k", html.alias("html"), html.alias("markup"), F.lit("https://site.example/").alias("url"))
     f = H.page_features(H.parse_pages(df, "html"), html_col="markup")
     return f.select("k", H.raw_brand_name(F.col("title"), F.col("operator_names")).alias("operator"), H.brand_fields(F.col("title"), F.col("host"), F.col("names")).alias("fields"), F.col("js_redirect").alias("jump"), F.col("pwa_offer").alias("offer"), "pwa")
 

@@ -171,3 +171,25 @@ def test_folded_letters_count(spark):
     assert html.page_features(html.parse_pages(df)).first().mentions == 2
     assert col(spark, ["вот Асmе", None, "ΑCΜΕ"], lambda c: text.fold(c, wide=True)) == ["bot Acme", None, "ACME"]
     assert col(spark, ["вот", "ѐ"], text.fold) == ["вoт", "e"]
+
+
+def test_plain_markup_is_read_as_the_library_reads_it(monkeypatch):
+    import random
+
+    bits = (
+        '<div class="post">', "</div>", "<p style='display:none'>", '<a href="/q?a=1&amp;b=2">x', "</a>", "<a href=/u>", "<a  href = '/y' >", "<br/>", "<script>if (a<b) location.href='/n'", "</script >", "<style>a<b", "</STYLE>", "<!-- a -- >", "<!--", "<!doctype html>",
+        "<![CDATA[x]]>", "&lt", " & ", "<", "</", "text ", "<title>", "</title>", "<nav>", "</nav>", "<li><td><tr>", "<h1>x", "<button disabled>Join", "<x-y z>", "<a:b>", "<svg/>", "\x00", '<i data-href="/d" hidden>', "<time datetime='2020'>", '<meta name="date" content="&quot;">',
+    )
+    r = random.Random(4)
+    for _ in range(1500):
+        markup = "".join(r.choice(bits) for _ in range(r.randrange(1, 10)))
+        page = html.Page("https://s.example/")
+        try:
+            page.feed(markup)
+            page.close()
+        except (AssertionError, ValueError):
+            pass
+        assert html.parse_one(markup, "https://s.example/") == page.row(), markup
+    plain = '<!DOCTYPE html><html lang="en"><title>T &amp; t</title><script>var a = 1 < 2;</script><p class=\'x\'>one<br/><a href="/x">l</a></p><!-- c --></html>'
+    monkeypatch.setattr(html.Page, "feed", lambda *_: pytest.fail("plain markup needs no second parser"))
+    assert html.parse_one(plain)["text"] == "one l"
