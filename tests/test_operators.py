@@ -201,6 +201,14 @@ def test_follow(spark):
     assert rows(chains.move_targets(moves, spark.createDataFrame([("b",)], "domain string"))) == [("new", "mono")]
 
 
+def test_wide_grids_use_all_cores(spark):
+    from tessera.plans import inputs
+
+    one, wide = (inputs.grid(spark, "/root/testdata/sf0.001", wide=w) for w in (False, True))
+    assert one.rdd.getNumPartitions() < wide.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert rows(one) == rows(wide)
+
+
 def test_ads_go_through_verdicts_once(spark):
     schema = "domain string, source int, ordinal long, side string, name string, url string, final_url string"
     made = [("a", 1, 2, "other", "G", "u2", "u2"), ("a", 1, 1, "other", "G", "u1", "f"), ("a", 2, 0, "plain", "p", "", ""), ("a", 4, 3, "unverified", "", "u3", ""), ("b", 4, 1, "ours", "Acme", "u4", ""), ("c", 1, 1, "none", "", "u5", "")]
