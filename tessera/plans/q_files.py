@@ -254,11 +254,11 @@ def split_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT b AS batch_id, count(*) AS n, min(o_orderkey) AS first FROM (SELECT o_orderkey, ((row_number() OVER (ORDER BY o_orderkey) - 1) // 50)::INT AS b FROM orders) GROUP BY b")
 def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK4, TK11: batches of fifty, a folder each."""
+    """SNK4, TK11: batches of fifty, a file each."""
     path = scratch(spark, "batches")
     ranked = keyed.numbered(read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
     sinks.write_batches(tables.in_batches(ranked, "n", 50).drop("n"), path)
-    return spark.read.json(path, schema="o_orderkey long, batch_id int").groupBy("batch_id").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))
+    return readers.read_batches(spark, path, "o_orderkey long").groupBy(F.col("batch_id").cast("int").alias("batch_id")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))
 
 
 S_CARD = """'<article id="s' || n || '"><h3>' || replace(c_name, '#', '#') || '</h3><div class="meter ' || CASE WHEN s >= 80 THEN 'high' WHEN s >= 60 THEN 'middle' ELSE 'low' END || '"><i style="width:' || s || '%"></i></div><dl><dt>segment</dt><dd>' || c_mktsegment || '</dd><dt>link</dt><dd><a href="https://c.example/' || c_custkey || '">https://c.example/' || c_custkey || '</a></dd></dl></article>'"""

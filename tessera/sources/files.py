@@ -9,11 +9,13 @@ import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from tessera.space import broadcast_if_small
 
@@ -349,8 +351,147 @@ class FileSink(DataSource):
         return FileWriter(self.options)
 
 
+@dataclass
+class Folders(InputPartition):
+    """Folders whose files one task reads."""
+
+    names: tuple[str, ...]
+
+    def __init__(self, names: tuple[str, ...]):
+        super().__init__(None)
+        self.names = names
+
+
+class BatchWriter(DataSourceArrowWriter):
+    """Lines of folder and name, which come sorted by both, as files. A task writes whole folders beside the others; the job
+    moves the folders of the tasks that it takes to their names, so that it moves and hears of no single file."""
+
+    def __init__(self, options: dict[str, str], overwrite: bool):
+        self.path, self.own, self.overwrite = options["path"], f"_writing-{uuid.uuid4().hex}", overwrite
+
+    def _place(self):
+        store, inner = opened(self.path)
+        return store, inner.rstrip("/"), f"{inner.rstrip('/')}/{self.own}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        store, inner, beside = self._place()
+        task, out, last, made = uuid.uuid4().hex, None, None, {}
+        try:
+            for b in iterator:
+                folders, names = b.column(0), b.column(1)
+                text = b.column(2).cast(pa.large_binary())
+                at = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, text.offset * 8) if len(text) else []
+                data, low = text.buffers()[2], 0
+                for high in pa.compute.run_end_encode(names).run_ends.to_pylist():
+                    folder, name = folders[low].as_py(), names[low].as_py()
+                    if (folder, name) != last:
+                        if out is not None:
+                            out.close()
+                        if folder not in made:
+                            made[folder] = f"{beside}/{task}/{folder}"
+                            store.create_dir(made[folder], recursive=True)
+                        out, last = store.open_output_stream(f"{made[folder]}/{name}"), (folder, name)
+                    out.write(data[int(at[low]) : int(at[high])])
+                    low = high
+        finally:
+            if out is not None:
+                out.close()
+        return Written(tuple((place, f"{inner}/{folder}") for folder, place in made.items()))
+
+    def commit(self, messages: list) -> None:
+        from pyarrow import fs
+
+        store, inner, beside = self._place()
+        store.create_dir(inner, recursive=True)
+        if self.overwrite:
+            for old in store.get_file_info(fs.FileSelector(inner)):
+                if old.path.rstrip("/") != beside:
+                    store.delete_dir(old.path) if old.type == fs.FileType.Directory else store.delete_file(old.path)
+        for message in messages:
+            for made, name in message.files if message else ():
+                store.move(made, name)
+        self.abort(messages)
+
+    def abort(self, messages: list) -> None:
+        store, _, beside = self._place()
+        store.delete_dir_contents(beside, missing_dir_ok=True)
+        if store.get_file_info(beside).type.name == "Directory":
+            store.delete_dir(beside)
+
+
+class BatchReader(DataSourceReader):
+    """A task lists and reads the files of its folders, so that the driver lists folders alone."""
+
+    def __init__(self, options: dict[str, str]):
+        self.path, self.tasks = options["path"], int(options.get("tasks", 32))
+
+    def partitions(self) -> Sequence[InputPartition]:
+        from pyarrow import fs
+
+        store, inner = opened(self.path)
+        found = store.get_file_info(fs.FileSelector(inner))
+        names = sorted(f.path for f in found if f.type == fs.FileType.Directory and not f.base_name.startswith(("_", ".")))
+        each = max(1, -(-len(names) // self.tasks))
+        return [Folders(tuple(names[k : k + each])) for k in range(0, len(names), each)] or [Folders(())]
+
+    def read(self, partition: Folders) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store = opened(self.path)[0]
+        names: list[str] = []
+        lines: list[bytes] = []
+        held = 0
+
+        def batch() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(lines, pa.binary()).cast(pa.string())], ["name", "value"])
+            names.clear()
+            lines.clear()
+            return made
+
+        for folder in partition.names:
+            for name in sorted(f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.is_file):
+                own, rest = name.rsplit("/", 1)[-1], b""
+                with store.open_input_stream(name) as handle:
+                    while raw := handle.read(BLOCK):
+                        *found, rest = (rest + raw).split(b"\n")
+                        lines += found
+                        names += [own] * len(found)
+                        held += len(raw)
+                        if len(lines) >= ROWS or held >= BLOCK:
+                            yield batch()
+                            held = 0
+                if rest:
+                    lines.append(rest)
+                    names.append(own)
+        if lines:
+            yield batch()
+
+
+class BatchSource(DataSource):
+    """tessera_batches: lines of small files in folders. Written from folder, name and line (which ends in a line feed); read
+    as name and value. Option tasks: about so many tasks read."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tessera_batches"
+
+    def schema(self) -> str:
+        return "name string, value string"
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return BatchReader(self.options)
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
+        return BatchWriter(self.options, overwrite)
+
+
+def moves_folders(path: str) -> bool:
+    """Whether Arrow reaches the store of a path and moves a folder there in one step."""
+    return known(path) and opened(path)[0].type_name in ("local", "hdfs")
+
+
 def _register(spark: SparkSession) -> None:
-    for source in (MemberSource, BookSource, FileSink):
+    for source in (MemberSource, BookSource, FileSink, BatchSource):
         spark.dataSource.register(source)
 
 
@@ -368,3 +509,17 @@ def read_workbooks(spark: SparkSession, path: str, columns: Sequence[str], task_
     _register(spark)
     schema = ", ".join([*(f"`{c}` string" for c in columns), "file string", "row_no long"])
     return spark.read.format(BookSource.name()).schema(schema).option("taskBytes", task_bytes).load(path)
+
+
+def write_lines(df: DataFrame, path: str, folder: str, name: str, line: str) -> None:
+    """Lines (text) in files by folder and name under path, whose earlier files go. A folder is written by one task, a batch
+    of lines at a time."""
+    _register(df.sparkSession)
+    rows = df.select(F.col(folder).cast("string").alias("folder"), F.col(name).cast("string").alias("name"), F.concat(F.col(line), F.lit("\n")).alias("line"))
+    rows.repartition("folder").sortWithinPartitions("folder", "name").write.format(BatchSource.name()).mode("overwrite").option("path", path).save()
+
+
+def read_folders(spark: SparkSession, path: str) -> DataFrame:
+    """name (of the file) and value of the lines of the files in the folders under path."""
+    _register(spark)
+    return spark.read.format(BatchSource.name()).option("path", path).option("tasks", 4 * spark.sparkContext.defaultParallelism).load()

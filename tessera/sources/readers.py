@@ -142,6 +142,14 @@ def read_json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.join(files, "file").select("r.*", "file", "file_no", "place")
 
 
+def read_batches(spark: SparkSession, path: str, schema: str, batch: str = "batch_id") -> DataFrame:
+    """SNK4: the rows that sinks.write_batches has written, with their batch (long)."""
+    if not files.moves_folders(path):
+        return spark.read.json(path, schema=f"{schema}, {batch} long")
+    rows = files.read_folders(spark, path).select(F.from_json("value", schema).alias("r"), F.regexp_extract("name", r"^batch-(.*)\.json$", 1).try_cast("long").alias(batch))
+    return rows.select("r.*", batch)
+
+
 def sheet_rows(handle) -> Iterator[list[str]]:
     """The rows of a workbook's first sheet as text, one at a time: dates in ISO form, whole numbers without a point, empty
     cells "". handle is a file that can seek."""

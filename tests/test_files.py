@@ -119,3 +119,18 @@ def test_markdown_steps_stay_few_where_greedy_cuts_meet():
 
     steps = sinks._steps(np.array([random.Random(k).randrange(1, 200) for k in range(20_000)]), 10_000)
     assert len(steps[0]) < 1000 and steps[0][-1] == 10_000
+
+
+def test_batches_are_files_in_few_folders(spark, tmp_path):
+    df = spark.range(2_604).selectExpr("id", "IF(id % 3 = 0, NULL, concat('é\n', id)) AS v", "IF(id = 2603, NULL, id DIV 2) AS b")
+    path = f"file://{tmp_path}/out"
+    sinks.write_batches(df.limit(9), path, "b")
+    sinks.write_batches(df, path, "b")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["batches-0", "batches-1", "batches-2", "batches-null"]
+    names = {p.name for p in (tmp_path / "out").rglob("*.json")}
+    assert names == {f"batch-{k}.json" for k in [*range(1_302), "null"]}
+    assert (tmp_path / "out/batches-1/batch-501.json").read_text().splitlines().count('{"id":1002}') == 1
+    got = readers.read_batches(spark, path, "id long, v string", "b")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect())) and got.schema["b"].dataType.typeName() == "long"
+    sinks.write_batches(df.filter("id < 0"), path, "b")
+    assert readers.read_batches(spark, path, "id long, v string", "b").count() == 0
