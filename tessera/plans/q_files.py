@@ -112,7 +112,7 @@ def _members(spark: SparkSession, sf_dir: str) -> str:
 def gzip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC4: the lines of logs of many members, found and read in ranges of the files up to the first broken member."""
     found = files.gzip_lines(spark, _members(spark, sf_dir), range_bytes=4096)
-    return found.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), "line_no", "value")
+    return found.select(F.substring_index("file", "/", -1).alias("file"), "line_no", "value")
 
 
 @query(f"WITH {S_MEMBERS}, n AS (SELECT f, m, count(*) AS n FROM kept GROUP BY f, m) SELECT 'log-' || f || '.gz' AS file, m AS member, n - (m = 0)::INT AS newlines, (sum(n) OVER (PARTITION BY f ORDER BY m) - n - (m > 0)::INT)::BIGINT AS base FROM n")
@@ -122,7 +122,7 @@ def gzip_member_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = files.member_index(spark, _members(spark, sf_dir), range_bytes=4096).filter("whole")
     member = F.row_number().over(Window.partitionBy("file").orderBy("start")) - 1
-    return found.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), member.cast("long").alias("member"), "newlines", "base")
+    return found.select(F.substring_index("file", "/", -1).alias("file"), member.cast("long").alias("member"), "newlines", "base")
 
 
 S_HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1)), '^www\.', '')"

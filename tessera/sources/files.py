@@ -3,6 +3,7 @@ files of given bytes. Partitions are planned from names and sizes; tasks open fi
 
 from __future__ import annotations
 
+import io
 import re
 import uuid
 import zlib
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from tessera.space import broadcast_if_small
+from tessera.space import broadcast_if_small, cut
 
-#: Bytes that are read at once, and rows that are handed to Spark at once.
-BLOCK, ROWS = 1 << 20, 5000
+#: Bytes that are read at once (of a member at first), and rows that are handed to Spark at once.
+BLOCK, STEP, ROWS = 1 << 20, 1 << 14, 5000
 
 
 def opened(path: str):
@@ -81,96 +82,118 @@ class _Members:
 
     def candidates(self, at: int) -> Iterator[int]:
         """Places from at that look like a member's header. The caller may send a place to go on from."""
+        step = STEP
         while at < self.stop:
             self.handle.seek(at)
-            block = self.handle.read(min(BLOCK, self.stop - at) + 3)
+            block = self.handle.read(min(step, self.stop - at) + 3)
             here = 0
-            while (k := block.find(self.MAGIC, here)) >= 0 and at + k < self.stop:
+            while (k := block.find(self.MAGIC, here)) >= 0 and k < step and at + k < self.stop:
                 if k + 3 < len(block) and block[k + 3] & 0xE0:  # reserved flags
                     here = k + 1
                     continue
                 on = yield at + k
                 if on is not None and on > at + k + 1:
-                    at, here = on, None
+                    at, here, step = on, None, STEP
                     break
                 here = k + 1
             if here is not None:
-                at += BLOCK
+                at, step = at + step, min(2 * step, BLOCK)
 
-    def pieces(self, at: int) -> Iterator[tuple[int | None, bytes | int, bool]]:
-        """(number, bytes, whether a line feed ends it) of the lines of a member that begins at a place, then (None, end,
-        whole). What is read of a broken member is given out as well; an empty piece behind the last line feed is not."""
-        inflate, rest, number, place = zlib.decompressobj(31), b"", 0, at
+    def pieces(self, at: int) -> Iterator[tuple[int | None, list[bytes] | int, bool]]:
+        """(number of the first, lines, whether a line feed ends each) of a member that begins at a place, then (None, end,
+        whole). What is read of a broken member is given out as well; an empty piece behind the last line feed is not. Members
+        are often small, so blocks begin small."""
+        inflate, rest, number, place, step = zlib.decompressobj(31), b"", 0, at, STEP
         self.handle.seek(at)
         while not inflate.eof:
-            raw = self.handle.read(BLOCK)
+            raw = self.handle.read(step)
+            step = min(2 * step, BLOCK)
             try:
                 text = inflate.decompress(raw) if raw else b""
             except zlib.error:
                 text, raw = b"", b""
-            lines = (rest + text).split(b"\n")
-            rest = lines.pop()
-            for line in lines:
-                yield number, line, True
-                number += 1
+            *lines, rest = (rest + text).split(b"\n")
+            if lines:
+                yield number, lines, True
+                number += len(lines)
             place += len(raw)
             if not raw:
                 break
         if rest:
-            yield number, rest, False
+            yield number, [rest], False
         yield None, place - len(inflate.unused_data), inflate.eof
 
 
 class MemberReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.range_bytes = options["path"], int(options.get("rangeBytes", 32 << 20))
+        self.tasks, self.edges = int(options.get("tasks", 0)), options.get("edges") == "true"
 
     def partitions(self) -> Sequence[InputPartition]:
-        out = []
-        for name, size in listed(self.path, ".gz"):
-            out += [Range(name, low, min(size, low + self.range_bytes)) for low in range(0, size, self.range_bytes)]
+        out, found = [], listed(self.path, ".gz")
+        #: Small ranges of large files are read together: tasks follow the cores until one has to read 32 MB.
+        size_of = self.range_bytes
+        if self.tasks:
+            size_of = max(size_of, min(32 << 20, -(-sum(size for _, size in found) // self.tasks)))
+        for name, size in found:
+            out += [Range(name, low, min(size, low + size_of)) for low in range(0, size, size_of)]
         return out or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.file:
             return
-        schema = pa.schema([("file", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("whole", pa.bool_()), ("newlines", pa.int64()), ("piece", pa.int64()), ("value", pa.binary())])
-        rows: list[tuple] = []
+        types = {"start": pa.int64(), "stop": pa.int64(), "whole": pa.bool_(), "newlines": pa.int64(), "piece": pa.int64(), "value": pa.binary()}
+        columns: tuple[list, ...] = tuple([] for _ in types)
         held = 0
 
+        def add(n: int, *values: list) -> None:
+            for column, own in zip(columns, values, strict=True):
+                column.extend(own if own is not None else [None] * n)
+
         def batch() -> pa.RecordBatch:
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
-            rows.clear()
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
+            arrays = [pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)]
+            file = pa.repeat(pa.scalar(partition.file, pa.string()), len(columns[0]))
+            for c in columns:
+                c.clear()
+            return pa.RecordBatch.from_arrays([file, *arrays], ["file", *types])
 
         store = opened(self.path)[0]
-        with store.open_input_file(partition.file) as handle:
-            members = _Members(handle, partition.start, partition.stop, handle.size())
+        with store.open_input_file(partition.file) as raw:
+            members = _Members(io.BufferedReader(raw, BLOCK), partition.start, partition.stop, raw.size())
             search = members.candidates(partition.start)
             at = next(search, None)
             while at is not None:
                 newlines, end, whole = 0, at, False
-                for number, value, flag in members.pieces(at):
+                for number, lines, flag in members.pieces(at):
                     if number is None:
-                        end, whole = value, flag
+                        end, whole = lines, flag
                         break
-                    rows.append((partition.file, at, None, None, None, number, value))
-                    newlines, held = number + flag, held + len(value)
-                    if len(rows) >= ROWS or held >= BLOCK:
-                        yield batch()
-                        held = 0
-                rows.append((partition.file, at, end, whole, newlines, None, None))
+                    newlines = number + len(lines) * flag
+                    if self.edges:  # the last one has no line feed, or follows the last line feed and is empty
+                        lines = lines[: number == 0 or not flag]
+                    for low in range(0, len(lines), ROWS):
+                        own = lines[low : low + ROWS]
+                        add(len(own), [at] * len(own), None, None, None, range(number + low, number + low + len(own)), own)
+                        held += sum(map(len, own))
+                        if len(columns[0]) >= ROWS or held >= BLOCK:
+                            yield batch()
+                            held = 0
+                add(1, [at], [end], [whole], [newlines], None, None)
+                if len(columns[0]) >= ROWS:
+                    yield batch()
+                    held = 0
                 try:
                     at = search.send(end if whole else at + 1)
                 except StopIteration:
                     at = None
-        if rows:
+        if columns[0]:
             yield batch()
 
 
 class MemberSource(DataSource):
     """tessera_gzip_members: the lines of gzip members by file and the byte at which their member begins, and a row for the
-    end of each (stop, whole, newlines). Option rangeBytes: a task looks for members in so many bytes."""
+    end of each (stop, whole, newlines). Option rangeBytes: a task looks for members in so many bytes, or in more (at most 32
+    MB) where these would make more tasks than the option tasks says; edges: of the lines only the first and the last one of each member."""
 
     @classmethod
     def name(cls) -> str:
@@ -183,16 +206,14 @@ class MemberSource(DataSource):
         return MemberReader(self.options)
 
 
-def member_index(spark: SparkSession, path: str, range_bytes: int = 32 << 20) -> DataFrame:
-    """SRC4, SRC5: the members of each file that count: file, start, stop, whole, newlines and base (line feeds before).
-
-    Members follow each other from byte 0; the first place where no whole member begins ends the file, and what can be read
-    of a broken member there still counts. What looks like a header inside a member is none. The window runs over a row for
-    each member of one file.
-    """
+def _member_rows(spark: SparkSession, path: str, range_bytes: int, edges: bool) -> DataFrame:
     _register(spark)
-    raw = spark.read.format(MemberSource.name()).option("path", path).option("rangeBytes", range_bytes).load()
-    ends = raw.filter("stop IS NOT NULL").select("file", "start", "stop", "whole", "newlines")
+    reader = spark.read.format(MemberSource.name()).option("path", path).option("rangeBytes", range_bytes)
+    return reader.option("tasks", 4 * spark.sparkContext.defaultParallelism).option("edges", edges).load()
+
+
+def _index(rows: DataFrame) -> DataFrame:
+    ends = rows.filter("stop IS NOT NULL").select("file", "start", "stop", "whole", "newlines")
     before = Window.partitionBy("file").orderBy("start", F.col("whole").desc()).rowsBetween(Window.unboundedPreceding, -1)
     till = F.coalesce(F.max(F.when(F.col("whole"), F.col("stop"))).over(before), F.lit(0))
     placed = ends.withColumn("till", till).filter("start >= till")
@@ -202,20 +223,34 @@ def member_index(spark: SparkSession, path: str, range_bytes: int = 32 << 20) ->
     return kept.withColumn("base", F.coalesce(F.sum("newlines").over(before), F.lit(0))).drop("till", "broken")
 
 
+def member_index(spark: SparkSession, path: str, range_bytes: int = 32 << 20) -> DataFrame:
+    """SRC4, SRC5: the members of each file that count: file, start, stop, whole, newlines and base (line feeds before).
+
+    Members follow each other from byte 0; the first place where no whole member begins ends the file, and what can be read
+    of a broken member there still counts. What looks like a header inside a member is none. The window runs over a row for
+    each member of one file.
+    """
+    return _index(_member_rows(spark, path, range_bytes, True))
+
+
 def gzip_lines(spark: SparkSession, path: str, range_bytes: int = 32 << 20) -> DataFrame:
     """SRC4: file, line_no (from 0) and value of files of many gzip members, which may end in a broken one.
 
     Members are looked for in ranges of a file and inflated in parallel, a block at a time, so neither a file nor a member
-    has to fit a task. A line may go on in the next member. Bytes that are no UTF-8 become the replacement character.
+    has to fit a task. A line may go on in the next member. Bytes that are no UTF-8 become the replacement character. Files are
+    read twice: for the index and the lines at the edges of members, which are checkpointed, and for the lines between them.
     """
-    index = broadcast_if_small(member_index(spark, path, range_bytes).select("file", "start", "newlines", "base"), 100_000)
-    raw = spark.read.format(MemberSource.name()).option("path", path).option("rangeBytes", range_bytes).load()
-    pieces = raw.filter("stop IS NULL").select("file", "start", "piece", "value").join(index, ["file", "start"])
-    pieces = pieces.withColumn("line_no", F.col("base") + F.col("piece"))
-    inner = (F.col("piece") > 0) & (F.col("piece") < F.col("newlines"))
-    edges = pieces.filter(~inner).groupBy("file", "line_no").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"))
+    found = cut(_member_rows(spark, path, range_bytes, True))
+    index = broadcast_if_small(_index(found).select("file", "start", "newlines", "base"), 100_000)
+
+    def pieces(rows: DataFrame) -> DataFrame:
+        placed = rows.filter("stop IS NULL").select("file", "start", "piece", "value").join(index, ["file", "start"])
+        return placed.withColumn("line_no", F.col("base") + F.col("piece"))
+
+    edges = pieces(found).groupBy("file", "line_no").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"))
     joined = F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["value"]))
-    lines = pieces.filter(inner).select("file", "line_no", "value").unionByName(edges.select("file", "line_no", joined.alias("value")))
+    inner = pieces(_member_rows(spark, path, range_bytes, False)).filter("piece > 0 AND piece < newlines")
+    lines = inner.select("file", "line_no", "value").unionByName(edges.select("file", "line_no", joined.alias("value")))
     return lines.withColumn("value", F.make_valid_utf8(F.col("value").cast("string")))
 
 

@@ -134,3 +134,46 @@ def test_batches_are_files_in_few_folders(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect())) and got.schema["b"].dataType.typeName() == "long"
     sinks.write_batches(df.filter("id < 0"), path, "b")
     assert readers.read_batches(spark, path, "id long, v string", "b").count() == 0
+
+
+def test_many_small_ranges_are_few_tasks_and_small_reads(tmp_path):
+    lines = [f"{k} é" for k in range(6_000)]
+    text = "\n".join(lines).encode()
+    put(tmp_path, "a.gz", [gzip.compress(text[low : low + 97]) for low in range(0, len(text), 97)])
+    size = os.path.getsize(tmp_path / "a.gz")
+    options = {"path": str(tmp_path), "rangeBytes": "64"}
+    found = {}
+    for tasks, most in (("0", size), ("6", 6)):
+        reader = files.MemberReader({**options, "tasks": tasks})
+        ranges = reader.partitions()
+        assert len(ranges) <= most and [r.start for r in ranges[1:]] == [r.stop for r in ranges[:-1]] and ranges[-1].stop == size
+        found[tasks] = [tuple(r.values()) for x in ranges for b in reader.read(x) for r in b.to_pylist()]
+        newlines = {r[1]: r[4] for r in found[tasks] if r[2] is not None}
+        edges = files.MemberReader({**options, "tasks": tasks, "edges": "true"})
+        assert [tuple(r.values()) for x in edges.partitions() for b in edges.read(x) for r in b.to_pylist()] == [r for r in found[tasks] if r[5] in (None, 0, newlines[r[1]])]
+    assert found["0"] == found["6"] and b"".join(r[6] + b"\n" for r in found["6"] if r[6] is not None).replace(b"\n", b"") == text.replace(b"\n", b"")
+
+    class Counted:
+        at = read_bytes = 0
+
+        def seek(self, at):
+            self.at = at
+
+        def read(self, n):
+            self.read_bytes += len(block := data[self.at : self.at + n])
+            self.at += len(block)
+            return block
+
+    data = b"".join(gzip.compress(text) for _ in range(200))
+    handle = Counted()
+    members = files._Members(handle, 0, len(data), len(data))
+    search, n = members.candidates(0), 0
+    at = next(search, None)
+    while at is not None:
+        *_, (_, end, whole) = members.pieces(at)
+        n += whole
+        try:
+            at = search.send(end)
+        except StopIteration:
+            at = None
+    assert n == 200 and handle.read_bytes < 8 * len(data)
