@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import keyed, tables
-from tessera.plans.inputs import GRID, grid, pick, read, sql_pick
+from tessera.plans.inputs import GRID, grid, pick, read, spread, sql_pick
 from tessera.plans.registry import query
 from tessera.functions import url as U
 from tessera.sources import files, readers, sinks
@@ -180,12 +180,12 @@ FROM orders LEFT JOIN t ON k = o_orderkey
 def answer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC9, D17: orders and their lines as captured answers, parsed once each: answer, error, sources and the first ten
     results in order. Some report an error, some are cut off, some hold no base64."""
-    orders, lines = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
-    key = F.col("o_orderkey").cast("string")
-    url = F.concat(F.lit("https://o"), F.col("l_orderkey").cast("string"), F.lit(".example/"), F.col("l_linenumber").cast("string"))
-    doc = F.concat(F.lit("<group><doc><url>"), url, F.lit("</url><title>line &lt;b&gt;"), F.col("l_linenumber").cast("string"), F.lit("&lt;/b&gt;</title></doc></group>"))
-    docs = lines.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", doc.alias("doc")))), lambda x: x["doc"]), "").alias("docs"))
-    j = orders.join(docs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = spread(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    #: Line numbers are shuffled, the documents made of them are not.
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("numbers"))
+    url = lambda n: F.concat(F.lit("https://o"), F.col("l_orderkey").cast("string"), F.lit(".example/"), n)
+    doc = lambda n: F.concat(F.lit("<group><doc><url>"), url(n), F.lit("</url><title>line &lt;b&gt;"), n, F.lit("&lt;/b&gt;</title></doc></group>"))
+    j = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("docs", F.array_join(F.transform("numbers", lambda n: doc(n.cast("string"))), ""))
     kind = F.col("o_orderkey") % 11
     text = F.when(kind == 2, F.lit("?not base64?")).otherwise(F.base64(F.concat(F.lit("<p>"), F.col("o_orderstatus"), F.lit("</p>")).cast("binary")))
     ai = F.when(kind > 1, F.concat(F.lit("<ai><answer>"), text, F.lit("</answer><item><url>https://s.example/</url><title>S</title><snippet>x</snippet></item></ai>"))).otherwise("")

@@ -253,7 +253,7 @@ def parse_answers(raw: DataFrame, xml_col: str = "xml", results: int = 10) -> Da
     none = lambda column, kind: F.coalesce(column, F.array().cast(f"array<{kind}>"))
     docs = none(F.flatten(F.transform(r["results"]["grouping"]["group"], lambda g: none(g["doc"], "struct<url:string,title:string>"))), "struct<url:string,title:string>")
     plain = lambda t: F.regexp_replace(F.coalesce(t, F.lit("")), "<[^>]+>", "")
-    organic = F.slice(F.transform(docs, lambda d, i: F.struct((i + 1).alias("position"), d["url"].alias("url"), plain(d["title"]).alias("title"))), 1, results)
+    organic = F.transform(F.slice(docs, 1, results), lambda d, i: F.struct((i + 1).alias("position"), d["url"].alias("url"), plain(d["title"]).alias("title")))
     held = F.nullif(F.trim(r["ai"]["answer"]), F.lit(""))
     answer = F.try_to_binary(held, F.lit("base64"))
     reported = F.when(r["error"].isNotNull(), F.concat(F.coalesce(r["error"]["_code"], F.lit("")), F.lit(": "), F.substring(F.trim(F.coalesce(r["error"]["_VALUE"], F.lit(""))), 1, 200)))

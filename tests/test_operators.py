@@ -385,6 +385,16 @@ def test_answers(spark):
     assert not got[1].ai_present and got[4].ai_present and got[2].organic == [] and got[3].sources == []
 
 
+def test_answers_are_parsed_by_all_cores(spark):
+    from tessera.plans import q_files
+
+    found = q_files.answer_documents(spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    rows_of = {r.k: r for r in found.collect()}
+    lines = {r[0]: r[1] for r in spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").groupBy("l_orderkey").count().collect()}
+    assert len(rows_of) == 1500 and all(r.found == (0 if k % 11 == 1 else min(10, lines.get(k, 0))) for k, r in rows_of.items())
+
+
 def test_sitemaps(spark):
     maps = [("s", "http://s/m.xml", True, "<loc>http://s/n.xml</loc><loc>http://s/a</loc>"), ("s", "http://s/n.xml", False, "<loc>http://s/b</loc><loc>http://s/a</loc>")]
     got = readers.sitemap_pages(spark.createDataFrame(maps, "site string, url string, root boolean, xml string"))
