@@ -6,6 +6,7 @@ ASCII. Null stays null unless a function says otherwise; text that is no URL has
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -150,21 +151,22 @@ def looks_tracker(url: Column, config: Config = DEFAULT, split: Column | None =
     return (random_host(host, config) & ~rooted) | code | q.rlike(config.affiliate_params) | q.rlike(config.tracker_params)
 
 
-def classify_ref(url: Column, site: Column, config: Config = DEFAULT, split: Column | None = None) -> Column:
+def classify_ref(url: Column, site: Column, config: Config = DEFAULT, split: Column | None = None, bases: tuple[Column, Column] | None = None) -> Column:
     """UR13, HP3: known_ref_host, ref, brand_host or null, in the order of the guards.
 
     A URL that is not http(s), has no host or lies inside the site is none; a registered host is one whatever its path;
     platforms, shorteners and hosts that look like words are none; then short codes with a capital (title-case words and
     longer paths only on referral hosts), then the target's own hosts with a partner parameter. split: the URL's parts, if
-    there is a column of them.
+    there is a column of them; bases: base hosts of URL and site, if there are columns of them.
     """
     host, p, q = (hostname(url), path(url), query(url)) if split is None else (split["host"], split["path"], split["query"])
+    own, there = bases or (base_host(host), base_host(site))
     code, long_code, capital = p.rlike(r"^/[A-Za-z0-9]{4}/?$"), p.rlike(r"^/[A-Za-z0-9]{4}/"), F.substring(p, 2, 4).rlike("[A-Z]")
     word, on_ref = F.substring(p, 2, 4).rlike("^[A-Z][a-z]{3}$"), host.rlike(config.ref_suffix)
     known = host.isin(list(config.ref_hosts)) if config.ref_hosts else F.lit(False)
     none = F.lit(None).cast("string")
     return (
-        F.when(~F.coalesce(url.rlike(r"(?i)^https?://"), F.lit(False)) | (host == "") | same_site(base_host(host), base_host(site), True), none)
+        F.when(~F.coalesce(url.rlike(r"(?i)^https?://"), F.lit(False)) | (host == "") | same_site(own, there, True), none)
         .when(known, F.lit("known_ref_host"))
         .when(host.rlike(config.platform_hosts) | host.rlike(config.not_ref_hosts) | ~random_host(host, config), none)
         .when(code & capital & (~word | on_ref), F.lit("ref"))
@@ -231,6 +233,45 @@ def path_shapes(url: Column) -> Column:
     return F.struct(*flags, query(url).rlike(URL_PARAM).alias("url_param"), F.lower(p).isin(*BARE_GATES).alias("bare_gate"))
 
 
+#: A short path of one token, and a capital or digit in it.
+TOKEN_PATH, TOKEN_MARK = r"^/[A-Za-z0-9_-]{4,12}/?$", "[A-Z0-9]"
+#: What Java takes for ends of lines, and the end of a text as $ finds it.
+LINE_ENDS = "\\n\\r\\u0085\\u2028\\u2029"
+TEXT_END = rf"(?=(?:\r\n|[{LINE_ENDS}])?\Z)"
+
+
+def _compiled(java: str) -> re.Pattern:
+    """One of the patterns above for Python: dot, $, digits and cases as Java reads them."""
+    return re.compile(java.replace(".*", f"[^{LINE_ENDS}]*").replace("$", TEXT_END), re.ASCII)
+
+
+_SPLIT, _USER, _PORT = _compiled(SPLIT), _compiled("^.*@"), _compiled(r":\d*$")
+_DOTS, _WWW, _WEB = _compiled(r"\.+$"), _compiled(r"^www\."), _compiled(r"(?i)^(https?:)?//|^/|^[^:]*$")
+_GATE, _DATED, _SLUG = (_compiled(SHAPES[name]) for name in ("gate", "dated", "slug"))
+_TOKEN_PATH, _TOKEN_MARK = _compiled(TOKEN_PATH), _compiled(TOKEN_MARK)
+#: What link_parts gives.
+LINK_PARTS = "host:string,base:string,path:string,query:string,web:boolean,gate:boolean,dated:boolean,slug:boolean,coded:boolean"
+
+
+def link_parts(url: str) -> dict[str, str | bool]:
+    """The parts of one URL as hostname, base_host, path and query give them, whether it may lead to a page, and shapes of
+    its path; for parsers, which meet the same URL many times."""
+    found = _SPLIT.search(url)
+    authority, path, query = (x or "" for x in found.group(2, 3, 4)) if found else ("", "", "")
+    host = _PORT.sub("", _USER.sub("", authority)).lower()
+    return {
+        "host": host,
+        "base": _WWW.sub("", _DOTS.sub("", host.lower())),
+        "path": path,
+        "query": query,
+        "web": bool(_WEB.search(url)),
+        "gate": bool(_GATE.search(path)),
+        "dated": bool(_DATED.search(path)),
+        "slug": bool(_SLUG.search(path)),
+        "coded": bool(_TOKEN_PATH.search(path) and _TOKEN_MARK.search(path)),
+    }
+
+
 def in_hosts(host: Column, patterns: Sequence[str]) -> Column:
     """UR18: a host that matches any pattern of a configured list."""
     return host.rlike("|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)

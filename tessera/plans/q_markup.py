@@ -110,7 +110,7 @@ def markup_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
         rep('<p><a href="/go/x">g</a>', "gates"), rep('<p><a href="https://ref.example/?btag=1">r</a>', "partner"), rep('<p><a href="/get.apk">a</a>', "apk"), F.lit("</body></html>"),
     )
     df = grid(spark, sf_dir, wide=True).select("k", html.alias("html"), F.lit("https://site.example/").alias("url"))
-    f = H.page_features(H.parse_pages(df.withColumn("markup", F.col("html")), "html", "url"), html_col="markup")
+    f = H.page_features(H.parse_pages(df.withColumn("markup", F.col("html")), "html", "url", H.VECTOR_FIELDS), html_col="markup")
     others = F.array_join(F.transform("other_brands", lambda x: F.concat(x["name"], F.lit(":"), x["n"].cast("string"))), " ")
     same = ("k", "host", "title", "in_h1", "in_title", "heads_named", "n_heads", "text_len", "mentions", "density", "topic_words", "topic_density", "links_int", "links_ext", "ext_hosts", "date_links", "slug_links", "anchor_int", "anchor_ext", "anchors", "hidden_links", "hidden_named", "articles", "meta_mentions", "generator", "meta_text", "wp", "shell", "assets", "front_title", "parked", "pwa", "referrer_js", "lang")
     return f.select(*same, F.size("gates").alias("n_gates"), F.size("trackers").alias("n_trackers"), F.size("aff_links").alias("n_aff"), F.array_join(F.array_distinct(F.transform("aff_links", lambda x: x["host"])), " ").alias("aff_hosts"), F.size("apk").alias("n_apk"), others.alias("others"))

@@ -193,3 +193,51 @@ def test_plain_markup_is_read_as_the_library_reads_it(monkeypatch):
     plain = '<!DOCTYPE html><html lang="en"><title>T &amp; t</title><script>var a = 1 < 2;</script><p class=\'x\'>one<br/><a href="/x">l</a></p><!-- c --></html>'
     monkeypatch.setattr(html.Page, "feed", lambda *_: pytest.fail("plain markup needs no second parser"))
     assert html.parse_one(plain)["text"] == "one l"
+
+
+def test_parts_of_links_are_those_of_the_columns(spark):
+    import random
+
+    r = random.Random(3)
+    pieces = ["https://", "HTTP:", "//", "www.", "WWW.", "a.example", "Ünï.Example", "İ.example", ".", "..", ":80", ":", ":8\n", "u@", "@", "/", "/go/", "/GO/x", "/2021/05/p", "/a-b-c-d-e", "/Ab3d", "?", "q=1&b", "#", "#f", "\n", "\r\n", " ", "\u0085", " ", "К", "K", "x", "9", "/Я-б-в-г"]
+    urls = sorted({"".join(r.choice(pieces) for _ in range(r.randrange(7))) for _ in range(6000)})
+    u = F.col("v")
+    p, h = url.path(u), url.hostname(u)
+    shape = [p.rlike(url.SHAPES[name]) for name in ("gate", "dated", "slug")]
+    coded = p.rlike(url.TOKEN_PATH) & p.rlike(url.TOKEN_MARK)
+    found = spark.createDataFrame([(x,) for x in urls], "v string").select("v", h, url.base_host(h), p, url.query(u), u.rlike(r"(?i)^(https?:)?//|^/|^[^:]*$"), *shape, coded).collect()
+    assert [(x[0], *x[1:]) for x in found] == [(x[0], *url.link_parts(x[0]).values()) for x in found]
+
+
+def test_known_tags_give_what_the_parser_of_the_library_gives():
+    import random
+
+    memo, base = {}, "https://s.example/"
+    pieces = ["<p>", "</p>", "<a href='/x'>", "<a href='/x?a>b'>", "</a>", "<div hidden>", "<div class='post'>", "</div>", "<!-- <script> -->", "<!-- a > b -->", "<script>var u='<p>';</script>", "<SCRIPT src='x>y'></script>", "<style>a<b</style>", "<br/>", "w", "&amp;", "<button>Play", "</button>", "<title>t", "</title>", "<h1>", "</h1>", "< b", "<![x]>"]
+    r = random.Random(4)
+    for _ in range(3000):
+        markup = "".join(r.choice(pieces) for _ in range(r.randrange(1, 15)))
+        page = html.Page(base)
+        try:
+            page.feed(markup)
+            page.close()
+        except (AssertionError, ValueError):
+            continue
+        assert html.parse_one(markup, base, memo) == page.row(), markup
+
+
+def test_attributes_of_a_tag_are_read_once_for_all_pages(monkeypatch):
+    class Counting:
+        def __init__(self, pattern):
+            self.pattern, self.calls = pattern, 0
+
+        def findall(self, text):
+            self.calls += 1
+            return self.pattern.findall(text)
+
+    counted, memo = Counting(html.ATTRIBUTE), {}
+    monkeypatch.setattr(html, "ATTRIBUTE", counted)
+    for k in range(50):
+        row = html.parse_one(f'<p class="a">{k}</p><a href="/x">l{k}</a><a href="/x">m</a>', "https://s.example/", memo)
+        assert [(x["url"], x["text"], x["times"], x["path"]) for x in row["links"]] == [("https://s.example/x", f"l{k}", 2, "/x"), ("https://s.example/x", "m", 0, "/x")]
+    assert counted.calls == 2
